@@ -30,7 +30,7 @@ def dedup_latest(
     order = [order_by] if isinstance(order_by, str) else list(order_by)
     if tie_break is None:
         tie_break = [c for c in df.columns if c not in keys and c not in order]
-    window = W.partitionBy(*keys).orderBy(*latest_first(order, tie_break))
+    window = W.partitionBy(F.xxhash64(*keys), *keys).orderBy(*latest_first(order, tie_break))
     return (
         df.withColumn("_row_num", F.row_number().over(window))
         .filter(F.col("_row_num") == 1)

@@ -81,6 +81,8 @@ def upsert(
             old.join(batch.select(*keys), _same_keys(old, batch, keys), "left_semi").select(*by)
         ).distinct()
     touched = materialise(touched, "touched")
+    if touched.isEmpty():
+        return target
     current = restrict_to(target, touched, by)
 
     if order_by is None:

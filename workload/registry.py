@@ -6,9 +6,21 @@ import datetime as dt
 import uuid
 from collections.abc import Callable
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import functions as F
 
+from stratalake import functions as fn
+from stratalake.functions.temporal import as_of_date
+from stratalake.operators.dedup import dedup_latest
+from stratalake.operators.lookback import lookback, within_lookback
+from stratalake.operators.upsert import upsert
+from stratalake.plans import analytics, silver
 from stratalake.plans.catalogue import LAYER_OF, Models
+from stratalake.session import scratch_path
+from stratalake.sources import bronze, conform
+from stratalake.sources.contract import TENANTS
+from stratalake.sources.tables import Lake, compact
+from workload import feeds as feed_columns
 from workload import oracle
 from workload.feeds import Feeds
 
@@ -69,3 +81,443 @@ for _group, _names in IDS.items():
         assert _model in LAYER_OF
         _label = f"silver_{_name}" if _group == "sv" else _name
         register(f"{_group}{_number:02d}_{_label}", _model)(_model_query(_model))
+
+
+# Marts described beyond the stored models ------------------------------------------------------
+
+register(
+    "pl07_overdue_by_customer",
+    """select tenant_id, entidade_id cliente_id, cliente_sk, nm_cliente, nr_documento,
+    cast(sum(vlr_titulo) as decimal(18,2)) vlr_inadimplente,
+    cast(sum(nr_dias_atraso) // count(*) as bigint) dias_atraso_medio, count(*) qtd_titulos_vencidos
+    from fct_titulo_financeiro f
+    left join (select tenant_id, cliente_id entidade_id, cliente_sk, nm_cliente, nr_documento
+               from dim_clientes) c using (tenant_id, entidade_id)
+    where ds_situacao_titulo = 'VENCIDO' and tipo_titulo = 'RECEBER' and nr_dias_atraso > 30
+    group by all""",
+)(lambda spark, sf_dir: analytics.overdue_by_customer(models(spark, sf_dir)))
+
+register(
+    "pl08_group_statement",
+    """select cd_tipo_conta, dt_competencia, cast(sum(vlr_final) as decimal(18,2)) vlr_total
+    from fct_lancamentos group by all""",
+)(lambda spark, sf_dir: analytics.group_statement(models(spark, sf_dir)))
+
+register(
+    "pl09_enriched_sales",
+    """select v.tenant_id, item_id, venda_id, v.cliente_sk, v.produto_sk, v.vendedor_sk, v.data_id,
+    ds_status, qtd_vendida, vlr_total, nm_ano_mes, nr_trimestre, fl_fim_de_semana, nm_vendedor,
+    vd.filial_id, dsc_produto, nm_categoria, nm_cliente, cd_uf, empresa_sk, nm_empresa
+    from fct_vendas v left join dim_calendrio d on v.data_id = d.data_id
+    left join dim_vendedores vd on v.tenant_id = vd.tenant_id and v.vendedor_sk = vd.vendedor_sk
+    left join dim_produtos p on v.tenant_id = p.tenant_id and v.produto_sk = p.produto_sk
+    left join dim_clientes c on v.tenant_id = c.tenant_id and v.cliente_sk = c.cliente_sk
+    left join dim_empresas e on v.tenant_id = e.tenant_id and vd.filial_id = e.empresa_id""",
+)(lambda spark, sf_dir: analytics.enriched_sales(models(spark, sf_dir)))
+
+
+# Sources and sinks -----------------------------------------------------------------------------
+
+DELIVERED = """select *, cast(year(created_at) as int) as year, cast(1 as int) as month,
+    cast(1 as int) as day from vendas"""
+
+
+def deliver(spark: SparkSession, sf_dir: str) -> str:
+    """The sales feed as yearly Bronze deliveries; returns the root."""
+    root = scratch_path(spark, "bronze")
+    feed = Feeds(spark, sf_dir)["vendas"]
+    bronze.write_bronze(with_delivery_year(feed), root, "comercial", "vendas")
+    return root
+
+
+def with_delivery_year(feed: DataFrame) -> DataFrame:
+    return bronze.with_partition_day(feed, F.date_trunc("year", F.col("created_at")))
+
+
+@register("sr01_read_bronze", DELIVERED)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return bronze.read_bronze(spark, deliver(spark, sf_dir), "comercial", "vendas")
+
+
+@register(
+    "sr02_register_bronze",
+    f"""select tenant_id, year, count(*) n_records, sum(vlr_total) vlr_total
+    from ({DELIVERED}) group by all""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    bronze.register_bronze(spark, deliver(spark, sf_dir))
+    return spark.sql(
+        """select tenant_id, year, count(*) as n_records,
+        cast(sum(vlr_total) as decimal(38,2)) as vlr_total
+        from bronze_dev_vendas group by tenant_id, year"""
+    )
+
+
+@register(
+    "sr03_partition_pruning",
+    f"""select * from ({DELIVERED})
+    where tenant_id in ('unit_01', 'unit_02') and year between 1997 and 1999""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = bronze.read_bronze(spark, deliver(spark, sf_dir), "comercial", "vendas")
+    return bronze.prune(feed, ["unit_01", "unit_02"], dt.date(1997, 1, 1), dt.date(1999, 12, 31))
+
+
+def new_lake(spark: SparkSession) -> Lake:
+    return Lake(spark, scratch_path(spark, "lake"), prefix=f"q{uuid.uuid4().hex[:8]}_")
+
+
+@register("sr04_layer_tables", "silver_dw_vendas")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = new_lake(spark)
+    lake.write(models(spark, sf_dir)["silver_dw_vendas"], "silver", "silver_dw_vendas")
+    return lake.table("silver", "silver_dw_vendas").drop("_dbt_loaded_at")
+
+
+@register(
+    "sr05_conform_feed",
+    """select tenant_id, lancamento_id, plano_conta_id,
+    case when l.tax > 0.04 then 'CREDITO' else 'DEBITO' end cd_tipo_lancamento, dt_competencia,
+    vlr_lancamento, historico, created_at
+    from lancamentos join (
+        select concat_ws('-', l_orderkey, l_linenumber, l_partkey, l_suppkey,
+                         cast(l_extendedprice as decimal(18,2))) lancamento_id, any_value(l_tax) tax
+        from lineitem group by all) l using (lancamento_id)""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return conform.conform_feed("lancamentos", raw_ledger(Feeds(spark, sf_dir)))
+
+
+def raw_ledger(feeds: Feeds) -> DataFrame:
+    """The ledger as delivered: other names, debit and credit in two columns."""
+    is_credit = F.col("l_tax") > 0.04
+    value = F.col("l_extendedprice").cast("decimal(18,2)")
+    return feeds.source["lineitem"].select(
+        feed_columns.tenant("l_orderkey").alias("tenant_id"),
+        feed_columns.entry_id().alias("lancamento_id"),
+        feed_columns.account_id().alias("conta_id"),
+        feed_columns.month_start("l_shipdate").alias("dt_lancamento"),
+        F.when(~is_credit, value).alias("vlr_debito"),
+        F.when(is_credit, value).alias("vlr_credito"),
+        F.when(
+            F.col("l_returnflag") != "N",
+            F.concat(F.lit("pedido "), F.col("l_orderkey").cast("string")),
+        ).alias("historico"),
+        F.col("l_shipdate").alias("created_at"),
+    )
+
+
+@register(
+    "sr06_unify_tenants",
+    """select tenant_id, fornecedor_id, nome, case when tenant_id <> 'unit_05' then documento end documento,
+    case when tenant_id = 'unit_05' then documento end cnpj, created_at from fornecedores""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = Feeds(spark, sf_dir)["fornecedores"]
+    extracts = {t: feed.filter(F.col("tenant_id") == t).drop("tenant_id") for t in TENANTS}
+    extracts["unit_05"] = extracts["unit_05"].withColumnRenamed("documento", "cnpj")
+    return bronze.unify_tenants(extracts)
+
+
+@register(
+    "sr07_write_bronze",
+    f"""select * replace (case when year = 1998 then upper(status) else status end as status)
+    from ({DELIVERED})""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A year is delivered again: its partitions are replaced, the others stay."""
+    root = deliver(spark, sf_dir)
+    again = with_delivery_year(Feeds(spark, sf_dir)["vendas"]).filter(F.col("year") == 1998)
+    again = again.withColumn("status", F.upper("status"))
+    for _attempt in range(2):
+        bronze.write_bronze(again, root, "comercial", "vendas")
+    return bronze.read_bronze(spark, root, "comercial", "vendas")
+
+
+@register("sr08_full_rebuild", "dim_produtos")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake, dim = new_lake(spark), models(spark, sf_dir)["dim_produtos"]
+    lake.write(dim.withColumn("dsc_produto", F.lit("old")), "gold", "dim_produtos")
+    lake.write(dim, "gold", "dim_produtos")
+    return lake.table("gold", "dim_produtos").drop("_dbt_loaded_at")
+
+
+register("sr09_view", "dre_contabil_unit_01")(
+    lambda spark, sf_dir: new_lake(spark).view(
+        models(spark, sf_dir)["dre_contabil_unit_01"], "platinum", "dre_contabil_unit_01"
+    )
+)
+
+
+@register("sr10_incremental_merge", "silver_dw_titulos_financeiros")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Receivables first with a stale value, then the corrected full batch."""
+    rows = models(spark, sf_dir)["silver_dw_titulos_financeiros"]
+    stale = rows.filter(F.col("tipo_titulo") == "RECEBER").withColumn(
+        "vlr_titulo", F.lit(0).cast("decimal(18,2)")
+    )
+    table = new_lake(spark).name("silver", "titulos")
+    upsert(stale, table, silver.TITLE_KEYS)
+    return upsert(rows, table, silver.TITLE_KEYS, stable_partitions=True)
+
+
+@register(
+    "sr11_append_new_columns",
+    """select tenant_id, fornecedor_id, nome, documento, created_at,
+    case when tenant_id in ('unit_01', 'unit_02') then upper(documento) end codigo from fornecedores""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = Feeds(spark, sf_dir)["fornecedores"]
+    table = new_lake(spark).name("silver", "fornecedores")
+    upsert(feed, table, ("tenant_id", "fornecedor_id"))
+    wider = feed.filter(F.col("tenant_id").isin("unit_01", "unit_02")).withColumn(
+        "codigo", F.upper("documento")
+    )
+    return upsert(wider, table, ("tenant_id", "fornecedor_id"))
+
+
+@register("sr12_compact", "silver_dw_vendas")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    lake = new_lake(spark)
+    lake.write(
+        models(spark, sf_dir)["silver_dw_vendas"].repartition(8, "venda_id"), "silver", "vendas"
+    )
+    compact(spark, lake.name("silver", "vendas"), "tenant_id in ('unit_01', 'unit_03')", 1)
+    return lake.table("silver", "vendas").drop("_dbt_loaded_at")
+
+
+# Shared cleaning operators ---------------------------------------------------------------------
+
+
+def on_table(table: str, columns: Callable[[], tuple]) -> Query:
+    """A projection of one driver table."""
+    return lambda spark, sf_dir: Feeds(spark, sf_dir).source[table].select(*columns())
+
+
+def on_feed(feed: str, columns: Callable[[], tuple]) -> Query:
+    """A projection of one business feed."""
+    return lambda spark, sf_dir: Feeds(spark, sf_dir)[feed].select(*columns())
+
+
+register(
+    "so01_keep_latest",
+    """select * from lineitem qualify row_number() over (partition by l_orderkey, l_linenumber
+    order by l_shipdate desc nulls last, l_partkey desc nulls last, l_suppkey desc nulls last,
+    l_quantity desc nulls last, l_extendedprice desc nulls last) = 1""",
+)(
+    lambda spark, sf_dir: dedup_latest(
+        Feeds(spark, sf_dir).source["lineitem"], ("l_orderkey", "l_linenumber"), "l_shipdate"
+    )
+)
+register(
+    "so02_drop_null_keys",
+    "select tenant_id, ordem_compra_id, fornecedor_id from ordens_compra where fornecedor_id is not null",
+)(
+    lambda spark, sf_dir: Feeds(spark, sf_dir)["ordens_compra"]
+    .filter(F.col("fornecedor_id").isNotNull())
+    .select("tenant_id", "ordem_compra_id", "fornecedor_id")
+)
+register(
+    "so03_norm_upper",
+    "select tenant_id, cliente_id, upper(trim(nome, ' ' || chr(9))) nm_cliente from clientes",
+)(on_feed("clientes", lambda: ("tenant_id", "cliente_id", fn.norm_upper("nome").alias("nm_cliente"))))
+register(
+    "so04_norm_lower", "select tenant_id, cliente_id, lower(trim(email)) ds_email from clientes"
+)(on_feed("clientes", lambda: ("tenant_id", "cliente_id", fn.norm_lower("email").alias("ds_email"))))
+register(
+    "so05_digits_only",
+    "select doc_id, regexp_replace(coalesce(text, ''), '[^0-9]', '', 'g') digits from documents",
+)(
+    lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/documents.parquet").select(
+        "doc_id", fn.digits_only("text").alias("digits")
+    )
+)
+register(
+    "so06_norm_default",
+    "select tenant_id, produto_id, upper(trim(coalesce(categoria, 'NA'))) nm_categoria from produtos",
+)(on_feed("produtos", lambda: ("tenant_id", "produto_id", fn.norm_default("categoria", "NA").alias("nm_categoria"))))
+register(
+    "so07_cast_contract",
+    """select l_orderkey, l_linenumber, cast(l_quantity as decimal(18,4)) qtd,
+    cast(l_extendedprice as decimal(18,2)) vlr, cast(l_shipdate as date) dt, l_shipdate ts from lineitem""",
+)(
+    on_table(
+        "lineitem", lambda: ("l_orderkey", "l_linenumber",
+        silver.quantity("l_quantity").alias("qtd"), silver.money("l_extendedprice").alias("vlr"),
+        silver.day("l_shipdate").alias("dt"), silver.instant("l_shipdate").alias("ts")))
+)
+register(
+    "so08_lookback",
+    f"select * from vendas where dt_venda >= {oracle.NOW} - interval 2 days",
+)(lambda spark, sf_dir: lookback(Feeds(spark, sf_dir)["vendas"], "dt_venda", NOW))
+register("so09_load_audit", "select venda_id, true as is_stamped from silver_dw_vendas")(
+    lambda spark, sf_dir: models(spark, sf_dir)["silver_dw_vendas"].select(
+        "venda_id", F.col("_dbt_loaded_at").isNotNull().alias("is_stamped")
+    )
+)
+register(
+    "so10_surrogate_key",
+    f"select tenant_id, ordem_compra_id, {oracle._sk('tenant_id', 'ordem_compra_id', 'fornecedor_id', 'dt_emissao::date')} sk"
+    " from ordens_compra",
+)(
+    on_feed(
+        "ordens_compra", lambda: ("tenant_id", "ordem_compra_id",
+        fn.surrogate_key(
+            "tenant_id", "ordem_compra_id", "fornecedor_id", F.col("dt_emissao").cast("date")
+        ).alias("sk")))
+)
+register(
+    "so11_date_key",
+    "select o_orderkey, cast(strftime(o_orderdate, '%Y%m%d') as int) data_id from orders",
+)(on_table("orders", lambda: ("o_orderkey", fn.date_key("o_orderdate").alias("data_id"))))
+
+
+# Scalar functions ------------------------------------------------------------------------------
+
+register(
+    "fn01_upper_lower_trim",
+    """select c_custkey, upper(c_mktsegment) up, lower(c_name) low,
+    trim('  ' || c_name || chr(9), ' ' || chr(9)) t from customer""",
+)(
+    on_table(
+        "customer", lambda: ("c_custkey", F.upper("c_mktsegment").alias("up"), F.lower("c_name").alias("low"),
+        fn.strip(F.concat(F.lit("  "), F.col("c_name"), F.lit("\t"))).alias("t")))
+)
+register(
+    "fn02_regexp_delete",
+    "select page_id, regexp_replace(url, '[^a-z]', '', 'g') letters from pages",
+)(
+    lambda spark, sf_dir: spark.read.parquet(f"{sf_dir}/pages.parquet").select(
+        "page_id", F.regexp_replace("url", "[^a-z]", "").alias("letters")
+    )
+)
+register(
+    "fn03_coalesce",
+    "select expedicao_id, coalesce(dt_entrega_realizada, dt_entrega_prevista) dt_entrega from expedicao",
+)(
+    on_feed(
+        "expedicao", lambda: ("expedicao_id",
+        F.coalesce("dt_entrega_realizada", "dt_entrega_prevista").alias("dt_entrega")))
+)
+register(
+    "fn04_casts",
+    """select l_orderkey, l_linenumber, cast(cast(l_extendedprice as decimal(18,4)) * 0.125 as decimal(18,2)) m,
+    cast(l_shipdate as date) d, cast(l_quantity as int) q, cast(l_orderkey as varchar) s from lineitem""",
+)(
+    on_table(
+        "lineitem", lambda: ("l_orderkey", "l_linenumber",
+        (F.col("l_extendedprice").cast("decimal(18,4)") * F.lit("0.125").cast("decimal(4,3)"))
+        .cast("decimal(18,2)").alias("m"),
+        F.col("l_shipdate").cast("date").alias("d"), F.col("l_quantity").cast("int").alias("q"),
+        F.col("l_orderkey").cast("string").alias("s")))
+)
+register(
+    "fn05_date_format",
+    """select o_orderkey, strftime(o_orderdate, '%Y%m%d') ymd, strftime(o_orderdate, '%Y-%m') ym
+    from orders""",
+)(
+    on_table(
+        "orders", lambda: ("o_orderkey", F.date_format("o_orderdate", "yyyyMMdd").alias("ymd"),
+        fn.month_label("o_orderdate").alias("ym")))
+)
+register(
+    "fn06_date_parts",
+    """select o_orderkey, cast(year(o_orderdate) as int) y, cast(month(o_orderdate) as int) m,
+    cast(day(o_orderdate) as int) d, cast(quarter(o_orderdate) as int) q from orders""",
+)(
+    on_table(
+        "orders", lambda: ("o_orderkey", F.year("o_orderdate").alias("y"), F.month("o_orderdate").alias("m"),
+        F.dayofmonth("o_orderdate").alias("d"), F.quarter("o_orderdate").alias("q")))
+)
+register(
+    "fn07_iso_weekday", "select event_id, cast(isodow(ts) as int) weekday from events"
+)(on_table("events", lambda: ("event_id", fn.iso_weekday("ts").alias("weekday"))))
+register(
+    "fn08_date_diff",
+    """select event_id, date_diff('day', ts::date, date '2025-01-01') calendar_days,
+    date_sub('day', ts, timestamp '2025-01-01') full_days from events""",
+)(
+    on_table(
+        "events", lambda: ("event_id",
+        fn.calendar_days(F.col("ts").cast("date"), F.lit(dt.date(2025, 1, 1))).alias("calendar_days"),
+        fn.full_days("ts", F.lit(dt.date(2025, 1, 1))).alias("full_days")))
+)
+register(
+    "fn09_date_add",
+    """select event_id, ts - interval 2 days before_ts, cast(ts::date + 1 as date) next_day from events""",
+)(
+    on_table(
+        "events", lambda: ("event_id", (F.col("ts") - F.make_dt_interval(days=F.lit(2))).alias("before_ts"),
+        F.date_add(F.col("ts").cast("date"), 1).alias("next_day")))
+)
+register(
+    "fn10_now_as_parameter",
+    f"""select titulo_id, dt_vencimento < {oracle.NOW} is_due,
+    dt_vencimento >= {oracle.NOW} - interval 2 days is_recent from titulos_receber""",
+)(
+    on_feed(
+        "titulos_receber", lambda: ("titulo_id",
+        (F.col("dt_vencimento") < as_of_date(AS_OF).cast("timestamp_ntz")).alias("is_due"),
+        within_lookback("dt_vencimento", NOW).alias("is_recent")))
+)
+register(
+    "fn11_sequence_unnest",
+    """select l_orderkey, l_linenumber, unnest(generate_series(l_shipdate::date,
+    l_shipdate::date + l_linenumber, interval 1 day))::date dia from lineitem""",
+)(
+    on_table(
+        "lineitem", lambda: ("l_orderkey", "l_linenumber",
+        F.explode(
+            F.sequence(
+                F.col("l_shipdate").cast("date"),
+                F.date_add(F.col("l_shipdate").cast("date"), F.col("l_linenumber")),
+            )
+        ).alias("dia")))
+)
+register(
+    "fn12_decimal_arithmetic",
+    """select item_id, cast(abs(vlr_total - qtd_vendida * vlr_unitario) as decimal(38,6)) gap,
+    cast(-vlr_total as decimal(18,2)) negated,
+    cast(vlr_total + vlr_unitario as decimal(19,2)) total from itens_pedido""",
+)(
+    on_feed(
+        "itens_pedido", lambda: ("item_id",
+        F.abs(F.col("vlr_total") - F.col("qtd_vendida") * F.col("vlr_unitario"))
+        .cast("decimal(38,6)").alias("gap"),
+        (-F.col("vlr_total")).alias("negated"),
+        (F.col("vlr_total") + F.col("vlr_unitario")).cast("decimal(19,2)").alias("total")))
+)
+register("fn13_md5", "select p_partkey, md5(p_name || '-' || p_brand) h from part")(
+    on_table("part", lambda: ("p_partkey", fn.surrogate_key("p_name", "p_brand").alias("h")))
+)
+register(
+    "fn14_parse_and_concat",
+    """select o_orderkey, strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y')::date d,
+    strptime(strftime(o_orderdate, '%d/%m/%Y'), '%d/%m/%Y') ts,
+    year(o_orderdate) || '-' || o_orderpriority label from orders""",
+)(
+    on_table(
+        "orders", lambda: ("o_orderkey",
+        fn.parse_date(F.date_format("o_orderdate", "dd/MM/yyyy"), "dd/MM/yyyy").alias("d"),
+        fn.parse_timestamp(F.date_format("o_orderdate", "dd/MM/yyyy"), "dd/MM/yyyy").alias("ts"),
+        F.concat(F.year("o_orderdate").cast("string"), F.lit("-"), F.col("o_orderpriority")).alias("label")))
+)
+register(
+    "fn15_unix_and_regexp",
+    r"""select event_id, epoch_ms(event_id * 1000) ts,
+    case when regexp_matches(props, '"k": ([0-9]+)') then regexp_extract(props, '"k": ([0-9]+)', 1) end k
+    from events""",
+)(
+    on_table(
+        "events", lambda: ("event_id", fn.unix_to_timestamp("event_id").alias("ts"),
+        fn.extract_first("props", r'"k": ([0-9]+)', 1).alias("k")))
+)
+register(
+    "fn16_arrays",
+    """select p_partkey, list_contains(string_split(p_name, ' '), 'ring') has_ring,
+    unnest(string_split(p_name, ' ')) word from part""",
+)(
+    on_table(
+        "part", lambda: ("p_partkey", F.array_contains(F.split("p_name", " "), "ring").alias("has_ring"),
+        F.explode(F.split("p_name", " ")).alias("word")))
+)
