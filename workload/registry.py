@@ -11,15 +11,19 @@ from pyspark.sql import functions as F
 
 from stratalake import functions as fn
 from stratalake.functions.temporal import as_of_date
+from stratalake.operators import quality
 from stratalake.operators.dedup import dedup_latest
-from stratalake.operators.lookback import lookback, within_lookback
+from stratalake.operators.lookback import lookback, since_high_water, within_lookback
+from stratalake.operators.quality import summarise
 from stratalake.operators.upsert import upsert
-from stratalake.plans import analytics, silver
+from stratalake.plans import analytics, checks, silver
+from stratalake.plans.build import build_layers, check_results
 from stratalake.plans.catalogue import LAYER_OF, Models
 from stratalake.session import scratch_path
 from stratalake.sources import bronze, conform
 from stratalake.sources.contract import TENANTS
 from stratalake.sources.tables import Lake, compact
+from stratalake.streaming.ingest import stream_feed, upsert_stream
 from workload import feeds as feed_columns
 from workload import oracle
 from workload.feeds import Feeds
@@ -521,3 +525,341 @@ register(
         "part", lambda: ("p_partkey", F.array_contains(F.split("p_name", " "), "ring").alias("has_ring"),
         F.explode(F.split("p_name", " ")).alias("word")))
 )
+
+
+# Incremental processing ------------------------------------------------------------------------
+
+SALE_KEYS = ("tenant_id", "venda_id")
+
+
+@register("in01_upsert", "select *, cast(year(dt_venda) as int) nr_ano from silver_dw_vendas")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Keep-latest merge into a table partitioned by tenant and sale year.
+
+    The first load has every sale as pending. The batch brings the current rows
+    of all closed sales together with outdated copies that must lose.
+    """
+    sales = models(spark, sf_dir)["silver_dw_vendas"].drop("_dbt_loaded_at")
+    sales = sales.withColumn("nr_ano", F.year("dt_venda"))
+    day = F.make_dt_interval(days=F.lit(1))
+    pending = sales.withColumns(
+        {
+            "ds_status": F.lit("PENDENTE"),
+            "updated_at": F.when(F.col("ds_status") == "PENDENTE", F.col("updated_at")).otherwise(
+                F.col("updated_at") - day
+            ),
+        }
+    )
+    table = new_lake(spark).name("silver", "vendas")
+    upsert(pending, table, SALE_KEYS, ("tenant_id", "nr_ano"), order_by="updated_at")
+    closed = sales.filter(F.col("ds_status") != "PENDENTE")
+    outdated = closed.withColumns(
+        {"ds_status": F.lit("RASCUNHO"), "updated_at": F.col("updated_at") - day - day}
+    )
+    return upsert(
+        closed.unionByName(outdated), table, SALE_KEYS, ("tenant_id", "nr_ano"), order_by="updated_at"
+    )
+
+
+@register("in02_full_then_incremental", "silver_dw_vendas")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """A full build followed by an incremental run over the same feed changes nothing."""
+    lake, feeds = new_lake(spark), Feeds(spark, sf_dir)
+    for full_refresh in (True, False):
+        built = build_layers(
+            spark, feeds, lake, ["silver_dw_vendas"], full_refresh=full_refresh, now=NOW
+        )
+    return built["silver_dw_vendas"].drop("_dbt_loaded_at")
+
+
+register(
+    "in03_lookback",
+    f"select * from fct_vendas where dt_venda >= {oracle.NOW} - interval 2 days",
+)(
+    lambda spark, sf_dir: models(spark, sf_dir)
+    .build("fct_vendas", incremental=True, now=NOW)
+    .drop("_dbt_loaded_at")
+)
+
+
+@register(
+    "in04_high_water_mark",
+    f"""select * from vendas where updated_at >= (
+        select max(updated_at) - interval 1 day from vendas where updated_at < {oracle.NOW})""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = Feeds(spark, sf_dir)["vendas"]
+    stored = feed.filter(F.col("updated_at") < F.lit(NOW).cast("timestamp_ntz"))
+    return since_high_water(feed, stored, "updated_at")
+
+
+register(
+    "in05_affected_groups",
+    f"""select d.* from dre_contabil d semi join (
+        select tenant_id, cd_tipo_conta, dt_competencia from fct_lancamentos
+        where created_at >= {oracle.NOW} - interval 2 days)
+        using (tenant_id, cd_tipo_conta, dt_competencia)""",
+)(
+    lambda spark, sf_dir: analytics.accounting_statement(
+        models(spark, sf_dir), incremental="affected", now=NOW
+    )
+)
+
+register(
+    "in05_recent_entries_only",
+    f"""select {oracle._sk('tenant_id', 'empresa_id', 'centro_custo_id', 'cd_tipo_conta', 'dt_competencia')}
+        dre_contabil_sk, tenant_id, empresa_id, centro_custo_id, centro_custo_sk, cd_tipo_conta,
+        dt_competencia, cast(strftime(dt_competencia, '%Y%m%d') as int) data_id,
+        cast(sum(vlr_final) as decimal(18,2)) vlr_total
+        from fct_lancamentos join (select tenant_id, empresa_id from dim_empresas) using (tenant_id)
+        join (select tenant_id, centro_custo_id, centro_custo_sk from dim_centros_custos) using (tenant_id)
+        where created_at >= {oracle.NOW} - interval 2 days group by all""",
+)(
+    lambda spark, sf_dir: analytics.accounting_statement(
+        models(spark, sf_dir), incremental="recent_only", now=NOW
+    )
+)
+
+
+@register(
+    "in06_layered_build",
+    "\nunion all\n".join(
+        [f"select '{m}' item, 'rows' measure, count(*) n from {m}" for m in LAYER_OF]
+        + [f"select '{c}' item, 'failures' measure, count(*) n from ({q})" for c, q in oracle.declared_tests()]
+    ),
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All layers written in order, then row counts of every table and every declared test."""
+    built = build_layers(
+        spark, Feeds(spark, sf_dir), new_lake(spark), as_of=AS_OF, calendar=CALENDAR
+    )
+    rows = summarise({name: built[name] for name in LAYER_OF})
+    failures = check_results(built)
+    return rows.select(
+        F.col("check_name").alias("item"), F.lit("rows").alias("measure"), F.col("failures").alias("n")
+    ).unionByName(
+        failures.select(
+            F.col("check_name").alias("item"),
+            F.lit("failures").alias("measure"),
+            F.col("failures").alias("n"),
+        )
+    )
+
+
+@register(
+    "in07_stream_upsert",
+    """select * from events qualify row_number() over (
+        partition by user_id, event_type order by ts desc nulls last, event_id desc nulls last) = 1""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Events arrive in files of arbitrary order; the newest per key survives."""
+    landing = scratch_path(spark, "landing")
+    events = Feeds(spark, sf_dir).source["events"]
+    events.repartitionByRange(3, "ts").write.parquet(landing)
+    table = new_lake(spark).name("silver", "events")
+    feed = stream_feed(spark, landing, events.schema, max_files=1)
+    upsert_stream(
+        feed, table, ("user_id", "event_type"), "ts", scratch_path(spark, "stream"),
+        partition_by=("event_type",),
+    ).awaitTermination()
+    return spark.table(table)
+
+
+# Data quality ----------------------------------------------------------------------------------
+
+register("dq01_not_null", "select * from silver_dw_ordens_compra where fornecedor_id is null")(
+    lambda spark, sf_dir: quality.not_null(
+        models(spark, sf_dir)["silver_dw_ordens_compra"], "fornecedor_id"
+    ).drop("_dbt_loaded_at")
+)
+register(
+    "dq01_null_counts",
+    """select * from (
+        select 'venda_id' column_name, count(*) n_records from silver_dw_expedicao where venda_id is null
+        union all
+        select 'transportadora_id', count(*) from silver_dw_expedicao where transportadora_id is null
+        union all
+        select 'dt_entrega_realizada', count(*) from silver_dw_expedicao where dt_entrega_realizada is null)
+    where n_records > 0""",
+)(
+    lambda spark, sf_dir: quality.null_counts(
+        models(spark, sf_dir)["silver_dw_expedicao"],
+        ["venda_id", "transportadora_id", "dt_entrega_realizada"],
+    )
+)
+register(
+    "dq02_unique",
+    """select vendedor_id, count(*) n_records from vendedores where vendedor_id is not null
+    group by 1 having count(*) > 1""",
+)(lambda spark, sf_dir: quality.unique(Feeds(spark, sf_dir)["vendedores"], "vendedor_id"))
+register(
+    "dq03_unique_combination",
+    """select tenant_id, item_id, count(*) n_records from itens_pedido
+    group by all having count(*) > 1""",
+)(
+    lambda spark, sf_dir: quality.unique_combination(
+        Feeds(spark, sf_dir)["itens_pedido"], ["tenant_id", "item_id"]
+    )
+)
+register(
+    "dq04_accepted_values",
+    """select cd_tipo_conta, count(*) n_records from fct_lancamentos
+    where cd_tipo_conta not in ('ATIVO', 'PASSIVO', 'RECEITA', 'DESPESA') group by all""",
+)(
+    lambda spark, sf_dir: quality.accepted_values(
+        models(spark, sf_dir)["fct_lancamentos"], "cd_tipo_conta", checks.ACCOUNT_TYPE
+    )
+)
+register(
+    "dq05_relationships",
+    """select titulo_id, count(*) n_records from titulos_receber r
+    where not exists (select 1 from baixas b where b.titulo_id = r.titulo_id) and titulo_id is not null
+    group by all""",
+)(
+    lambda spark, sf_dir: quality.relationships(
+        Feeds(spark, sf_dir)["titulos_receber"], "titulo_id", Feeds(spark, sf_dir)["baixas"], "titulo_id"
+    )
+)
+register(
+    "dq05_orphan_rows",
+    """select * from vendedores v where filial_id is not null
+    and not exists (select 1 from filiais f where f.filial_id = v.filial_id)""",
+)(
+    lambda spark, sf_dir: quality.orphan_rows(
+        Feeds(spark, sf_dir)["vendedores"], "filial_id", Feeds(spark, sf_dir)["filiais"], "filial_id"
+    )
+)
+register(
+    "dq06_total_consistency",
+    """select * from (select tenant_id, item_id, qtd_vendida, vlr_unitario, vlr_total,
+        cast(abs(vlr_total - qtd_vendida * vlr_unitario) as decimal(38,6)) divergencia from fct_vendas)
+    where divergencia > 0.01""",
+)(
+    lambda spark, sf_dir: quality.total_mismatch(
+        models(spark, sf_dir)["fct_vendas"], ["tenant_id", "item_id"], "vlr_total", "qtd_vendida",
+        "vlr_unitario",
+    )
+)
+register(
+    "dq07_tenant_leak",
+    """select tenant_id, count(*) qt_registros_invalidos from dre_contabil
+    where tenant_id <> 'unit_01' group by all""",
+)(lambda spark, sf_dir: quality.tenant_leak(models(spark, sf_dir)["dre_contabil"], "unit_01"))
+register(
+    "dq07_tenant_leak_of_slice",
+    """select tenant_id, count(*) qt_registros_invalidos from dre_contabil_unit_01
+    where tenant_id <> 'unit_01' group by all""",
+)(lambda spark, sf_dir: quality.tenant_leak(models(spark, sf_dir)["dre_contabil_unit_01"], "unit_01"))
+register(
+    "dq08_negative_lateness",
+    """select tenant_id, titulo_id, tipo_titulo, nr_dias_atraso from controle_inadimplentes
+    where nr_dias_atraso < 0""",
+)(
+    lambda spark, sf_dir: quality.negative_values(
+        models(spark, sf_dir)["controle_inadimplentes"], silver.TITLE_KEYS, "nr_dias_atraso"
+    )
+)
+register(
+    "dq08_early_deliveries",
+    "select tenant_id, expedicao_id, nr_dias_atraso from fct_expedicao where nr_dias_atraso < 0",
+)(
+    lambda spark, sf_dir: quality.negative_values(
+        models(spark, sf_dir)["fct_expedicao"], ["tenant_id", "expedicao_id"], "nr_dias_atraso"
+    )
+)
+register(
+    "dq09_partition_gate",
+    f"select count(*) n from ({DELIVERED}) where tenant_id = 'unit_01' and year = 1999",
+)(
+    lambda spark, sf_dir: quality.partition_rows(
+        bronze.read_bronze(spark, deliver(spark, sf_dir), "comercial", "vendas"),
+        "unit_01",
+        dt.date(1999, 1, 1),
+    )
+)
+
+
+@register(
+    "dq10_missing_partitions",
+    """select tenant_id, cast(y as int) as year, 1 as month, 1 as day
+    from (values ('unit_01'), ('unit_02'), ('unit_03'), ('unit_04'), ('unit_05')) t(tenant_id),
+         generate_series(1994, 2003) g(y)
+    where (tenant_id, y) not in (select (tenant_id, year(created_at)) from vendas)""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = bronze.read_bronze(spark, deliver(spark, sf_dir), "comercial", "vendas")
+    days = quality.expected_partitions(
+        spark, TENANTS, dt.date(1994, 1, 1), dt.date(2003, 1, 1)
+    ).filter("month = 1 and day = 1")
+    return quality.missing_partitions(feed, days)
+
+
+@register(
+    "dq10_delivery_report",
+    f"""select tenant_id, year, month, day, true as has_files, count(*) n_records
+    from ({DELIVERED}) group by all""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    feed = bronze.read_bronze(spark, deliver(spark, sf_dir), "comercial", "vendas")
+    return quality.delivery_report(feed).select(
+        "tenant_id", "year", "month", "day", (F.col("files") > 0).alias("has_files"), "n_records"
+    )
+
+
+register(
+    "dq11_freshness",
+    """select make_date(max(year(created_at)), 1, 1) newest,
+    date_diff('hour', make_date(max(year(created_at)), 1, 1)::timestamp, timestamp '2001-01-02 12:00:00') age_hours,
+    'warn' status from vendas""",
+)(
+    lambda spark, sf_dir: quality.freshness(
+        bronze.read_bronze(spark, deliver(spark, sf_dir), "comercial", "vendas"), "2001-01-02 12:00:00"
+    )
+)
+register(
+    "dq12_volume",
+    """select tenant_id, nr_ano, count(*) n_records from (
+        select tenant_id, cast(year(dt_venda) as int) nr_ano from vendas) group by all
+    having count(*) < 456 * 0.8 or count(*) > 456 * 1.2""",
+)(
+    lambda spark, sf_dir: quality.volume_outside(
+        Feeds(spark, sf_dir)["vendas"].withColumn("nr_ano", F.year("dt_venda")), ["tenant_id", "nr_ano"], 456
+    )
+)
+register(
+    "dq13_value_range",
+    "select * from lineitem where l_quantity < 5 or l_quantity > 45",
+)(lambda spark, sf_dir: quality.outside_range(Feeds(spark, sf_dir).source["lineitem"], "l_quantity", 5, 45))
+register(
+    "dq13_row_count_range",
+    "select count(*) n_records from events having count(*) not between 1 and 100",
+)(lambda spark, sf_dir: quality.row_count_outside(Feeds(spark, sf_dir).source["events"], 1, 100))
+register(
+    "dq14_debits_equal_credits",
+    """select tenant_id, dt_competencia,
+    cast(coalesce(sum(vlr_lancamento) filter (cd_tipo_lancamento = 'DEBITO'), 0) as decimal(18,2)) vlr_debito,
+    cast(coalesce(sum(vlr_lancamento) filter (cd_tipo_lancamento = 'CREDITO'), 0) as decimal(18,2)) vlr_credito
+    from silver_dw_lancamentos group by all having vlr_debito <> vlr_credito""",
+)(
+    lambda spark, sf_dir: quality.unbalanced_entries(
+        models(spark, sf_dir)["silver_dw_lancamentos"], "dt_competencia"
+    )
+)
+
+
+@register(
+    "dq15_reconcile",
+    """select tenant_id, nm_ano_mes, a.v vlr_esquerda, b.v vlr_direita
+    from (select tenant_id, strftime(created_at, '%Y-%m') nm_ano_mes, cast(sum(vlr_total) as decimal(18,2)) v
+          from silver_dw_itens_pedido group by all) a
+    full join (select tenant_id, strftime(dt_venda, '%Y-%m') nm_ano_mes,
+                      cast(sum(vlr_total) as decimal(18,2)) v from fct_vendas group by all) b
+    using (tenant_id, nm_ano_mes)
+    where a.v is null or b.v is null or abs(a.v - b.v) > abs(a.v) * 0.001""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Revenue by shipping month against revenue by sale month."""
+    built = models(spark, sf_dir)
+    shipped = built["silver_dw_itens_pedido"].withColumn("nm_ano_mes", fn.month_label("created_at"))
+    sold = built["fct_vendas"].withColumn("nm_ano_mes", fn.month_label("dt_venda"))
+    return quality.reconcile(shipped, sold, ["tenant_id", "nm_ano_mes"], "vlr_total")
