@@ -34,7 +34,7 @@ from stratalake.sources.tables import (
 
 # Up to this many touched partitions are listed as literals for static pruning;
 # beyond it the same selection is made by a semi join.
-LITERAL_PARTITIONS = 2000
+LITERAL_PARTITIONS = 400
 
 
 class DuplicateKeys(ValueError):
@@ -130,7 +130,9 @@ def restrict_to(target: DataFrame, touched: DataFrame, by: Sequence[str]) -> Dat
     if not values:
         return target.limit(0)
     matches = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by]) for row in values]
-    return target.filter(reduce(or_, matches))
+    while len(matches) > 1:  # a balanced tree stays shallow for the analyser
+        matches = [reduce(or_, matches[i : i + 2]) for i in range(0, len(matches), 2)]
+    return target.filter(matches[0])
 
 
 def _align(spark: SparkSession, table: str, batch: DataFrame, on_schema_change: str) -> DataFrame:
@@ -165,7 +167,8 @@ def finish_interrupted(spark: SparkSession, table: str) -> None:
         return
     target = spark.table(table)
     staged = spark.read.schema(target.schema).parquet(path)
-    overwrite_partitions(for_partitions(staged, partition_columns(spark, table)), table)
+    # The staged files already hold one partition each: copy them without a shuffle.
+    overwrite_partitions(staged, table)
     spark.catalog.refreshTable(table)
     hadoop_path = spark._jvm.org.apache.hadoop.fs.Path(path)
     hadoop_path.getFileSystem(spark._jsc.hadoopConfiguration()).delete(hadoop_path, True)
