@@ -33,19 +33,19 @@ def fan_out(
     return spread.join(copies, [*on, "_bucket"]).drop("_bucket")
 
 
-def heavy_keys(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
-    """Keys that hold at least about ``share`` of all rows: at most 1/share of them.
+def heavy_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:
+    """Hashes (``_hot``) of the keys that hold at least about ``share`` of all rows.
 
-    One pass with a mergeable frequent-items sketch; it only decides which keys
-    are spread, never which rows are kept.
+    One pass with a mergeable frequent-items sketch; at most 1/share rows. It
+    only decides which keys are spread, never which rows are kept.
     """
     k = int(1 / share)
-    sketch = f"approx_top_k(struct({', '.join(keys)}), {k}, {max(10_000, 10 * k)})"
+    hashed = df.select(F.xxhash64(*keys).alias("h"))
     return (
-        df.agg(F.expr(sketch).alias("top"), F.count("*").alias("n"))
+        hashed.agg(F.expr(f"approx_top_k(h, {k}, {max(10_000, 10 * k)})").alias("top"), F.count("*").alias("n"))
         .select(F.explode("top").alias("t"), "n")
         .filter(F.col("t.count") >= F.col("n") * share)
-        .select("t.item.*")
+        .select(F.col("t.item").alias("_hot"))
     )
 
 
@@ -60,24 +60,23 @@ def join_spreading_hot_keys(
 ) -> DataFrame:
     """Exact ``fact`` inner/left join ``other`` with only the hot keys salted.
 
-    Rows of a hot (or NULL) key are spread over ``buckets`` by ``spread_by``; the matching
+    Rows of a hot key are spread over ``buckets`` by ``spread_by``; the matching
     rows of ``other`` are repeated per bucket. All other rows stay in bucket 0
-    and are shuffled once. The hot list is broadcast: it has at most 1/share rows.
+    and are shuffled once. Hotness is decided by the key's hash on both sides, so
+    a collision spreads one key more and changes nothing else. The hot list is
+    broadcast: it has at most 1/share rows. NULL keys have a hash like any other.
     """
     if how not in ("inner", "left"):
         raise ValueError(f"unsupported join type {how}")
-    hot = F.broadcast(heavy_keys(fact, on, share).withColumn("_hot", F.lit(True)))
-    is_hot = F.coalesce(F.col("_hot"), F.lit(False))
-    never_matches = F.greatest(*[F.col(c).isNull() for c in on], F.lit(False))
+    hot = F.broadcast(heavy_hashes(fact, on, share))
+    is_hot = F.col("_hot").isNotNull()
     left = (
-        fact.join(hot, list(on), "left")
-        .withColumn(
-            "_bucket", F.when(is_hot | never_matches, _bucket(spread_by, buckets)).otherwise(0)
-        )
+        fact.join(hot, F.xxhash64(*on) == F.col("_hot"), "left")
+        .withColumn("_bucket", F.when(is_hot, _bucket(spread_by, buckets)).otherwise(0))
         .drop("_hot")
     )
     right = (
-        other.join(hot, list(on), "left")
+        other.join(hot, F.xxhash64(*on) == F.col("_hot"), "left")
         .withColumn("_last", F.when(is_hot, buckets - 1).otherwise(0))
         .withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.col("_last"))))
         .drop("_hot", "_last")

@@ -56,13 +56,20 @@ class Models(Mapping[str, DataFrame]):
             return self.stored[name]
         return self.build(name)
 
-    def build(self, name: str, incremental: bool = False, now=None) -> DataFrame:
+    def build(
+        self,
+        name: str,
+        incremental: bool = False,
+        now: dt.datetime | str | None = None,
+        current: DataFrame | None = None,
+    ) -> DataFrame:
+        """Plan of one model; ``current`` is its stored content, if an incremental run has one."""
         if name in silver.MODELS:
             return silver.build(name, self.feeds, incremental, now)
         if name in dims.MODELS:
             return dims.build(name, self.spark, self, *self.calendar)
         if name in facts.MODELS:
-            return facts.build(name, self, incremental, now, self.as_of)
+            return facts.build(name, self, incremental, now, self.as_of, current)
         if name == "dre_contabil":
             return analytics.accounting_statement(self, "affected" if incremental else None, now)
         if name == "dre_gerencial":

@@ -16,7 +16,7 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import calendar_days, date_key, full_days, surrogate_key
 from stratalake.functions.temporal import as_of_date
-from stratalake.operators.lookback import lookback, lookback_days
+from stratalake.operators.lookback import lookback, lookback_days, within_lookback
 
 Tables = Mapping[str, DataFrame]
 Now = dt.datetime | str | Column | None
@@ -148,17 +148,32 @@ def project_budgets(t: Tables, incremental: bool = False, now: Now = None) -> Da
 
 
 def titles(
-    t: Tables, incremental: bool = False, now: Now = None, as_of: AsOf = None
+    t: Tables,
+    incremental: bool = False,
+    now: Now = None,
+    as_of: AsOf = None,
+    pending: DataFrame | None = None,
 ) -> DataFrame:
     """Settlement state and lateness of every title as of a day.
 
     The due date keeps its time of day: a title due yesterday at 10:00 is
     overdue with 0 complete days. Any settlement counts as settled, whatever
-    its value. No join and no shuffle.
+    its value. A full build neither joins nor shuffles.
+
+    State and lateness move with the calendar and with late settlements, not
+    only with new titles. Given the ``pending`` keys (titles stored as open or
+    overdue), an incremental run evaluates those again as well.
     """
     rows = t["silver_dw_titulos_financeiros"]
     if incremental:
-        rows = lookback(rows, "created_at", now)
+        recent = within_lookback("created_at", now)
+        selected = rows.filter(recent)
+        if pending is not None:
+            older = rows.filter(~F.coalesce(recent, F.lit(False)))
+            selected = selected.unionByName(
+                older.join(pending, list(KEYS["fct_titulo_financeiro"]), "left_semi")
+            )
+        rows = selected
     today = as_of_date(as_of).cast("timestamp_ntz")
     settled = F.col("dt_baixa").isNotNull()
     late = F.col("dt_vencimento") < today
@@ -182,15 +197,11 @@ def titles(
     )
 
 
-def reassess_titles(stored: DataFrame, as_of: AsOf = None) -> DataFrame:
-    """Re-evaluate the state of stored titles that are still open or overdue.
-
-    State and lateness move with the calendar, not with new rows; an incremental
-    run that only reads recent titles would leave them as they were.
-    """
-    columns = stored.columns
-    pending = stored.filter(F.col("ds_situacao_titulo").isin("EM_ABERTO", "VENCIDO"))
-    return titles({"silver_dw_titulos_financeiros": pending}, as_of=as_of).select(*columns)
+def open_titles(stored: DataFrame) -> DataFrame:
+    """Keys of stored titles whose state can still change."""
+    return stored.filter(F.col("ds_situacao_titulo").isin("EM_ABERTO", "VENCIDO")).select(
+        *KEYS["fct_titulo_financeiro"]
+    )
 
 
 def ledger_entries(t: Tables, incremental: bool = False, now: Now = None) -> DataFrame:
@@ -243,9 +254,19 @@ _AS_OF = {"fct_ordens_producao", "fct_titulo_financeiro"}
 
 
 def build(
-    name: str, t: Tables, incremental: bool = False, now: Now = None, as_of: AsOf = None
+    name: str,
+    t: Tables,
+    incremental: bool = False,
+    now: Now = None,
+    as_of: AsOf = None,
+    stored: DataFrame | None = None,
 ) -> DataFrame:
-    extra = {"as_of": as_of} if name in _AS_OF else {}
+    """``stored`` is the current content of the fact; only the titles use it."""
+    extra = {}
+    if name in ("fct_ordens_producao", "fct_titulo_financeiro"):
+        extra["as_of"] = as_of
+    if name == "fct_titulo_financeiro" and incremental and stored is not None:
+        extra["pending"] = open_titles(stored)
     return BUILDERS[name](t, incremental=incremental, now=now, **extra)
 
 
