@@ -19,16 +19,19 @@ def _bucket(cols: Sequence[str], n: int) -> Column:
 
 
 def fan_out(
-    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], buckets: int = 16
+    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], buckets: int = 64
 ) -> DataFrame:
     """Many-to-many equi-join on a coarse key (all pairs within it are the wanted result).
 
-    With only a few distinct keys a shuffled join would use as many tasks as
-    there are keys. ``right`` is repeated once per bucket and ``left`` is spread
-    over the buckets by ``spread_by``, which gives keys x buckets tasks. Where
-    ``right`` is small by its own statistics Spark broadcasts it.
+    The inputs are small and the output is large, which defeats size-based
+    planning: a shuffle on the few keys gives few tasks, and a broadcast join
+    runs in as few tasks as the small ``left`` has. So ``left`` is spread over
+    keys x buckets tasks (an explicit partition count is not coalesced by AQE)
+    and ``right`` is repeated once per bucket. Whether ``right`` is then
+    broadcast or shuffled is Spark's choice by size; both keep the spread.
     """
-    spread = left.withColumn("_bucket", _bucket(spread_by, buckets))
+    tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    spread = left.withColumn("_bucket", _bucket(spread_by, buckets)).repartition(tasks, *on, "_bucket")
     copies = right.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return spread.join(copies, [*on, "_bucket"]).drop("_bucket")
 

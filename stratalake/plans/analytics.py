@@ -35,7 +35,7 @@ def ledger_totals(entries: DataFrame) -> DataFrame:
 
 
 def accounting_statement(
-    t: Tables, incremental: str | None = None, now: Now = None, buckets: int = 16
+    t: Tables, incremental: str | None = None, now: Now = None, buckets: int = 64
 ) -> DataFrame:
     """Totals repeated for every (company, cost centre) of the tenant.
 
@@ -100,12 +100,18 @@ def category(account_type: Column | str) -> Column:
 
 
 def managerial_statement(t: Tables) -> DataFrame:
-    """Accounting statement summed by category."""
+    """Accounting statement summed by category.
+
+    The statement is the largest Gold table, so only the natural key is
+    shuffled; the cost-centre key and the date key follow from it.
+    """
     rows = t["dre_contabil"].withColumn("ds_categoria", category("cd_tipo_conta"))
-    summed = rows.groupBy(
-        "tenant_id", "empresa_id", "centro_custo_id", "centro_custo_sk", "ds_categoria",
-        "dt_competencia", "data_id",
-    ).agg(F.sum("vlr_total").alias("vlr_categoria"))
+    summed = (
+        rows.groupBy(*MANAGERIAL_KEYS)
+        .agg(F.sum("vlr_total").alias("vlr_categoria"))
+        .withColumn("centro_custo_sk", surrogate_key("tenant_id", "centro_custo_id"))
+        .withColumn("data_id", date_key("dt_competencia"))
+    )
     return summed.select(
         surrogate_key(*MANAGERIAL_KEYS).alias("dre_gerencial_sk"),
         "tenant_id",

@@ -47,9 +47,11 @@ class Models(Mapping[str, DataFrame]):
         as_of: dt.date | str | None = None,
         calendar: tuple[dt.date, dt.date] = (dims.CALENDAR_START, dims.CALENDAR_END),
         stored: Mapping[str, DataFrame] | None = None,
+        delivered_from: dt.date | None = None,
     ) -> None:
         self.spark, self.feeds, self.as_of, self.calendar = spark, feeds, as_of, calendar
         self.stored = stored if stored is not None else {}
+        self.delivered_from = delivered_from
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.stored:
@@ -65,7 +67,7 @@ class Models(Mapping[str, DataFrame]):
     ) -> DataFrame:
         """Plan of one model; ``current`` is its stored content, if an incremental run has one."""
         if name in silver.MODELS:
-            return silver.build(name, self.feeds, incremental, now)
+            return silver.build(name, self.feeds, incremental, now, self.delivered_from)
         if name in dims.MODELS:
             return dims.build(name, self.spark, self, *self.calendar)
         if name in facts.MODELS:

@@ -20,6 +20,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.text import digits_only, norm_default, norm_lower, norm_upper
 from stratalake.operators.dedup import dedup_latest
 from stratalake.operators.lookback import lookback, within_lookback
+from stratalake.sources.bronze import delivered_since
 
 Feeds = Mapping[str, DataFrame]
 Now = dt.datetime | str | Column | None
@@ -295,11 +296,22 @@ TITLE_KEYS = ("tenant_id", "titulo_id", "tipo_titulo")
 
 
 def clean(
-    spec: SilverSpec, feed: DataFrame, incremental: bool = False, now: Now = None
+    spec: SilverSpec,
+    feed: DataFrame,
+    incremental: bool = False,
+    now: Now = None,
+    delivered_from: dt.date | None = None,
 ) -> DataFrame:
-    """Filter, normalise and dedup one feed. Filters precede the projection and reach the scan."""
+    """Filter, normalise and dedup one feed. Filters precede the projection and reach the scan.
+
+    ``delivered_from`` lets an incremental run open only the directories of that
+    delivery day and later. It is exact where rows are delivered on or after the
+    day of their watermark.
+    """
     if spec.dedup:
         feed = feed.filter(F.col(spec.key).isNotNull())
+    if incremental and delivered_from is not None:
+        feed = delivered_since(feed, delivered_from)
     if incremental:
         feed = lookback(feed, spec.lookback_on or spec.watermark, now)
     rows = feed.select(
@@ -364,11 +376,18 @@ def finance_titles(
     )
 
 
-def build(name: str, feeds: Feeds, incremental: bool = False, now: Now = None) -> DataFrame:
+def build(
+    name: str,
+    feeds: Feeds,
+    incremental: bool = False,
+    now: Now = None,
+    delivered_from: dt.date | None = None,
+) -> DataFrame:
+    """Titles look up older rows by their settlements, so they always see all deliveries."""
     if name == TITLES:
         return finance_titles(feeds, incremental, now)
     spec = SPECS[name]
-    return clean(spec, feeds[spec.feed], incremental, now)
+    return clean(spec, feeds[spec.feed], incremental, now, delivered_from)
 
 
 def keys_of(name: str) -> tuple[str, ...]:

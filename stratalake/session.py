@@ -8,12 +8,13 @@ import uuid
 from pyspark.sql import DataFrame, SparkSession
 
 # What a large cluster needs from AQE: right-sized reducers, split hot join
-# partitions and split hot write partitions. Only keys that are not yet set by
-# the deployment are applied.
+# partitions and split hot write partitions.
 DEFAULTS = {
     "spark.sql.adaptive.enabled": "true",
     "spark.sql.adaptive.coalescePartitions.enabled": "true",
     "spark.sql.adaptive.skewJoin.enabled": "true",
+    # split a hot partition even where that costs one more exchange
+    "spark.sql.adaptive.forceOptimizeSkewedJoin": "true",
     "spark.sql.adaptive.optimizeSkewsInRebalancePartitions.enabled": "true",
     "spark.sql.adaptive.advisoryPartitionSizeInBytes": "128m",
     "spark.sql.session.timeZone": "UTC",
@@ -21,7 +22,24 @@ DEFAULTS = {
 }
 
 
-def build_session(app: str = "stratalake", master: str | None = None, **conf: str) -> SparkSession:
+def shuffle_partitions_for(input_bytes: int, per_partition: int = 256 << 20) -> int:
+    """Reducers for the largest shuffle of a job: 200 at least, 50,000 at most.
+
+    Beyond the upper bound the shuffle's bookkeeping (maps x reducers) costs more
+    than larger, spilling partitions. AQE merges what turns out to be too small.
+    """
+    return max(200, min(50_000, -(-input_bytes // per_partition)))
+
+
+def build_session(
+    app: str = "stratalake",
+    master: str | None = None,
+    input_bytes: int | None = None,
+    **conf: str,
+) -> SparkSession:
+    """A session with the defaults above; ``conf`` keys use ``__`` for dots."""
+    if input_bytes is not None:
+        conf.setdefault("spark__sql__shuffle__partitions", str(shuffle_partitions_for(input_bytes)))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

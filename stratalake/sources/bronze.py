@@ -54,6 +54,13 @@ def prune(
     return df
 
 
+def delivered_since(df: DataFrame, day: dt.date) -> DataFrame:
+    """Deliveries of ``day`` and later, by directory; feeds without partition columns pass through."""
+    if not {"year", "month", "day"} <= set(df.columns):
+        return df
+    return prune(df, start=day)
+
+
 def with_partition_day(df: DataFrame, day: Column | str | dt.date) -> DataFrame:
     """Add year/month/day from the extraction date."""
     if isinstance(day, dt.date):

@@ -7,8 +7,11 @@ import pytest
 from pyspark.sql import functions as F
 
 from conftest import as_set, plan_of
+from stratalake.plans import silver
 from stratalake.plans.build import build_layers, check_results
 from stratalake.plans.catalogue import Models
+from stratalake.session import shuffle_partitions_for
+from stratalake.sources.tables import partition_columns
 from workload.feeds import Feeds
 
 SF_DIR = "/root/testdata/sf0.001"
@@ -61,6 +64,34 @@ def test_incremental_run_equals_a_full_build(spark, lake, accounting):
         assert as_set(a.select(sorted(a.columns))) == as_set(b.select(sorted(b.columns))), name
 
 
+def test_month_partitions_give_the_same_tables(spark, lake, accounting):
+    before, after = accounting
+    options = {"month_partitions": True}
+    build_layers(spark, before, lake, ACCOUNTING, now="2025-01-03 00:00:00", **options)
+    built = build_layers(
+        spark, after, lake, ACCOUNTING, full_refresh=False, now="2025-01-21 00:00:00", **options
+    )
+    assert partition_columns(spark, lake.name("gold", "fct_lancamentos")) == ["tenant_id", "_mes"]
+    assert "_mes" not in built["fct_lancamentos"].columns
+    assert as_set(built["dre_contabil"].select("vlr_total")) == {(D("12.00"),)}
+    assert built["silver_dw_lancamentos"].count() == 3
+
+
+def test_incremental_run_opens_recent_deliveries_only(rows):
+    feed = rows(
+        "tenant_id string, cliente_id string, nome string, documento string, email string, cidade string,"
+        "uf string, created_at timestamp_ntz, updated_at timestamp_ntz, year int, month int, day int",
+        ("u", "1", "a", "", "", "", "", None, TS(2025, 1, 9), 2025, 1, 9),
+        ("u", "2", "b", "", "", "", "", None, TS(2025, 1, 9), 2025, 1, 1),  # cannot happen: delivered before
+    )
+    run = lambda **kw: as_set(
+        silver.build("silver_dw_clientes", {"clientes": feed}, now="2025-01-10 00:00:00", **kw).select("cliente_id")
+    )
+    since = dt.date(2025, 1, 8)
+    assert run(incremental=True, delivered_from=since) == {("1",)}
+    assert run(incremental=True) == run(delivered_from=since) == {("1",), ("2",)}
+
+
 def test_same_run_twice_changes_nothing(spark, lake, accounting):
     _, after = accounting
     for full in (True, False, False):
@@ -107,3 +138,9 @@ def test_slice_prunes_to_one_tenant_directory(spark, lake, models):
     lake.write(models["silver_dw_vendas"], "silver", "vendas")
     one = lake.table("silver", "vendas").filter("tenant_id = 'unit_01'")
     assert "PartitionFilters: [isnotnull(tenant_id" in plan_of(one)
+
+
+def test_shuffle_partitions_follow_the_data():
+    assert shuffle_partitions_for(0) == 200
+    assert shuffle_partitions_for(1 << 40) == 4096
+    assert shuffle_partitions_for(100 << 40) == 50_000
