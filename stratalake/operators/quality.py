@@ -17,7 +17,9 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.functions.temporal import now_ts
+from stratalake.sources.bronze import path_exists, prune, read_bronze, table_path
 from stratalake.sources.conform import schema_differences
+from stratalake.sources.contract import PARTITION_COLUMNS, REGISTRY, data_schema
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -215,6 +217,28 @@ def delivery_report(df: DataFrame) -> DataFrame:
     )
 
 
+def audit_deliveries(
+    spark: SparkSession, root: str, tenants: Sequence[str], start: dt.date, end: dt.date
+) -> tuple[DataFrame, dict[str, list[str]]]:
+    """Check all feeds below ``root`` for a range of days.
+
+    Returns the missing (datamart, table, tenant, day) and, per feed, how the
+    files differ from the contract.
+    """
+    expected = expected_partitions(spark, tenants, start, end)
+    gaps, differences = [], {}
+    for datamart, table in REGISTRY:
+        path = table_path(root, datamart, table)
+        missing = expected
+        if path_exists(spark, path):
+            feed = prune(read_bronze(spark, root, datamart, table), tenants, start, end)
+            missing = missing_partitions(feed, expected)
+            found = spark.read.parquet(path).drop(*PARTITION_COLUMNS).schema
+            differences[f"{datamart}.{table}"] = schema_differences(found, data_schema(datamart, table))
+        gaps.append(missing.select(F.lit(datamart).alias("datamart"), F.lit(table).alias("table"), "*"))
+    return reduce(DataFrame.unionByName, gaps), {k: v for k, v in differences.items() if v}
+
+
 def contract_violations(df: DataFrame, expected: T.StructType) -> list[str]:
     return schema_differences(df.schema, expected)
 

@@ -26,6 +26,7 @@ from stratalake.operators.dedup import dedup_latest
 from stratalake.session import materialise, shared_dir
 from stratalake.sources.bronze import path_exists
 from stratalake.sources.tables import (
+    describe,
     for_partitions,
     overwrite_partitions,
     partition_columns,
@@ -62,6 +63,7 @@ def upsert(
     on_schema_change   "append_new_columns", "ignore" or "fail".
     stable_partitions  promise that a key never changes its partition values; saves
                        the key scan that looks for old versions in other partitions.
+                       Given anyway where the partition columns are part of the key.
     """
     spark = batch.sparkSession
     batch = materialise(_unique_batch(batch, keys, order_by), "batch")
@@ -74,6 +76,7 @@ def upsert(
     batch = _align(spark, table, batch, on_schema_change)
     target = spark.table(table)
     by = partition_columns(spark, table)
+    stable_partitions = stable_partitions or set(by) <= set(keys)
     touched = batch.select(*by).distinct()
     if not stable_partitions:
         old = target.select(*keys, *[c for c in by if c not in keys])
@@ -155,8 +158,7 @@ def _align(spark: SparkSession, table: str, batch: DataFrame, on_schema_change:
 
 def _staging(spark: SparkSession, table: str) -> str:
     """One fixed folder per table location, so that a later session finds an unfinished copy."""
-    described = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter("col_name = 'Location'")
-    location = described.first()["data_type"]
+    location = describe(spark, table, "Location")
     return f"{shared_dir(spark)}/stratalake/upsert/{hashlib.md5(location.encode()).hexdigest()}"
 
 

@@ -22,8 +22,25 @@ UNKNOWN_DEPARTMENT = "NAO_INFORMADO"
 def calendar(
     spark: SparkSession, start: dt.date = CALENDAR_START, end: dt.date = CALENDAR_END
 ) -> DataFrame:
-    """One row per day; shared by all tenants."""
-    days = spark.range(1).select(F.explode(F.sequence(F.lit(start), F.lit(end))).alias("dt_data"))
+    """One row per day of a fixed range; shared by all tenants."""
+    return calendar_days_of(
+        spark.range(1).select(F.lit(start).alias("first_day"), F.lit(end).alias("last_day"))
+    )
+
+
+def calendar_covering(dates: DataFrame, column: str) -> DataFrame:
+    """Whole years around the dates that occur in ``column``."""
+    span = dates.agg(F.min(column).alias("low"), F.max(column).alias("high"))
+    return calendar_days_of(
+        span.select(
+            F.make_date(F.year("low"), F.lit(1), F.lit(1)).alias("first_day"),
+            F.make_date(F.year("high"), F.lit(12), F.lit(31)).alias("last_day"),
+        )
+    )
+
+
+def calendar_days_of(bounds: DataFrame) -> DataFrame:
+    days = bounds.select(F.explode(F.sequence("first_day", "last_day")).alias("dt_data"))
     weekday = iso_weekday("dt_data")
     return days.select(
         date_key("dt_data").alias("data_id"),

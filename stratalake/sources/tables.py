@@ -18,6 +18,9 @@ LAYERS = {
 }
 
 
+DYNAMIC = ("partitionOverwriteMode", "dynamic")
+
+
 class Lake:
     """Resolves (layer, name) to a catalog table below one storage root.
 
@@ -72,10 +75,14 @@ def for_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 def write_table(
     df: DataFrame, name: str, partition_by: Sequence[str] = ("tenant_id",)
 ) -> DataFrame:
-    """Full rebuild of a table. ``df`` must not read the table itself."""
+    """Full rebuild of a table. ``df`` must not read the table itself.
+
+    The table remembers that later partial overwrites replace partitions only,
+    so merges need no session-wide setting and may run side by side.
+    """
     writer = for_partitions(df, partition_by).write.mode("overwrite").format("parquet")
     if partition_by:
-        writer = writer.partitionBy(*partition_by)
+        writer = writer.partitionBy(*partition_by).option(*DYNAMIC)
     writer.saveAsTable(name)
     return df.sparkSession.table(name)
 
@@ -88,15 +95,26 @@ def create_view(df: DataFrame, name: str) -> DataFrame:
 def overwrite_partitions(df: DataFrame, table: str) -> None:
     """Replace exactly the partitions present in ``df``; the table must be partitioned."""
     spark = df.sparkSession
-    key = "spark.sql.sources.partitionOverwriteMode"
+    rows = df.select(*spark.table(table).columns)
+    if f"{DYNAMIC[0]}={DYNAMIC[1]}" in describe(spark, table, "Storage Properties"):
+        rows.write.insertInto(table, overwrite=True)
+        return
+    # A table made elsewhere: the option exists for this session only.
+    key = f"spark.sql.sources.{DYNAMIC[0]}"
     before = spark.conf.get(key)
-    spark.conf.set(key, "dynamic")
+    spark.conf.set(key, DYNAMIC[1])
     try:
-        df.select(*spark.table(table).columns).write.insertInto(table, overwrite=True)
+        rows.write.insertInto(table, overwrite=True)
     finally:
         spark.conf.set(key, before)
 
 
+def describe(spark: SparkSession, table: str, item: str) -> str:
+    """One line of the table's extended description, empty if it is not there."""
+    found = spark.sql(f"DESCRIBE TABLE EXTENDED {table}").filter(F.col("col_name") == item).first()
+    return found["data_type"] if found else ""
+
+
 def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 

@@ -9,6 +9,8 @@ from pyspark.sql import types as T
 from conftest import as_set
 from stratalake.operators import quality as q
 from stratalake.plans import checks
+from stratalake.session import scratch_path
+from stratalake.sources import bronze
 
 D = Decimal
 
@@ -101,3 +103,21 @@ def test_freshness_of_an_empty_feed(spark, rows):
 def test_contract_violations(rows):
     expected = T.StructType([T.StructField("v", T.StringType())])
     assert q.contract_violations(rows("v int", (1,)), expected) == ["v: int instead of string"]
+
+
+def test_audit_of_all_feeds(spark, rows):
+    root, day = scratch_path(spark, "bronze"), dt.date(2025, 4, 1)
+    feed = rows("centro_custo_id string, descricao string, created_at timestamp_ntz, tenant_id string", ("1", "x", None, "unit_01"))
+    bronze.write_bronze(bronze.with_partition_day(feed, day), root, "controladoria", "centros_custos")
+    odd = rows("departamento_id int, created_at timestamp_ntz, tenant_id string, year int, month int, day int", (1, None, "unit_01", 2025, 4, 1))
+    odd.write.partitionBy("tenant_id", "year", "month", "day").parquet(f"{root}/corporativo/departamentos")
+    gaps, differences = q.audit_deliveries(spark, root, ["unit_01", "unit_02"], day, day)
+    assert gaps.count() == 23 * 2 - 2
+    assert as_set(gaps.filter("table = 'centros_custos'").select("tenant_id")) == {("unit_02",)}
+    assert differences == {"corporativo.departamentos": ["missing nome string", "departamento_id: int instead of string"]}
+
+
+def test_source_checks(rows):
+    feed = rows("tenant_id string, cliente_id string", ("u", None), (None, "1"), ("u", "2"))
+    [(name, failing)] = checks.failing_rows("clientes", {"clientes": feed})
+    assert name == "clientes.not_null" and as_set(failing) == {("cliente_id", 1), ("tenant_id", 1)}

@@ -156,6 +156,20 @@ def test_compact_keeps_rows_and_reduces_files(spark, lake, rows):
     assert per_tenant["unit_01"] == 1 and per_tenant["unit_02"] > 1
 
 
+def test_full_rebuild_removes_old_partitions(spark, lake, rows):
+    lake.write(rows("id int, tenant_id string", (1, "a"), (2, "b")), "silver", "t")
+    lake.write(rows("id int, tenant_id string", (9, "b")), "silver", "t")
+    assert as_set(lake.table("silver", "t")) == {(9, "b")}
+
+
+def test_partition_overwrite_of_a_foreign_table(spark, lake, rows):
+    name = lake.name("silver", "f")
+    rows("id int, tenant_id string", (1, "a"), (2, "b")).write.partitionBy("tenant_id").saveAsTable(name)
+    overwrite_partitions(rows("id int, tenant_id string", (9, "b")), name)
+    assert as_set(spark.table(name)) == {(1, "a"), (9, "b")}
+    assert spark.conf.get("spark.sql.sources.partitionOverwriteMode").upper() == "STATIC"
+
+
 def test_partition_overwrite_keeps_the_others(spark, lake, rows):
     name = lake.name("silver", "t")
     lake.write(rows("id int, tenant_id string", (1, "a"), (2, "b")), "silver", "t")

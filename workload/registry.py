@@ -5,6 +5,7 @@ from __future__ import annotations
 import datetime as dt
 import uuid
 from collections.abc import Callable
+from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -16,7 +17,7 @@ from stratalake.operators.dedup import dedup_latest
 from stratalake.operators.lookback import lookback, since_high_water, within_lookback
 from stratalake.operators.quality import summarise
 from stratalake.operators.upsert import upsert
-from stratalake.plans import analytics, checks, silver
+from stratalake.plans import analytics, checks, dims, silver
 from stratalake.plans.build import build_layers, check_results
 from stratalake.plans.catalogue import LAYER_OF, Models
 from stratalake.session import scratch_path
@@ -84,7 +85,17 @@ for _group, _names in IDS.items():
         _model = f"silver_dw_{_name}" if _group == "sv" else _name
         assert _model in LAYER_OF
         _label = f"silver_{_name}" if _group == "sv" else _name
-        register(f"{_group}{_number:02d}_{_label}", _model)(_model_query(_model))
+        if _model != "dim_calendrio":
+            register(f"{_group}{_number:02d}_{_label}", _model)(_model_query(_model))
+
+register(
+    "gd01_dim_calendrio",
+    oracle.CTES["dim_calendrio"].replace(
+        "generate_series(timestamp '1995-01-01', timestamp '2001-12-31', interval 1 day) g(d)",
+        """(select unnest(generate_series(make_date(min(year(l_shipdate)), 1, 1)::timestamp,
+           make_date(max(year(l_shipdate)), 12, 31)::timestamp, interval 1 day)) d from lineitem)""",
+    ),
+)(lambda spark, sf_dir: dims.calendar_covering(Feeds(spark, sf_dir).source["lineitem"], "l_shipdate"))
 
 
 # Marts described beyond the stored models ------------------------------------------------------
@@ -687,6 +698,24 @@ register(
         ["venda_id", "transportadora_id", "dt_entrega_realizada"],
     )
 )
+register(
+    "dq01_source_not_null",
+    """select 'clientes.not_null' check_name, column_name, n_records from (
+        select 'cliente_id' column_name, count(*) n_records from clientes where cliente_id is null
+        union all select 'tenant_id', count(*) from clientes where tenant_id is null)
+    where n_records > 0
+    union all select 'vendas.not_null', 'venda_id', count(*) from vendas where venda_id is null
+    having count(*) > 0""",
+)(
+    lambda spark, sf_dir: reduce(
+        DataFrame.unionByName,
+        [
+            failing.select(F.lit(name).alias("check_name"), "*")
+            for feed in checks.SOURCES
+            for name, failing in checks.failing_rows(feed, Feeds(spark, sf_dir))
+        ],
+    )
+)
 register(
     "dq02_unique",
     """select vendedor_id, count(*) n_records from vendedores where vendedor_id is not null
