@@ -10,6 +10,7 @@ not yet emitted, trie node) that the bytes so far allow, and what all of them be
 from __future__ import annotations
 
 import base64
+import functools
 import itertools
 from collections.abc import Callable, Iterable, Iterator
 
@@ -86,18 +87,22 @@ class Merges:
 
 
 class _State:
-    __slots__ = ("end", "last", "next", "open")
+    """The ways open after some bytes: pairs of (tokens not yet emitted, trie node)."""
 
-    def __init__(self, last: int, open_: frozenset):
-        self.last, self.open = last, open_
-        self.next: dict[int, tuple[_State, tuple[int, ...]]] = {}
+    __slots__ = ("end", "next", "open")
+
+    def __init__(self, open_: frozenset):
+        self.open = open_
+        # byte -> (tokens whose border with the last emitted one must be asked, {answers: (state, out)})
+        self.next: dict[int, tuple[tuple[int, ...], dict[int, tuple[_State, tuple[int, ...]]]]] = {}
         self.end = next((pending for pending, node in open_ if node == 0), ())
 
 
 class Transducer:
-    """Bytes to tokens; states are made when first met and forgotten together beyond ``max_states``."""
+    """Bytes to tokens. The last emitted token is kept in a register, so that states are few; they are
+    made when first met and forgotten together beyond ``max_states``."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 60_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000):
         self.merges = Merges(ranks)
         self.max_states = max_states
         self.child: list[dict[int, int]] = [{}]
@@ -110,52 +115,59 @@ class Transducer:
                     self.child.append({})
                     self.token.append(-1)
                 node = self.child[node][b]
-            self.token[node] = token
+            self.token[node] = token if self.merges.made(token) else -1
         self._forget()
 
     def _forget(self) -> None:
-        self.states: dict[tuple[int, frozenset], _State] = {}
-        self.start = self._state(-1, frozenset([((), 0)]))
+        self.states: dict[frozenset, _State] = {}
+        self.start = self._state(frozenset([((), 0)]))
 
-    def _state(self, last: int, open_: frozenset) -> _State:
-        key = (last, open_)
-        if key not in self.states:
-            self.states[key] = _State(last, open_)
-        return self.states[key]
+    def _state(self, open_: frozenset) -> _State:
+        if open_ not in self.states:
+            self.states[open_] = _State(open_)
+        return self.states[open_]
 
-    def _grow(self, state: _State, byte: int) -> tuple[_State, tuple[int, ...]]:
-        ways = set()
+    def _step(self, state: _State, byte: int, asked: tuple[int, ...], answers: int) -> tuple[_State, tuple[int, ...]]:
+        """The state after ``byte`` and what is emitted: what all ways now begin with."""
+        ways = []
         for pending, node in state.open:
             to = self.child[node].get(byte)
             if to is None:
                 continue
             if self.child[to]:
-                ways.add((pending, to))
+                ways.append((pending, to))
             token = self.token[to]
-            if token >= 0 and self.merges.made(token):
-                before = pending[-1] if pending else state.last
-                if before < 0 or self.merges.neighbours(before, token):
-                    ways.add((pending + (token,), 0))
-        pendings = [p for p, _ in ways]
-        short = min(pendings, key=len)
-        n = 0
-        while n < len(short) and all(p[n] == short[n] for p in pendings):
+            if token >= 0 and (
+                self.merges.neighbours(pending[-1], token) if pending else answers >> asked.index(token) & 1
+            ):
+                ways.append((pending + (token,), 0))
+        first, n = min((p for p, _ in ways), key=len), 0
+        while n < len(first) and all(p[n] == first[n] for p, _ in ways):
             n += 1
-        out = short[:n]
-        last = out[-1] if out else state.last
-        made = (self._state(last, frozenset((p[n:], node) for p, node in ways)), out)
-        state.next[byte] = made
+        return self._state(frozenset((p[n:], node) for p, node in ways)), first[:n]
+
+    def _asked(self, state: _State, byte: int) -> tuple[tuple[int, ...], dict]:
+        ends = {self.token[self.child[node].get(byte, 0)] for pending, node in state.open if not pending}
+        state.next[byte] = made = (tuple(sorted(ends - {-1})), {})
         return made
 
     def encode(self, piece: bytes) -> tuple[int, ...]:
         if len(self.states) > self.max_states:
             self._forget()
-        state, out = self.start, []
+        state, out, last, neighbours = self.start, [], -1, self.merges.neighbours
         for b in piece:
-            found = state.next.get(b) or self._grow(state, b)
-            state = found[0]
-            if found[1]:
-                out += found[1]
+            asked, table = state.next.get(b) or self._asked(state, b)
+            answers = 0
+            for i, token in enumerate(asked):
+                if last < 0 or neighbours(last, token):
+                    answers |= 1 << i
+            to = table.get(answers)
+            if to is None:
+                to = table[answers] = self._step(state, b, asked, answers)
+            state = to[0]
+            if to[1]:
+                out += to[1]
+                last = out[-1]
         out += state.end
         return tuple(out)
 
@@ -228,6 +240,17 @@ def decode_stream(ids: Iterable[int], piece: Callable[[int], bytes], chunk: int
         yield rest
 
 
+@functools.cache
+def _encoder(ranks_path: str, pattern: str) -> Encoder:
+    """One per Python worker, for all its tasks."""
+    return Encoder(read_ranks(ranks_path), pattern)
+
+
+@functools.cache
+def _pieces(ranks_path: str) -> dict[int, bytes]:
+    return {i: p for p, i in read_ranks(ranks_path).items()}
+
+
 def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, ids (array of tokens).
 
@@ -236,7 +259,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = Encoder(read_ranks(ranks_path), pattern)
+        encoder = _encoder(ranks_path, pattern)
         for batch in slices(batches, 1):
             ids = [encoder.encode(t.decode("utf-8", "replace")) for t in batch.column(1).to_pylist()]
             ends = np.cumsum([0, *map(len, ids)]).astype(np.int32)
@@ -253,7 +276,7 @@ def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     the ranks is an error, bytes that are not UTF-8 become U+FFFD."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        piece = {i: p for p, i in read_ranks(ranks_path).items()}.__getitem__
+        piece = _pieces(ranks_path).__getitem__
         for batch in batches:
             step = 256
             for lo in range(0, batch.num_rows, step):
