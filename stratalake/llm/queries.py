@@ -7,7 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, decontaminate, exact_dedup, toxicity, url_filters
+from stratalake.llm import bpe, decontaminate, exact_dedup, langid, ngram_join, pii, quality, toxicity, url_filters, warc
 from stratalake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -37,6 +37,84 @@ def op1_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+_B = "[\\t\\n\\x0B\\f\\r ]"
+
+
+def _sql_text(html: str) -> str:
+    """The same rules as regular expressions of the checking engine."""
+    c = f"regexp_replace({html}, '(?s)<!--.*?-->', '', 'g')"
+    for tag in warc.HIDDEN:
+        c = f"regexp_replace({c}, '(?is)<{tag}(?:{_B}[^>]*)?>.*?</{tag}{_B}*>', '', 'g')"
+    c = f"regexp_replace({c}, '(?i)</?(?:{warc.BREAKS})(?:{_B}[^>]*|/)?>', chr(10), 'g')"
+    c = _sql_unescape(f"regexp_replace({c}, '<[A-Za-z/!?][^>]*>', '', 'g')")
+    c = f"regexp_replace({c}, '[\\t\\x0B\\f\\r ]+', ' ', 'g')"
+    c = f"regexp_replace({c}, ' ?\\n[\\n ]*', chr(10), 'g')"
+    return f"regexp_replace({c}, '^[\\n ]+|[\\n ]+$', '', 'g')"
+
+
+def _sql_unescape(c: str) -> str:
+    for name, value in warc.NAMED:
+        c = f"replace({c}, '&{name};', '{value.replace(chr(39), chr(39) * 2)}')"
+    return c
+
+
+def _sql_uuid(text: str) -> str:
+    h = f"sha256({text})"
+    cut = ", ".join(f"substr({h}, {a}, {n})" for a, n in ((1, 8), (9, 4), (14, 3), (18, 3), (21, 12)))
+    return "'<urn:uuid:' || format('{}-{}-8{}-a{}-{}', " + cut + ") || '>'"
+
+
+@query(f"""
+with p as (
+  select page_id, coalesce(url, '') as u, coalesce(html, '') as h,
+         {_sql_uuid("concat_ws(chr(10), 'response', coalesce(page_id::varchar, ''), coalesce(url, ''))")} as rid
+  from pages),
+w as (
+  select page_id, rid, u, h, strlen(h)::varchar as n, {_sql_text("h")} as txt,
+         trim(regexp_replace({_sql_unescape(f"regexp_extract(h, '(?is)<title(?:{_B}[^>]*)?>(.*?)</title', 1)")}, '{_B}+', ' ', 'g')) as title,
+         regexp_extract_all(h, '(?i)<a{_B}(?:[^>]*{_B})?href="([^"]*)"', 1) as links
+  from p),
+r as (
+  select page_id, 'conversion' as record_type, rid as refers_to, u as target_uri, strlen(txt) as content_length,
+         sha256(txt) as block_sha256, sha256(h) as payload_sha256,
+         null::varchar as title, null::bigint as n_links, null::varchar as response_sha256, rid
+  from w
+  union all
+  select page_id, 'metadata', rid, u, null, null, sha256(h), title, len(links),
+         sha256('HTTP/1.1 200 OK' || chr(13) || chr(10) || 'Content-Type: text/html; charset=utf-8' || chr(13) || chr(10)
+           || 'Content-Length: ' || n || chr(13) || chr(10) || chr(13) || chr(10) || h), rid
+  from w)
+select page_id, record_type, {_sql_uuid("concat_ws(chr(10), record_type, rid)")} as record_id, refers_to, target_uri,
+       content_length, block_sha256, payload_sha256, title, n_links, response_sha256
+from r
+""")
+def op2_warc_derivatives(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Both derived records of every page; what is derived from JSON text is read back out of the record."""
+    made = warc.derivatives(warc.responses(table(spark, sf_dir, "pages")))
+    is_text = F.col("record_type") == "conversion"
+    json = lambda path: F.get_json_object("block", path)
+    field = lambda name: F.regexp_extract("header", f"\r\n{name}: sha256:([0-9a-f]+)\r\n", 1)
+    return made.select(
+        "page_id",
+        "record_type",
+        "record_id",
+        "refers_to",
+        "target_uri",
+        F.when(is_text, F.col("content_length")).alias("content_length"),
+        F.when(is_text, field("WARC-Block-Digest")).alias("block_sha256"),
+        field("WARC-Source-Payload-Digest").alias("payload_sha256"),
+        F.when(~is_text, json("$.title")).alias("title"),
+        F.when(~is_text, F.size(F.from_json(json("$.links"), "array<string>")).cast("long")).alias("n_links"),
+        F.when(~is_text, F.substring_index(json("$.block_digest"), ":", -1)).alias("response_sha256"),
+    )
+
+
+@query()
+def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
+    langs, logs = langid.fit_text(table(spark, sf_dir, "documents"))
+    return langid.identify(table(spark, sf_dir, "pages"), langs, logs)
+
+
 @query()
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
@@ -51,6 +129,25 @@ def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@query()
+def op5_ngram_join(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return ngram_join.near_duplicates(table(spark, sf_dir, "documents"))
+
+
+@query()
+def op6_pii(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return pii.pseudonymise(table(spark, sf_dir, "documents"), key="stratalake")
+
+
+@query()
+def op7_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    docs = table(spark, sf_dir, "documents")
+    model = quality.fit(docs, table(spark, sf_dir, "labels"))
+    return quality.score(docs, model).select(
+        "doc_id", held_out("doc_id").alias("held_out"), "score", (F.col("score") >= 0.7).cast("int").alias("predicted")
+    )
+
+
 URL_RULES = (
     ("allow", "org/"),
     ("block", "example.org/es/"),
@@ -109,3 +206,10 @@ from t
 """)
 def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("n_chars")
+
+
+@query()
+def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import corpus_pipeline
+
+    return corpus_pipeline.run(spark, sf_dir)
