@@ -12,10 +12,12 @@ from __future__ import annotations
 import base64
 import functools
 import itertools
+import struct
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
@@ -37,7 +39,7 @@ class Merges:
         self.rank = ranks
         self.piece = {i: p for p, i in ranks.items()}
         self._halves: dict[int, tuple[int, int] | None] = {}
-        self._good: dict[tuple[int, int], bool] = {}
+        self._good: dict[int, bool] = {}
 
     def halves(self, token: int) -> tuple[int, int] | None:
         """The two tokens whose merge gives this one; None for a byte or a token that no merge gives."""
@@ -62,7 +64,7 @@ class Merges:
         Back in time from the finished pair: the younger of the two tokens at the border is taken
         apart, until both are bytes. Each pair met so must not have merged while it stood.
         """
-        key = (left, right)
+        key = left << 32 | right
         if key in self._good:
             return self._good[key]
         until_left = until_right = NEVER
@@ -80,7 +82,7 @@ class Merges:
                 until_left, left = left, a[1]
             else:
                 until_right, right = right, b[0]
-        if len(self._good) >= 1 << 19:
+        if len(self._good) >= 1 << 18:
             self._good.clear()
         self._good[key] = good
         return good
@@ -93,8 +95,8 @@ class _State:
 
     def __init__(self, open_: frozenset):
         self.open = open_
-        # byte -> (tokens whose border with the last emitted one must be asked, {answers: (state, out)})
-        self.next: dict[int, tuple[tuple[int, ...], dict[int, tuple[_State, tuple[int, ...]]]]] = {}
+        # byte -> (state, out), or [tokens whose border with the last emitted one decides, {answers: (state, out)}]
+        self.next: dict[int, tuple | list] = {}
         self.end = next((pending for pending, node in open_ if node == 0), ())
 
 
@@ -102,7 +104,7 @@ class Transducer:
     """Bytes to tokens. The last emitted token is kept in a register, so that states are few; they are
     made when first met and forgotten together beyond ``max_states``."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
         self.merges = Merges(ranks)
         self.max_states = max_states
         self.child: list[dict[int, int]] = [{}]
@@ -146,46 +148,48 @@ class Transducer:
             n += 1
         return self._state(frozenset((p[n:], node) for p, node in ways)), first[:n]
 
-    def _asked(self, state: _State, byte: int) -> tuple[tuple[int, ...], dict]:
+    def _first(self, state: _State, byte: int) -> tuple | list:
         ends = {self.token[self.child[node].get(byte, 0)] for pending, node in state.open if not pending}
-        state.next[byte] = made = (tuple(sorted(ends - {-1})), {})
+        asked = tuple(sorted(ends - {-1}))
+        state.next[byte] = made = [asked, {}] if asked else self._step(state, byte, (), 0)
         return made
 
-    def encode(self, piece: bytes) -> tuple[int, ...]:
+    def encode(self, piece: bytes) -> list[int]:
         if len(self.states) > self.max_states:
             self._forget()
         state, out, last, neighbours = self.start, [], -1, self.merges.neighbours
         for b in piece:
-            asked, table = state.next.get(b) or self._asked(state, b)
-            answers = 0
-            for i, token in enumerate(asked):
-                if last < 0 or neighbours(last, token):
-                    answers |= 1 << i
-            to = table.get(answers)
-            if to is None:
-                to = table[answers] = self._step(state, b, asked, answers)
+            to = state.next.get(b) or self._first(state, b)
+            if type(to) is list:
+                asked, table = to
+                answers = 0
+                for i, token in enumerate(asked):
+                    if last < 0 or neighbours(last, token):
+                        answers |= 1 << i
+                to = table.get(answers)
+                if to is None:
+                    to = table[answers] = self._step(state, b, asked, answers)
             state = to[0]
             if to[1]:
                 out += to[1]
                 last = out[-1]
-        out += state.end
-        return tuple(out)
+        return out + list(state.end)
 
 
 class Encoder(dict):
     """Texts to tokens: the pattern cuts a text, the transducer encodes each match.
 
-    Results of short matches are remembered, up to ``max_words``.
+    Results of short matches are remembered as packed numbers, up to ``max_words``.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 400_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 300_000):
         super().__init__()
         self.cut = regex.compile(pattern).findall
         self.machine = Transducer(ranks)
         self.max_words = max_words
 
-    def __missing__(self, word: str) -> tuple[int, ...]:
-        ids = self.machine.encode(word.encode())
+    def __missing__(self, word: str) -> bytes:
+        ids = struct.pack(f"<{len(ids)}i", *ids) if (ids := self.machine.encode(word.encode())) else b""
         if len(word) <= 64:
             if len(self) >= self.max_words:
                 self.clear()
@@ -193,7 +197,7 @@ class Encoder(dict):
         return ids
 
     def encode(self, text: str) -> np.ndarray:
-        return np.fromiter(itertools.chain.from_iterable(map(self.__getitem__, self.cut(text))), np.int32)
+        return np.frombuffer(b"".join(map(self.__getitem__, self.cut(text))), "<i4")
 
 
 def _second_bytes(lead: int) -> tuple[int, int]:
@@ -281,7 +285,9 @@ def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
             step = 256
             for lo in range(0, batch.num_rows, step):
                 part = batch.slice(lo, step)
-                texts = ["".join(decode_stream(ids or (), piece)) for ids in part.column(1).to_pylist()]
+                ids = part.column(1)
+                flat, ends = ids.flatten().to_numpy().tolist(), np.cumsum([0, *pc.fill_null(pc.list_value_length(ids), 0).to_pylist()])
+                texts = ["".join(decode_stream(flat[a:b], piece)) for a, b in itertools.pairwise(ends.tolist())]
                 yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(texts, pa.string())], [id_col, "ids", "text"])
 
     return tokens.select(id_col, F.col(ids_col).alias("ids")).mapInArrow(
