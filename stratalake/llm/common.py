@@ -31,6 +31,15 @@ def held_out(id_col: str) -> Column:
     return F.coalesce(F.crc32(F.col(id_col).cast("string").cast("binary")) % 4 == 2, F.lit(False))
 
 
+def only(rows: DataFrame, ids: DataFrame, key: str, small: int = 1_000_000) -> DataFrame:
+    """``rows`` whose ``key`` is among ``ids`` (one column of that name, distinct, already written).
+
+    Up to ``small`` ids, which are counted, are broadcast and the rows stay where they are; more are joined by
+    a shuffle, with the same result.
+    """
+    return rows.join(F.broadcast(ids) if ids.count() <= small else ids, key, "left_semi")
+
+
 def slices(batches: Iterable[pa.RecordBatch], text_at: int, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
     """The batches cut so that each holds about ``max_bytes`` of text (a longer text stands alone)."""
     for batch in batches:

@@ -23,7 +23,7 @@ import xxhash
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import raw, schema_of, slices
+from stratalake.llm.common import only, raw, schema_of, slices
 from stratalake.llm.components import components
 from stratalake.session import materialise
 
@@ -78,7 +78,18 @@ def set_number(s: np.ndarray) -> int:
 
 
 def point(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int32)
+    return np.bincount((s >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int64)
+
+
+def packed(p: np.ndarray) -> bytes:
+    """Two bytes a count, four where a count needs them."""
+    return p.astype("<u2" if p.max(initial=0) < 1 << 16 else "<u4").tobytes()
+
+
+def unpacked(data: list[bytes]) -> np.ndarray:
+    if all(len(x) == 2 * GROUPS for x in data):
+        return np.frombuffer(b"".join(data), "<u2").reshape(-1, GROUPS).astype(np.int64)
+    return np.array([np.frombuffer(x, "<u2" if len(x) == 2 * GROUPS else "<u4") for x in data], np.int64)
 
 
 def least_overlap(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray:
@@ -128,8 +139,9 @@ class CountTree:
 
 
 def _sets_and_sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, n, set) of every document, and beside them slices of each task's group totals."""
+    """Rows (id, n, set, point) of every document, and beside them slices of each task's group totals."""
     step = 1 << 14
+    names = [id_col, "n", "set", "point", "slice", "totals"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, totals, id_type = Shingler(), np.zeros(1 << SKETCH_BITS, np.uint32), None
@@ -144,20 +156,21 @@ def _sets_and_sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_number(s) if len(s) else None for s in sets], pa.int64()),
+                    pa.array([packed(point(s)) if len(s) else None for s in sets], pa.binary()),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
                 ],
-                [id_col, "n", "set", "slice", "totals"],
+                names,
             )
         if id_type is not None:
             parts = [(i // step, totals[i : i + step].astype("<u4").tobytes()) for i in range(0, len(totals), step)]
             k = len(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.array([i for i, _ in parts], pa.int32()), pa.array([t for _, t in parts], pa.binary())],
-                [id_col, "n", "set", "slice", "totals"],
+                [pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array([i for i, _ in parts], pa.int32()), pa.array([t for _, t in parts], pa.binary())],
+                names,
             )
 
-    schema = schema_of(docs, id_col, "n long, set long, slice int, totals binary")
+    schema = schema_of(docs, id_col, "n long, set long, point binary, slice int, totals binary")
     return docs.select(id_col, raw(text_col).alias("__text")).mapInArrow(run, schema)
 
 
@@ -203,12 +216,14 @@ def _buckets(docs: DataFrame, text_col: str, totals: np.ndarray, n_shingles: int
             block = (_mix(key + part * _P[3]) % np.uint64(blocks)).astype(np.int64)
             order = np.argsort(block, kind="stable")
             edges = np.flatnonzero(np.diff(block[order], prepend=-1, append=blocks))
-            rows, names = [], []
+            rows, names, counts = [], [], []
             for a, b in zip(edges[:-1], edges[1:], strict=True):
                 some = order[a:b]
-                rows.append(key[some].astype("<u8").tobytes() + number[some].astype("<i8").tobytes() + n[some].astype("<u4").tobytes() + part[some].astype("<u4").tobytes())
+                many = part[some].astype("<u4").tobytes() if part[some].any() else b""
+                rows.append(key[some].astype("<u8").tobytes() + number[some].astype("<i8").tobytes() + n[some].astype("<u4").tobytes() + many)
+                counts.append(len(some))
                 names.append(int(block[some[0]]))
-            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(rows, pa.binary())], ["block", "entries"])
+            yield pa.RecordBatch.from_arrays([pa.array(names, pa.int64()), pa.array(counts, pa.int32()), pa.array(rows, pa.binary())], ["block", "m", "entries"])
 
         for batch in slices(batches, 0):
             for s in shingler.sets(batch.column(0).to_pylist()):
@@ -228,12 +243,11 @@ def _buckets(docs: DataFrame, text_col: str, totals: np.ndarray, n_shingles: int
 
     def meet(key: tuple, rows: pa.Table) -> pa.Table:
         keys, numbers, ns, parts = [], [], [], []
-        for x in rows.column("entries").to_pylist():
-            m = len(x) // 24
+        for m, x in zip(rows.column("m").to_pylist(), rows.column("entries").to_pylist(), strict=True):
             keys.append(np.frombuffer(x, "<u8", m))
             numbers.append(np.frombuffer(x, "<i8", m, 8 * m))
             ns.append(np.frombuffer(x, "<u4", m, 16 * m))
-            parts.append(np.frombuffer(x, "<u4", m, 20 * m))
+            parts.append(np.frombuffer(x, "<u4", m, 20 * m) if len(x) > 20 * m else np.zeros(m, np.uint32))
         k, s, n, p = np.concatenate(keys), np.concatenate(numbers), np.concatenate(ns), np.concatenate(parts)
         order = np.lexsort((s, n, p, k))
         k, s, n, p = k[order], s[order], n[order], p[order]
@@ -258,12 +272,12 @@ def _buckets(docs: DataFrame, text_col: str, totals: np.ndarray, n_shingles: int
         join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
         return pa.table({"bucket": pa.array(join(bucket), pa.int64()), "chunk": pa.array(join(chunk), pa.int64()), "set": pa.array(join(member), pa.int64())})
 
-    packed = docs.select(raw(text_col).alias("__text")).mapInArrow(pack, "block long, entries binary")
+    packed = docs.select(raw(text_col).alias("__text")).mapInArrow(pack, "block long, m int, entries binary")
     return packed.groupBy("block").applyInArrow(meet, "bucket long, chunk long, set long").distinct()
 
 
 def _whole_sets(docs: DataFrame, id_col: str, text_col: str, members: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, n, point, shingles) of the wanted sets, made again from the text of one document each."""
+    """(set, shingles) of the wanted sets, made again from the text of one document each."""
     one = members.join(wanted, "set", "left_semi").groupBy("set").agg(F.min(id_col).alias("__id")).select("__id").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
@@ -271,19 +285,14 @@ def _whole_sets(docs: DataFrame, id_col: str, text_col: str, members: DataFrame,
         for batch in slices(batches, 0):
             sets = [s for s in shingler.sets(batch.column(0).to_pylist()) if len(s)]
             yield pa.RecordBatch.from_arrays(
-                [
-                    pa.array([set_number(s) for s in sets], pa.int64()),
-                    pa.array([len(s) for s in sets], pa.int64()),
-                    pa.array([point(s).astype("<i4").tobytes() for s in sets], pa.binary()),
-                    pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary()),
-                ],
-                ["set", "n", "point", "shingles"],
+                [pa.array([set_number(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
+                ["set", "shingles"],
             )
 
-    texts = docs.select(F.col(id_col).alias("__id"), raw(text_col).alias("__text")).join(one, "__id", "left_semi").select("__text")
-    made = texts.mapInArrow(run, "set long, n long, point binary, shingles binary")
-    # an id that several rows have may bring sets that nobody wants, or one set twice
-    return made.dropDuplicates(["set"]).join(wanted, "set", "left_semi")
+    texts = docs.select(F.col(id_col).alias("__id"), raw(text_col).alias("__text"))
+    texts = only(texts, materialise(one, "texts"), "__id").select("__text")
+    # an id that several rows have may bring one set twice, or sets that nobody wants
+    return texts.mapInArrow(run, "set long, shingles binary").dropDuplicates(["set"])
 
 
 def _search(rows: DataFrame, percent: int, per_task: int = 40_000) -> DataFrame:
@@ -320,7 +329,7 @@ def _search(rows: DataFrame, percent: int, per_task: int = 40_000) -> DataFrame:
         number, n = part.column("set").to_numpy()[order], part.column("n").to_numpy()[order]
         known = part.column("comp").null_count == 0
         comp = part.column("comp").to_numpy()[order] if known else None
-        points = np.frombuffer(b"".join(part.column("point").to_pylist()), "<i4").reshape(-1, GROUPS)[order]
+        points = unpacked(part.column("point").to_pylist())[order]
         cuts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
         one_side, other = [], []
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
@@ -346,16 +355,13 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     """(a, b, linked): the intersection of both whole sets is counted."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for batch in batches:
-            step = 512
-            for lo in range(0, batch.num_rows, step):
-                part = batch.slice(lo, step)
-                linked = []
-                for x, y in zip(part.column(2).to_pylist(), part.column(3).to_pylist(), strict=True):
-                    x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
-                    both = len(np.intersect1d(x, y, assume_unique=True))
-                    linked.append(100 * both >= percent * (len(x) + len(y) - both))
-                yield pa.RecordBatch.from_arrays([part.column(0), part.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
+        for batch in slices(batches, 2):
+            linked = []
+            for x, y in zip(batch.column(2).to_pylist(), batch.column(3).to_pylist(), strict=True):
+                x, y = np.frombuffer(x, "<u8"), np.frombuffer(y, "<u8")
+                both = len(np.intersect1d(x, y, assume_unique=True))
+                linked.append(100 * both >= percent * (len(x) + len(y) - both))
+            yield pa.RecordBatch.from_arrays([batch.column(0), batch.column(1), pa.array(linked, pa.bool_())], ["a", "b", "linked"])
 
     left = sets.select(F.col("set").alias("a"), F.col("shingles").alias("x"))
     right = sets.select(F.col("set").alias("b"), F.col("shingles").alias("y"))
@@ -416,18 +422,25 @@ def near_duplicates(
     mixed = materialise(_sets_and_sketch(docs, id_col, text_col), "sets")
     members = mixed.filter("slice is null").select(id_col, "n", "set")
     size = members.agg(F.sum("n")).first()[0] or 0
-    totals = _totals(mixed)
-    live = materialise(_buckets(docs, text_col, totals, size, percent, hot), "live")
-    sets = materialise(_whole_sets(docs, id_col, text_col, members, live.select("set").distinct()), "whole")
-    points = sets.select("set", "n", "point")
+    live = materialise(_buckets(docs, text_col, _totals(mixed), size, percent, hot), "live")
+    points = mixed.filter("set is not null").select("set", "n", "point")
+    points = materialise(points.join(live.select("set").distinct(), "set", "left_semi").dropDuplicates(["set"]), "points")
+
+    def verified(pairs: DataFrame, label: str) -> DataFrame:
+        wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "wanted")
+        sets = materialise(_whole_sets(docs, id_col, text_col, members, wanted), "whole")
+        return materialise(_verified(pairs, sets, percent), label)
+
     first = live.select(F.xxhash64("bucket", "chunk").alias("cell"), F.lit(2).alias("side"), "set", F.lit(None).cast("long").alias("comp"))
-    tested = materialise(_verified(_search(first.join(points, "set"), percent), sets, percent), "tested")
+    tested = verified(materialise(_search(first.join(points, "set"), percent), "near"), "tested")
     labels = materialise(components(tested.filter("linked")), "labels")
     more = _search(_cells(live, labels).join(points, "set"), percent)
-    more = more.join(tested.select("a", "b"), ["a", "b"], "left_anti")
-    late = materialise(_verified(more, sets, percent).filter("linked"), "late")
-    if not late.isEmpty():
-        labels = materialise(components(tested.filter("linked").select("a", "b").union(late.select("a", "b"))), "labels")
+    more = materialise(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "more")
+    if not more.isEmpty():
+        late = verified(more, "late").filter("linked")
+        if not late.isEmpty():
+            links = tested.filter("linked").select("a", "b").union(late.select("a", "b"))
+            labels = materialise(components(links), "labels")
     comp = members.filter("set is not null").join(labels, members["set"] == labels["node"], "left").select(
         id_col, "n", F.coalesce("component", "set").alias("comp")
     )
