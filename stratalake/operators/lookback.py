@@ -45,11 +45,11 @@ def since_high_water(
 ) -> DataFrame:
     """Rows at or after the target's maximum watermark minus ``days``.
 
-    The maximum is one row, read from Parquet statistics or a partial aggregate,
-    and turned into a literal so that the filter on ``batch`` is pushed down.
-    An empty target selects everything.
+    The bound is one row, computed by Spark and carried as text in the column's own
+    type: no time zone of the driver enters. As a literal it is pushed down into the
+    scan of ``batch``. An empty target selects everything.
     """
-    high = target.agg(F.max(column).alias("high")).first()["high"]
-    if high is None:
-        return batch
-    return batch.filter(F.col(column) >= F.lit(high - dt.timedelta(days=days)))
+    kind = batch.schema[column].dataType
+    bound = (F.max(column) - F.make_dt_interval(days=F.lit(days))).cast(kind).cast("string")
+    low = target.agg(bound.alias("low")).first()["low"]
+    return batch if low is None else batch.filter(F.col(column) >= F.lit(low).cast(kind))

@@ -19,18 +19,24 @@ def _bucket(cols: Sequence[str], n: int) -> Column:
 
 
 def fan_out(
-    left: DataFrame, right: DataFrame, on: Sequence[str], spread_by: Sequence[str], buckets: int = 64
+    left: DataFrame,
+    right: DataFrame,
+    on: Sequence[str],
+    spread_by: Sequence[str],
+    buckets: int | None = None,
 ) -> DataFrame:
     """Many-to-many equi-join on a coarse key (all pairs within it are the wanted result).
 
     The inputs are small and the output is large, which defeats size-based
     planning: a shuffle on the few keys gives few tasks, and a broadcast join
-    runs in as few tasks as the small ``left`` has. So ``left`` is spread over
-    keys x buckets tasks (an explicit partition count is not coalesced by AQE)
-    and ``right`` is repeated once per bucket. Whether ``right`` is then
-    broadcast or shuffled is Spark's choice by size; both keep the spread.
+    runs in as few tasks as the small ``left`` has. So ``left`` is spread by its
+    full key over as many tasks as the session has shuffle partitions (sized from
+    the input; an explicit count is not coalesced by AQE), with as many buckets, and
+    ``right`` is repeated once per bucket. Whether ``right`` is then broadcast or
+    shuffled is Spark's choice by size; both keep the spread.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
+    buckets = tasks if buckets is None else buckets
     spread = left.withColumn("_bucket", _bucket(spread_by, buckets)).repartition(tasks, *on, "_bucket")
     copies = right.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
     return spread.join(copies, [*on, "_bucket"]).drop("_bucket")

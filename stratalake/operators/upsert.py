@@ -17,7 +17,7 @@ from __future__ import annotations
 import hashlib
 from collections.abc import Sequence
 from functools import reduce
-from operator import and_, or_
+from operator import and_
 
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
@@ -33,10 +33,6 @@ from stratalake.sources.tables import (
     write_table,
 )
 
-# Up to this many touched partitions are listed as literals for static pruning;
-# beyond it the same selection is made by a semi join.
-LITERAL_PARTITIONS = 400
-
 
 class DuplicateKeys(ValueError):
     """A batch holds several rows for one key and no order to choose by."""
@@ -54,6 +50,7 @@ def upsert(
     order_by: str | Sequence[str] | None = None,
     on_schema_change: str = "append_new_columns",
     stable_partitions: bool = False,
+    replaces: DataFrame | None = None,
 ) -> DataFrame:
     """Insert new keys and replace existing ones; returns the table.
 
@@ -64,6 +61,8 @@ def upsert(
     stable_partitions  promise that a key never changes its partition values; saves
                        the key scan that looks for old versions in other partitions.
                        Given anyway where the partition columns are part of the key.
+    replaces           stored rows that agree with one of its rows in all its columns go,
+                       whether or not the batch has their key (groups computed anew).
     """
     spark = batch.sparkSession
     batch = materialise(_unique_batch(batch, keys, order_by), "batch")
@@ -76,17 +75,22 @@ def upsert(
     batch = _align(spark, table, batch, on_schema_change)
     target = spark.table(table)
     by = partition_columns(spark, table)
-    stable_partitions = stable_partitions or set(by) <= set(keys)
+    stable_partitions = (stable_partitions or set(by) <= set(keys)) and replaces is None
     touched = batch.select(*by).distinct()
     if not stable_partitions:
         old = target.select(*keys, *[c for c in by if c not in keys])
         touched = touched.union(
             old.join(batch.select(*keys), _same_keys(old, batch, keys), "left_semi").select(*by)
         ).distinct()
+    if replaces is not None:
+        gone = target.join(replaces, _same_keys(target, replaces, replaces.columns), "left_semi")
+        touched = touched.union(gone.select(*by)).distinct()
     touched = materialise(touched, "touched")
     if touched.isEmpty():
         return target
     current = restrict_to(target, touched, by)
+    if replaces is not None:
+        current = current.join(replaces, _same_keys(current, replaces, replaces.columns), "left_anti")
 
     if order_by is None:
         merged = current.join(
@@ -103,9 +107,9 @@ def upsert(
     for_partitions(merged, by).write.mode("overwrite").partitionBy(*by).parquet(path)
     emptied = [] if stable_partitions else _emptied(spark, path, target, touched, by)
     finish_interrupted(spark, table)
-    for row in emptied:
-        spec = ", ".join(f"{c} = {_literal(row[c])}" for c in by)
-        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS PARTITION ({spec})")
+    if emptied:
+        specs = [", ".join(f"{c} = {_literal(row[c])}" for c in by) for row in emptied]
+        spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(f'PARTITION ({s})' for s in specs)}")
     return spark.table(table)
 
 
@@ -123,19 +127,19 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
 def restrict_to(target: DataFrame, touched: DataFrame, by: Sequence[str]) -> DataFrame:
     """Rows of ``target`` in the listed partitions, pruned at directory level.
 
-    The list is metadata (one entry per directory the commit will replace). If
-    it is long, the equivalent semi join is used instead of literals.
+    The values of each partition column (tenants, months: metadata) prune the
+    directories, however many there are; the semi join then keeps the listed
+    combinations.
     """
-    values = touched.limit(LITERAL_PARTITIONS + 1).collect()
-    if len(values) > LITERAL_PARTITIONS:
-        same = reduce(and_, [target[c].eqNullSafe(touched[c]) for c in by])
-        return target.join(touched, same, "left_semi")
-    if not values:
-        return target.limit(0)
-    matches = [reduce(and_, [F.col(c).eqNullSafe(F.lit(row[c])) for c in by]) for row in values]
-    while len(matches) > 1:  # a balanced tree stays shallow for the analyser
-        matches = [reduce(or_, matches[i : i + 2]) for i in range(0, len(matches), 2)]
-    return target.filter(matches[0])
+    values = touched.agg(
+        *[F.collect_set(c).alias(f"v{i}") for i, c in enumerate(by)],
+        *[F.max(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(by)],
+    ).first()
+    for i, c in enumerate(by):
+        listed = target[c].isin(sorted(values[f"v{i}"])) if values[f"v{i}"] else F.lit(False)
+        target = target.filter(listed | target[c].isNull() if values[f"n{i}"] else listed)
+    same = reduce(and_, [target[c].eqNullSafe(touched[c]) for c in by])
+    return target.join(touched, same, "left_semi")
 
 
 def _align(spark: SparkSession, table: str, batch: DataFrame, on_schema_change: str) -> DataFrame:

@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import datetime as dt
 from collections.abc import Mapping
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -35,7 +37,11 @@ def ledger_totals(entries: DataFrame) -> DataFrame:
 
 
 def accounting_statement(
-    t: Tables, incremental: str | None = None, now: Now = None, buckets: int = 64
+    t: Tables,
+    incremental: str | None = None,
+    now: Now = None,
+    buckets: int | None = None,
+    groups: DataFrame | None = None,
 ) -> DataFrame:
     """Totals repeated for every (company, cost centre) of the tenant.
 
@@ -44,29 +50,20 @@ def accounting_statement(
     spread over buckets, because the tenant alone is a key with few values.
 
     incremental   None: all entries. "affected": recompute in full the groups
-                  touched by recent entries. "recent_only": sum the recent
+                  of ``affected_groups``. "recent_only": sum the recent
                   entries alone (replaces full totals by partial ones when merged;
                   kept for comparison with the original merge).
+    groups        with "affected": the groups, if they have been computed already.
     """
     entries = t["fct_lancamentos"].select(*GROUP, "vlr_final", "created_at")
     if incremental == "recent_only":
         entries = entries.filter(within_lookback("created_at", now))
     elif incremental == "affected":
-        entries = entries_of_affected_groups(entries, within_lookback("created_at", now))
+        groups = affected_groups(t, now) if groups is None else groups
+        entries = entries.join(groups, _same_group(entries, groups), "left_semi")
     elif incremental is not None:
         raise ValueError(f"unknown incremental mode {incremental}")
-    companies = t["dim_empresas"].select("tenant_id", "empresa_id")
-    centres = t["dim_centros_custos"].select("tenant_id", "centro_custo_id", "centro_custo_sk")
-    per_company = fan_out(
-        ledger_totals(entries), companies, ["tenant_id"], ["cd_tipo_conta", "dt_competencia"], buckets
-    )
-    rows = fan_out(
-        per_company,
-        centres,
-        ["tenant_id"],
-        ["cd_tipo_conta", "dt_competencia", "empresa_id"],
-        buckets,
-    )
+    rows = _for_every_unit(t, ledger_totals(entries), ["cd_tipo_conta", "dt_competencia"], buckets)
     return rows.select(
         surrogate_key(*STATEMENT_KEYS).alias("dre_contabil_sk"),
         "tenant_id",
@@ -80,15 +77,41 @@ def accounting_statement(
     )
 
 
-def entries_of_affected_groups(entries: DataFrame, is_new: Column) -> DataFrame:
-    """All entries of the groups that received a new entry.
+def _for_every_unit(
+    t: Tables, totals: DataFrame, spread_by: list[str], buckets: int | None = None
+) -> DataFrame:
+    """``totals`` repeated for every (company, cost centre) of their tenant."""
+    companies = t["dim_empresas"].select("tenant_id", "empresa_id")
+    centres = t["dim_centros_custos"].select("tenant_id", "centro_custo_id", "centro_custo_sk")
+    per_company = fan_out(totals, companies, ["tenant_id"], spread_by, buckets)
+    return fan_out(per_company, centres, ["tenant_id"], [*spread_by, "empresa_id"], buckets)
+
+
+def _same_group(left: DataFrame, right: DataFrame) -> Column:
+    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in GROUP])
 
-    The changed groups are few (account types x dates); the semi join is
-    NULL-safe and keeps map-side filtering when Spark broadcasts them.
+
+def affected_groups(
+    t: Tables, now: Now = None, stored: DataFrame | None = None, moved: DataFrame | None = None
+) -> DataFrame:
+    """Groups of the statement that an incremental run computes anew.
+
+    Those with a recent entry; ``moved``, the groups that re-delivered entries had
+    before; and, given the ``stored`` statement, all groups of tenants whose companies
+    or cost centres are not the stored ones any more.
     """
-    changed = entries.filter(is_new).select(*GROUP).distinct()
-    same = [entries[c].eqNullSafe(changed[c]) for c in GROUP]
-    return entries.join(changed, same[0] & same[1] & same[2], "left_semi")
+    entries = t["fct_lancamentos"]
+    groups = entries.filter(within_lookback("created_at", now)).select(*GROUP)
+    if moved is not None:
+        groups = groups.union(moved.select(*GROUP))
+    if stored is not None:
+        have = stored.select("tenant_id", "empresa_id", "centro_custo_id").distinct()
+        companies = t["dim_empresas"].select("tenant_id", "empresa_id")
+        want = companies.join(t["dim_centros_custos"].select("tenant_id", "centro_custo_id"), "tenant_id")
+        tenants = have.subtract(want).union(want.subtract(have)).select("tenant_id").distinct()
+        for rows in (entries, stored):
+            groups = groups.union(rows.join(tenants, "tenant_id", "left_semi").select(*GROUP))
+    return groups.distinct()
 
 
 def category(account_type: Column | str) -> Column:
@@ -102,17 +125,16 @@ def category(account_type: Column | str) -> Column:
 def managerial_statement(t: Tables) -> DataFrame:
     """Accounting statement summed by category.
 
-    The statement is the largest Gold table, so only the natural key is
-    shuffled; the cost-centre key and the date key follow from it.
+    The value depends on neither company nor cost centre, so the totals are summed
+    by category first, a few rows for each tenant and day, and repeated afterwards.
     """
-    rows = t["dre_contabil"].withColumn("ds_categoria", category("cd_tipo_conta"))
-    summed = (
-        rows.groupBy(*MANAGERIAL_KEYS)
-        .agg(F.sum("vlr_total").alias("vlr_categoria"))
-        .withColumn("centro_custo_sk", surrogate_key("tenant_id", "centro_custo_id"))
-        .withColumn("data_id", date_key("dt_competencia"))
+    by_category = ledger_totals(t["fct_lancamentos"]).withColumn("ds_categoria", category("cd_tipo_conta"))
+    totals = by_category.groupBy("tenant_id", "ds_categoria", "dt_competencia").agg(
+        # each part as the accounting statement shows it
+        F.sum(F.col("vlr_total").cast("decimal(18,2)")).alias("vlr_categoria")
     )
-    return summed.select(
+    rows = _for_every_unit(t, totals, ["ds_categoria", "dt_competencia"])
+    return rows.select(
         surrogate_key(*MANAGERIAL_KEYS).alias("dre_gerencial_sk"),
         "tenant_id",
         "empresa_id",
@@ -120,7 +142,7 @@ def managerial_statement(t: Tables) -> DataFrame:
         "centro_custo_sk",
         "ds_categoria",
         "dt_competencia",
-        "data_id",
+        date_key("dt_competencia").alias("data_id"),
         F.col("vlr_categoria").cast("decimal(18,2)").alias("vlr_categoria"),
     )
 
@@ -196,28 +218,28 @@ def overdue_by_customer(t: Tables, min_days: int = 30) -> DataFrame:
 def enriched_sales(t: Tables) -> DataFrame:
     """Sales lines with customer, product, seller, branch company and calendar attributes.
 
-    Left joins: a line whose dimension row is missing stays, with NULL attributes.
+    Left joins: a line whose dimension row is missing stays, with NULL attributes. The
+    natural keys are joined, which are shorter than their hashes.
     """
-    customers = t["dim_clientes"].select("tenant_id", "cliente_sk", "nm_cliente", "cd_uf")
-    products = t["dim_produtos"].select("tenant_id", "produto_sk", "dsc_produto", "nm_categoria")
-    sellers = t["dim_vendedores"].select("tenant_id", "vendedor_sk", "nm_vendedor", "filial_id")
     calendar = t["dim_calendrio"].select("data_id", "nm_ano_mes", "nr_trimestre", "fl_fim_de_semana")
+    sellers = t["dim_vendedores"].select("tenant_id", "vendedor_id", "nm_vendedor", "filial_id")
+    products = t["dim_produtos"].select("tenant_id", "produto_id", "dsc_produto", "nm_categoria")
+    customers = t["dim_clientes"].select("tenant_id", "cliente_id", "nm_cliente", "cd_uf")
+    companies = t["dim_empresas"].select(
+        "tenant_id", F.col("empresa_id").alias("filial_id"), "empresa_sk", "nm_empresa"
+    )
     lines = t["fct_vendas"].select(
         "tenant_id", "item_id", "venda_id", "cliente_sk", "produto_sk", "vendedor_sk", "data_id",
-        "ds_status", "qtd_vendida", "vlr_total",
+        "ds_status", "qtd_vendida", "vlr_total", "cliente_id", "produto_id", "vendedor_id",
     )
-    joined = (
+    return (
         lines.join(calendar, "data_id", "left")
-        .join(sellers, ["tenant_id", "vendedor_sk"], "left")
-        .join(products, ["tenant_id", "produto_sk"], "left")
-        .join(customers, ["tenant_id", "cliente_sk"], "left")
-    )
-    if "dim_empresas" not in t:
-        return joined
-    companies = t["dim_empresas"].select(
-        "tenant_id", F.col("empresa_id").alias("filial_id"), "empresa_sk", "nm_empresa"
+        .join(sellers, ["tenant_id", "vendedor_id"], "left")
+        .join(products, ["tenant_id", "produto_id"], "left")
+        .join(customers, ["tenant_id", "cliente_id"], "left")
+        .join(companies, ["tenant_id", "filial_id"], "left")
+        .drop("cliente_id", "produto_id", "vendedor_id")
     )
-    return joined.join(companies, ["tenant_id", "filial_id"], "left")
 
 
 # Platinum model -> (statement, tenant)

@@ -52,6 +52,8 @@ class Models(Mapping[str, DataFrame]):
         self.spark, self.feeds, self.as_of, self.calendar = spark, feeds, as_of, calendar
         self.stored = stored if stored is not None else {}
         self.delivered_from = delivered_from
+        # set by an incremental build: groups that re-delivered ledger entries had before
+        self.moved_groups: DataFrame | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.stored:
@@ -64,16 +66,23 @@ class Models(Mapping[str, DataFrame]):
         incremental: bool = False,
         now: dt.datetime | str | None = None,
         current: DataFrame | None = None,
+        groups: DataFrame | None = None,
     ) -> DataFrame:
-        """Plan of one model; ``current`` is its stored content, if an incremental run has one."""
+        """Plan of one model; ``current`` is its stored content, if an incremental run has one.
+
+        ``groups`` are the groups of the accounting statement to compute anew.
+        """
         if name in silver.MODELS:
             return silver.build(name, self.feeds, incremental, now, self.delivered_from)
         if name in dims.MODELS:
             return dims.build(name, self.spark, self, *self.calendar)
         if name in facts.MODELS:
-            return facts.build(name, self, incremental, now, self.as_of, current)
+            settled = None
+            if name == "fct_titulo_financeiro" and incremental and "baixas" in self.feeds:
+                settled = silver.recently_settled(self.feeds, now, self.delivered_from)
+            return facts.build(name, self, incremental, now, self.as_of, current, settled)
         if name == "dre_contabil":
-            return analytics.accounting_statement(self, "affected" if incremental else None, now)
+            return analytics.accounting_statement(self, "affected" if incremental else None, now, groups=groups)
         if name == "dre_gerencial":
             return analytics.managerial_statement(self)
         return analytics.build_platinum(name, self)

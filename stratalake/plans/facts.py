@@ -160,9 +160,9 @@ def titles(
     overdue with 0 complete days. Any settlement counts as settled, whatever
     its value. A full build neither joins nor shuffles.
 
-    State and lateness move with the calendar and with late settlements, not
-    only with new titles. Given the ``pending`` keys (titles stored as open or
-    overdue), an incremental run evaluates those again as well.
+    State and lateness move with the calendar and with settlements, not only with new
+    titles. Given the ``pending`` keys (titles stored as open or overdue, or with a
+    settlement that has just come in), an incremental run evaluates those again as well.
     """
     rows = t["silver_dw_titulos_financeiros"]
     if incremental:
@@ -260,13 +260,15 @@ def build(
     now: Now = None,
     as_of: AsOf = None,
     stored: DataFrame | None = None,
+    settled: DataFrame | None = None,
 ) -> DataFrame:
-    """``stored`` is the current content of the fact; only the titles use it."""
+    """``stored``: the current content of the fact; ``settled``: keys with new settlements. For the titles."""
     extra = {}
     if name in ("fct_ordens_producao", "fct_titulo_financeiro"):
         extra["as_of"] = as_of
     if name == "fct_titulo_financeiro" and incremental and stored is not None:
-        extra["pending"] = open_titles(stored)
+        pending = open_titles(stored)
+        extra["pending"] = pending if settled is None else pending.union(settled.select(*pending.columns)).distinct()
     return BUILDERS[name](t, incremental=incremental, now=now, **extra)
 
 

@@ -20,7 +20,7 @@ from pyspark.sql import functions as F
 from stratalake.functions.text import digits_only, norm_default, norm_lower, norm_upper
 from stratalake.operators.dedup import dedup_latest
 from stratalake.operators.lookback import lookback, within_lookback
-from stratalake.sources.bronze import delivered_since
+from stratalake.sources.bronze import delivered_since, has_delivery_day
 
 Feeds = Mapping[str, DataFrame]
 Now = dt.datetime | str | Column | None
@@ -264,7 +264,7 @@ SPECS: dict[str, SilverSpec] = {
             **_CREATED,
         },
     ),
-    # accounting: neither key filter nor dedup nor audit column
+    # accounting: neither key filter nor audit column; repeated keys keep the latest row, as in a merge
     "silver_dw_plano_contas": SilverSpec(
         "plano_contas",
         "plano_conta_id",
@@ -310,16 +310,15 @@ def clean(
     """
     if spec.dedup:
         feed = feed.filter(F.col(spec.key).isNotNull())
-    if incremental and delivered_from is not None:
+    if incremental and delivered_from is not None and has_delivery_day(feed):
         feed = delivered_since(feed, delivered_from)
     if incremental:
         feed = lookback(feed, spec.lookback_on or spec.watermark, now)
     rows = feed.select(
         *spec.keys, *[rule(source).alias(out) for out, (source, rule) in spec.columns.items()]
     )
-    if not spec.dedup:
-        return rows
-    return dedup_latest(rows, spec.keys, spec.watermark).withColumn(AUDIT, F.current_timestamp())
+    rows = dedup_latest(rows, spec.keys, spec.watermark)
+    return rows.withColumn(AUDIT, F.current_timestamp()) if spec.dedup else rows
 
 
 def settlements_per_title(settlements: DataFrame) -> DataFrame:
@@ -329,14 +328,33 @@ def settlements_per_title(settlements: DataFrame) -> DataFrame:
     )
 
 
+def recently_settled(feeds: Feeds, now: Now = None, delivered_from: dt.date | None = None) -> DataFrame:
+    """Keys of the titles with a settlement that has just come in.
+
+    By the day of its delivery where the feed has one, else by its creation: the date
+    of the settlement itself may lie any time back.
+    """
+    rows = feeds["baixas"]
+    if delivered_from is not None and has_delivery_day(rows):
+        rows = delivered_since(rows, delivered_from)
+    else:
+        rows = lookback(rows, "created_at", now)
+    return rows.select(*TITLE_KEYS).distinct()
+
+
 def finance_titles(
-    feeds: Feeds, incremental: bool = False, now: Now = None, follow_settlements: bool = True
+    feeds: Feeds,
+    incremental: bool = False,
+    now: Now = None,
+    follow_settlements: bool = True,
+    delivered_from: dt.date | None = None,
 ) -> DataFrame:
-    """Payables and receivables in one table with their settlements.
+    """Payables and receivables in one table with their settlements; the latest row of a title counts.
 
     Settlements keep arriving long after a title was created. With
-    ``follow_settlements`` an incremental run also selects the titles settled
-    within the lookback; without it only recently created titles are selected.
+    ``follow_settlements`` an incremental run also selects the titles with a settlement
+    that has just come in; without it only recently created titles are selected. Only
+    settlements of selected titles are summed.
     """
 
     def side(feed: str, kind: str, party: str) -> DataFrame:
@@ -354,17 +372,17 @@ def finance_titles(
     titles = side("titulos_pagar", "PAGAR", "fornecedor_id").unionByName(
         side("titulos_receber", "RECEBER", "cliente_id")
     )
+    settlements = feeds["baixas"]
     if incremental:
-        recent = lookback(titles, "created_at", now)
         if follow_settlements:
-            fresh = lookback(feeds["baixas"], "dt_baixa", now).select(*TITLE_KEYS).distinct()
-            settled = titles.join(fresh, list(TITLE_KEYS), "left_semi")
-            older = settled.filter(~F.coalesce(within_lookback("created_at", now), F.lit(False)))
-            recent = recent.unionByName(older)
-        titles = recent
-    return titles.join(
-        settlements_per_title(feeds["baixas"]), list(TITLE_KEYS), "left"
-    ).select(
+            fresh = recently_settled(feeds, now, delivered_from).withColumn("_settled", F.lit(True))
+            marked = titles.join(fresh, list(TITLE_KEYS), "left")
+            titles = marked.filter(F.col("_settled") | within_lookback("created_at", now)).drop("_settled")
+        else:
+            titles = lookback(titles, "created_at", now)
+        settlements = settlements.join(titles.select(*TITLE_KEYS), list(TITLE_KEYS), "left_semi")
+    titles = dedup_latest(titles, TITLE_KEYS, "created_at")
+    return titles.join(settlements_per_title(settlements), list(TITLE_KEYS), "left").select(
         *TITLE_KEYS,
         "entidade_id",
         "dt_emissao",
@@ -383,9 +401,9 @@ def build(
     now: Now = None,
     delivered_from: dt.date | None = None,
 ) -> DataFrame:
-    """Titles look up older rows by their settlements, so they always see all deliveries."""
+    """Titles look up older rows by their settlements, so they always see all their deliveries."""
     if name == TITLES:
-        return finance_titles(feeds, incremental, now)
+        return finance_titles(feeds, incremental, now, delivered_from=delivered_from)
     spec = SPECS[name]
     return clean(spec, feeds[spec.feed], incremental, now, delivered_from)
 

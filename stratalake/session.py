@@ -22,6 +22,10 @@ DEFAULTS = {
 }
 
 
+# Reducers before AQE merges them, for jobs of unknown size.
+UNSIZED_PARTITIONS = 8192
+
+
 def shuffle_partitions_for(input_bytes: int, per_partition: int = 256 << 20) -> int:
     """Reducers for the largest shuffle of a job: 200 at least, 50,000 at most.
 
@@ -37,9 +41,16 @@ def build_session(
     input_bytes: int | None = None,
     **conf: str,
 ) -> SparkSession:
-    """A session with the defaults above; ``conf`` keys use ``__`` for dots."""
+    """A session with the defaults above; ``conf`` keys use ``__`` for dots.
+
+    Without ``input_bytes`` or a count of shuffle partitions AQE starts from many and
+    merges them by measured size: it can join small reducers but not split those of an
+    aggregate or window.
+    """
     if input_bytes is not None:
         conf.setdefault("spark__sql__shuffle__partitions", str(shuffle_partitions_for(input_bytes)))
+    elif "spark__sql__shuffle__partitions" not in conf:
+        conf.setdefault("spark__sql__adaptive__coalescePartitions__initialPartitionNum", str(UNSIZED_PARTITIONS))
     builder = SparkSession.builder.appName(app)
     if master:
         builder = builder.master(master)

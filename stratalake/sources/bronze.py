@@ -55,12 +55,16 @@ def prune(
 
 
 def delivered_since(df: DataFrame, day: dt.date) -> DataFrame:
-    """Deliveries of ``day`` and later, by directory; feeds without partition columns pass through."""
-    if not {"year", "month", "day"} <= set(df.columns):
-        return df
+    """Deliveries of ``day`` and later, by directory. A feed without partition columns is an error."""
+    if not has_delivery_day(df):
+        raise ValueError(f"no delivery day (year, month, day) among {df.columns}")
     return prune(df, start=day)
 
 
+def has_delivery_day(df: DataFrame) -> bool:
+    return {"year", "month", "day"} <= set(df.columns)
+
+
 def with_partition_day(df: DataFrame, day: Column | str | dt.date) -> DataFrame:
     """Add year/month/day from the extraction date."""
     if isinstance(day, dt.date):

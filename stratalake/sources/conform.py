@@ -13,6 +13,10 @@ from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
+from stratalake.sources.contract import DATAMART_OF, data_schema
+
+_DAY = ("year", "month", "day")
+
 Rule = str | Sequence[str] | Callable[[DataFrame], Column]
 
 _STRING = T.StringType()
@@ -40,15 +44,17 @@ def conform(
     mapping: Mapping[str, Rule],
     schema: T.StructType,
     required: Sequence[str] = (),
+    keep: Sequence[str] = (),
 ) -> DataFrame:
-    """Project ``df`` onto ``schema`` in one select; extra source columns are dropped."""
+    """Project ``df`` onto ``schema`` in one select; of the other columns those of ``keep`` stay."""
     for name in required:
         rule = mapping.get(name, name)
         names = [] if callable(rule) else [rule] if isinstance(rule, str) else list(rule)
         if names and not any(n in df.columns for n in names):
             raise ContractError(f"{name}: none of {names} is in {df.columns}")
     return df.select(
-        *[_resolve(df, mapping.get(f.name, f.name), f.dataType).alias(f.name) for f in schema]
+        *[_resolve(df, mapping.get(f.name, f.name), f.dataType).alias(f.name) for f in schema],
+        *[c for c in keep if c in df.columns and c not in schema.fieldNames()],
     )
 
 
@@ -67,23 +73,21 @@ def _fields(spec: dict[str, T.DataType]) -> T.StructType:
     return T.StructType([T.StructField(n, t) for n, t in spec.items()])
 
 
+def _amount(df: DataFrame, name: str) -> Column:
+    return F.col(name) if name in df.columns else F.lit(None).cast(_MONEY)
+
+
 def _entry_type(df: DataFrame) -> Column:
     """Debit/credit columns to a type label; feeds that already have one keep it."""
-    label = F.when(F.coalesce(F.col("vlr_credito"), F.lit(0)) > 0, "CREDITO").when(
-        F.coalesce(F.col("vlr_debito"), F.lit(0)) > 0, "DEBITO"
-    )
-    if "cd_tipo_lancamento" in df.columns:
-        return F.coalesce(F.col("cd_tipo_lancamento"), label)
-    return label
+    positive = lambda name: F.coalesce(_amount(df, name), F.lit(0)) > 0
+    label = F.when(positive("vlr_credito"), "CREDITO").when(positive("vlr_debito"), "DEBITO")
+    return F.coalesce(F.col("cd_tipo_lancamento"), label) if "cd_tipo_lancamento" in df.columns else label
 
 
 def _entry_value(df: DataFrame) -> Column:
-    split = F.when(F.coalesce(F.col("vlr_credito"), F.lit(0)) > 0, F.col("vlr_credito")).otherwise(
-        F.col("vlr_debito")
-    )
-    if "vlr_lancamento" in df.columns:
-        return F.coalesce(F.col("vlr_lancamento"), split)
-    return split
+    credit, debit = _amount(df, "vlr_credito"), _amount(df, "vlr_debito")
+    split = F.when(F.coalesce(credit, F.lit(0)) > 0, credit).otherwise(debit)
+    return F.coalesce(F.col("vlr_lancamento"), split) if "vlr_lancamento" in df.columns else split
 
 
 def _settled_side(df: DataFrame) -> Column:
@@ -175,9 +179,53 @@ SILVER_INPUT: dict[str, tuple[T.StructType, dict[str, Rule]]] = {
 }
 
 
+def _identity(table: str) -> tuple[str, ...]:
+    """Columns without which a feed cannot be merged: tenant, key and watermark."""
+    schema = SILVER_INPUT[table][0] if table in SILVER_INPUT else data_schema(DATAMART_OF[table], table)
+    key = next(n for n in schema.fieldNames() if n != "tenant_id")
+    return ("tenant_id", key, "created_at")
+
+
 def conform_feed(table: str, df: DataFrame) -> DataFrame:
-    """Apply the standing mapping of ``table``; feeds without one pass through."""
-    if table not in SILVER_INPUT:
-        return df
-    schema, mapping = SILVER_INPUT[table]
-    return conform(df, mapping, schema)
+    """Apply the standing mapping of ``table``.
+
+    Tenant, key and watermark must be there under one of their names, and the delivery
+    day stays, so that incremental runs can prune. A feed without a mapping must have
+    the columns and types of its contract; more columns are allowed.
+    """
+    if table in SILVER_INPUT:
+        schema, mapping = SILVER_INPUT[table]
+        return conform(df, mapping, schema, _identity(table), keep=_DAY)
+    wrong = [d for d in schema_differences(df.schema, data_schema(DATAMART_OF[table], table)) if not d.startswith("unexpected")]
+    if wrong or "tenant_id" not in df.columns:
+        raise ContractError(f"{table}: {wrong or 'no tenant_id'}")
+    return df
+
+
+def resolve_sides(settlements: DataFrame, payables: DataFrame, receivables: DataFrame) -> DataFrame:
+    """Settlements with the missing ``tipo_titulo`` filled in from the side that has their title.
+
+    What stays NULL has no title, or one on both sides: ``unresolved`` lists it, and no
+    title takes its money.
+    """
+    title = ["tenant_id", "titulo_id"]
+    known = payables.select(*title, F.lit("PAGAR").alias("_side")).unionByName(
+        receivables.select(*title, F.lit("RECEBER").alias("_side"))
+    )
+    lost = settlements.filter(F.col("tipo_titulo").isNull())
+    sides = (
+        known.join(lost.select(*title).distinct(), title, "left_semi")
+        .groupBy(*title)
+        .agg(F.min("_side").alias("_side"), F.max("_side").alias("_other"))
+        .filter("_side = _other")
+        .drop("_other")
+    )
+    return (
+        settlements.join(sides, title, "left")
+        .withColumn("tipo_titulo", F.coalesce("tipo_titulo", "_side"))
+        .select(*settlements.columns)
+    )
+
+
+def unresolved(settlements: DataFrame) -> DataFrame:
+    return settlements.filter(F.col("tipo_titulo").isNull())

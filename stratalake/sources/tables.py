@@ -99,14 +99,11 @@ def overwrite_partitions(df: DataFrame, table: str) -> None:
     if f"{DYNAMIC[0]}={DYNAMIC[1]}" in describe(spark, table, "Storage Properties"):
         rows.write.insertInto(table, overwrite=True)
         return
-    # A table made elsewhere: the option exists for this session only.
-    key = f"spark.sql.sources.{DYNAMIC[0]}"
-    before = spark.conf.get(key)
-    spark.conf.set(key, DYNAMIC[1])
-    try:
-        rows.write.insertInto(table, overwrite=True)
-    finally:
-        spark.conf.set(key, before)
+    # A table made elsewhere: it gets the option for good. A session-wide mode would
+    # be shared with writes that run at the same time.
+    spark.sql(f"ALTER TABLE {table} SET SERDEPROPERTIES ('{DYNAMIC[0]}' = '{DYNAMIC[1]}')")
+    spark.catalog.refreshTable(table)
+    rows.write.insertInto(table, overwrite=True)
 
 
 def describe(spark: SparkSession, table: str, item: str) -> str:
@@ -120,19 +117,20 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
 
 
 def compact(spark: SparkSession, table: str, where: str, target_files: int) -> None:
-    """Rewrite the partitions selected by ``where`` (partition columns only) into fewer files.
+    """Rewrite the partitions selected by ``where`` (partition columns only), each into at most ``target_files``.
 
-    The rows are first copied to the shared folder, so the source files stay
-    untouched until the copy is complete.
+    The rows are first copied to the shared folder, so the source files stay untouched
+    until the copy is complete. Both writes deal partitions x ``target_files`` tasks; the
+    second one too, because reading the copy may cut its files anew.
     """
     by = partition_columns(spark, table)
     source = spark.table(table).filter(where)
     path = scratch_path(spark, "compact")
     columns = [c for c in source.columns if c not in by]
-    (
-        source.repartition(target_files, *by, F.pmod(F.xxhash64(*columns), F.lit(target_files)))
-        .write.partitionBy(*by)
-        .parquet(path)
-    )
-    staged = spark.read.schema(source.schema).parquet(path)
-    overwrite_partitions(staged, table)
+    tasks = max(1, source.select(*by).distinct().count()) * target_files
+
+    def dealt(df: DataFrame) -> DataFrame:
+        return df.repartition(tasks, *by, F.pmod(F.xxhash64(*columns), F.lit(target_files)))
+
+    dealt(source).write.partitionBy(*by).parquet(path)
+    overwrite_partitions(dealt(spark.read.schema(source.schema).parquet(path)), table)

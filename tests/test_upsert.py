@@ -1,6 +1,8 @@
 from __future__ import annotations
 
 import random
+import re
+import time
 
 import pytest
 from pyspark.sql import functions as F
@@ -79,12 +81,24 @@ def test_key_that_changes_partition_moves(spark, lake, rows):
     assert as_set(spark.table(t).select("k", "mes", "v")) == {("1", 2, "moved"), ("2", 2, "y")}
 
 
-def test_many_partitions_use_the_semi_join(spark, lake, rows, monkeypatch):
-    monkeypatch.setattr(merge, "LITERAL_PARTITIONS", 2)
+def test_many_partitions_are_pruned(spark, tmp_path):
+    """More than 400 touched partitions of two columns still prune directories."""
+    path = str(tmp_path / "t")
+    values = spark.range(450).select(F.col("id").cast("int").alias("mes"), F.lit("x").alias("v"), F.when(F.col("id") > 5, F.lit("a")).alias("tenant_id"))
+    values.write.partitionBy("tenant_id", "mes").parquet(path)
+    target = spark.read.parquet(path)
+    touched = target.filter("mes >= 20 or mes = 3").select("tenant_id", "mes")
+    got = merge.restrict_to(target, touched, ["tenant_id", "mes"])
+    assert got.count() == 431
+    filters = re.search(r"PartitionFilters: \[(.*)\]", plan_of(got)).group(1)
+    assert "mes" in filters and "tenant_id" in filters
+
+
+def test_replaced_groups_go_without_a_new_row(spark, lake, rows):
     t = lake.name("silver", "t")
-    upsert(rows(DDL, *[(f"t{i}", "1", 1, "x") for i in range(6)]), t, KEYS)
-    upsert(rows(DDL, *[(f"t{i}", "1", 2, "y") for i in range(5)]), t, KEYS)
-    assert as_set(spark.table(t).select("tenant_id", "v")) == {*((f"t{i}", "y") for i in range(5)), ("t5", "x")}
+    upsert(rows(DDL, ("a", "1", 1, "x"), ("a", "2", 1, "y"), ("b", "1", 1, "x"), ("b", "3", 2, "z")), t, KEYS)
+    upsert(rows(DDL, ("a", "9", 3, "new")), t, KEYS, replaces=rows("tenant_id string, v string", ("a", "x"), ("b", "z"), ("c", "x")))
+    assert as_set(spark.table(t).select("tenant_id", "k", "v")) == {("a", "2", "y"), ("a", "9", "new"), ("b", "1", "x")}
 
 
 def test_interrupted_replacement_is_finished(spark, lake, rows, monkeypatch):
@@ -127,6 +141,21 @@ def test_lookback_is_pushed_to_the_scan(spark, tmp_path):
     assert "PushedFilters: [IsNotNull(ts), GreaterThanOrEqual(ts,2025-01-03T00:00)]" in plan_of(recent)
 
 
+def test_high_water_mark_ignores_the_drivers_zone(rows, monkeypatch):
+    df = rows("v int", *[(v,) for v in range(25)]).select(
+        F.expr("timestamp_ntz'2025-01-01' + make_dt_interval(0, v) ts"), F.expr("timestamp'2025-01-01' + make_dt_interval(0, v) tz"), "v"
+    )
+    for column in ("ts", "tz"):
+        for zone in ("America/Sao_Paulo", "Asia/Tokyo", "UTC"):
+            monkeypatch.setenv("TZ", zone)
+            time.tzset()
+            assert since_high_water(df, df, column).count() == 25
+            assert since_high_water(df, df.filter("v = 0"), column, days=0).count() == 25
+            assert since_high_water(df, df.filter("v = 20"), column, days=0).count() == 5
+    monkeypatch.delenv("TZ")
+    time.tzset()
+
+
 def test_high_water_mark(rows):
     df = rows("v int", (1,), (2,), (3,), (4,)).select(
         F.expr("timestamp_ntz'2025-01-01' + make_dt_interval(v) ts"), "v"

@@ -14,7 +14,7 @@ conventions, mirrored by ``workload/oracle.py``:
 
 from __future__ import annotations
 
-from collections.abc import Iterator, Mapping
+from collections.abc import Callable, Iterator, Mapping
 
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -443,6 +443,23 @@ FEEDS = {
 }
 
 
+class Revised(Mapping[str, DataFrame]):
+    """Feeds of another day: some of them changed by a function of the original."""
+
+    def __init__(self, base: Mapping[str, DataFrame], **changes: Callable[[DataFrame], DataFrame]) -> None:
+        self.base, self.changes = base, changes
+
+    def __getitem__(self, name: str) -> DataFrame:
+        feed = self.base[name]
+        return self.changes[name](feed) if name in self.changes else feed
+
+    def __iter__(self) -> Iterator[str]:
+        return iter(self.base)
+
+    def __len__(self) -> int:
+        return len(self.base)
+
+
 class Feeds(Mapping[str, DataFrame]):
     """Business feeds by name, built on first use."""
 

@@ -4,7 +4,7 @@ from __future__ import annotations
 
 import datetime as dt
 import uuid
-from collections.abc import Callable
+from collections.abc import Callable, Mapping
 from functools import reduce
 
 from pyspark.sql import Column, DataFrame, SparkSession
@@ -33,6 +33,7 @@ Query = Callable[[SparkSession, str], DataFrame]
 
 AS_OF = "2000-01-01"
 NOW = "2000-01-01 00:00:00"
+NEXT_DAY = "2000-01-02 00:00:00"
 CALENDAR = (dt.date(1995, 1, 1), dt.date(2001, 12, 31))
 
 QUERIES: dict[str, Query] = {}
@@ -657,6 +658,70 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def two_days(spark: SparkSession, names: list[str], first: Mapping, second: Mapping) -> Models:
+    """A full build of the first day's feeds, then an incremental run over the second day's."""
+    lake = new_lake(spark)
+    build_layers(spark, first, lake, names, now=NOW, as_of=AS_OF, calendar=CALENDAR)
+    return build_layers(
+        spark, second, lake, names, full_refresh=False, now=NEXT_DAY, as_of=AS_OF, calendar=CALENDAR
+    )
+
+
+def every_other(key: str) -> Column:
+    return F.pmod(F.xxhash64(key), F.lit(2)) == 0
+
+
+def arrived_now(df: DataFrame, which: Column) -> DataFrame:
+    """Some rows come in on the second day; their own dates stay."""
+    return df.withColumn("created_at", F.when(which, F.lit(NOW).cast("timestamp_ntz")).otherwise(F.col("created_at")))
+
+
+@register("in08_late_settlements", "fct_titulo_financeiro")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Half of all settlements arrive a day later with old dates: first ones, and second ones of settled titles."""
+    feeds, late = Feeds(spark, sf_dir), every_other("baixa_id")
+    first = Revised(feeds, baixas=lambda df: df.filter(~late))
+    second = Revised(feeds, baixas=lambda df: arrived_now(df, late))
+    built = two_days(spark, ["silver_dw_titulos_financeiros", "fct_titulo_financeiro"], first, second)
+    return built["fct_titulo_financeiro"]
+
+
+LEDGER = [
+    "silver_dw_plano_contas", "silver_dw_lancamentos", "silver_dw_empresas", "silver_dw_centros_custos",
+    "dim_plano_contas", "dim_empresas", "dim_centros_custos", "fct_lancamentos", "dre_contabil", "dre_gerencial",
+]
+
+
+def changed_ledger(spark: SparkSession, sf_dir: str) -> Models:
+    """The first day lacks half of the entries of one type of id, has others in another month, and lacks companies."""
+    feeds = Feeds(spark, sf_dir)
+    late = every_other("lancamento_id")
+    moved = late & (F.pmod(F.xxhash64("plano_conta_id", "lancamento_id"), F.lit(3)) > 0)
+    before = F.when(moved, F.add_months("dt_competencia", -30).cast("timestamp_ntz")).otherwise(F.col("dt_competencia"))
+    first = Revised(
+        feeds,
+        lancamentos=lambda df: df.filter(~late | moved).withColumn("dt_competencia", before),
+        empresas=lambda df: df.filter(every_other("empresa_id")),
+    )
+    second = Revised(
+        feeds,
+        lancamentos=lambda df: arrived_now(df, late),
+        empresas=lambda df: arrived_now(df, ~every_other("empresa_id")),
+    )
+    return two_days(spark, LEDGER, first, second)
+
+
+@register("in09_changed_ledger", "dre_contabil")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Late and moved entries and new companies: the merged statement equals a full one."""
+    return changed_ledger(spark, sf_dir)["dre_contabil"]
+
+
+@register("in09_changed_ledger_managerial", "dre_gerencial")
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return changed_ledger(spark, sf_dir)["dre_gerencial"]
+
+
 @register(
     "in07_stream_upsert",
     """select * from events qualify row_number() over (
