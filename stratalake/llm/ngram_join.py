@@ -21,13 +21,14 @@ import numpy as np
 import pyarrow as pa
 import xxhash
 from pyspark.sql import DataFrame
+from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
 from stratalake.llm.common import only, raw, schema_of, slices
 from stratalake.llm.components import components
 from stratalake.session import materialise
 
-GROUPS = 64  # coordinates of a point
+LEAST_BITS = 6  # of the number of a group: a point has 64 coordinates at least
 SKETCH_BITS = 20  # groups whose totals order the shingles
 CHUNK = 256
 _P = [np.uint64(x | 1) for x in (0x9E3779B97F4A7C15, 0xBF58476D1CE4E5B9, 0x94D049BB133111EB, 0xD6E8FEB86659FD93, 0xA0761D6478BD642F)]
@@ -77,19 +78,35 @@ def set_number(s: np.ndarray) -> int:
     return xxhash.xxh64_intdigest(s.tobytes(), seed=5) - (1 << 63)
 
 
-def point(s: np.ndarray) -> np.ndarray:
-    return np.bincount((s >> np.uint64(20)).astype(np.int64) % GROUPS, minlength=GROUPS).astype(np.int64)
+def fineness(n: np.ndarray) -> np.ndarray:
+    """Bits of a group number for sets of n: about eight shingles a group, 64 groups at least.
+
+    With as few groups for long texts as for short ones, chance alone would fill the minima. Sets that can
+    reach a similarity above one half differ by one at most.
+    """
+    return np.maximum(LEAST_BITS, np.ceil(np.log2(np.maximum(n, 1) / 8)).astype(np.int64))
+
+
+def point(s: np.ndarray, bits: int | None = None) -> np.ndarray:
+    """Counts of shingles by group; halving the groups adds neighbours."""
+    bits = int(fineness(np.array(len(s)))) if bits is None else bits
+    return np.bincount(((s << np.uint64(20)) >> np.uint64(64 - bits)).astype(np.int64), minlength=1 << bits)
 
 
 def packed(p: np.ndarray) -> bytes:
-    """Two bytes a count, four where a count needs them."""
-    return p.astype("<u2" if p.max(initial=0) < 1 << 16 else "<u4").tobytes()
+    """One byte a count; two or four where a count needs them."""
+    top = p.max(initial=0)
+    return p.astype("u1" if top < 1 << 8 else "<u2" if top < 1 << 16 else "<u4").tobytes()
+
 
+def unpacked(data: list[bytes], bits: int) -> np.ndarray:
+    if all(len(x) == 1 << bits for x in data):
+        return np.frombuffer(b"".join(data), "u1").reshape(-1, 1 << bits).astype(np.int32)
+    return np.array([np.frombuffer(x, {1: "u1", 2: "<u2", 4: "<u4"}[len(x) >> bits]) for x in data], np.int32)
 
-def unpacked(data: list[bytes]) -> np.ndarray:
-    if all(len(x) == 2 * GROUPS for x in data):
-        return np.frombuffer(b"".join(data), "<u2").reshape(-1, GROUPS).astype(np.int64)
-    return np.array([np.frombuffer(x, "<u2" if len(x) == 2 * GROUPS else "<u4") for x in data], np.int64)
+
+def halved(points: np.ndarray) -> np.ndarray:
+    return points.reshape(len(points), -1, 2).sum(2, dtype=np.int32)
 
 
 def least_overlap(a: np.ndarray | int, b: np.ndarray | int, percent: int) -> np.ndarray:
@@ -124,10 +141,10 @@ class CountTree:
             # sizes first: 100 * smaller >= percent * larger
             fit = (100 * high_n[node] >= percent * sizes[q]) & (100 * sizes[q] >= percent * low_n[node])
             q, node = q[fit], node[fit]
-            bound = np.zeros(len(q), np.int64)
-            for lo in range(0, len(q), 1 << 16):
-                some = slice(lo, lo + (1 << 16))
-                bound[some] = np.minimum(points[q[some]], high[node[some]]).sum(1)
+            bound, step = np.zeros(len(q), np.int64), max(64, (1 << 22) // points.shape[1])
+            for lo in range(0, len(q), step):
+                some = slice(lo, lo + step)
+                bound[some] = np.minimum(points[q[some]], high[node[some]]).sum(1, dtype=np.int64)
             good = bound >= least_overlap(sizes[q], low_n[node], percent)
             q, node, bound = q[good], node[good], bound[good]
             if depth:
@@ -187,7 +204,9 @@ def _totals(mixed: DataFrame) -> np.ndarray:
 
 
 def _buckets(docs: DataFrame, text_col: str, totals: np.ndarray, n_shingles: int, percent: int, hot: int) -> DataFrame:
-    """(bucket, chunk, set) of all buckets with more than one set; equal buckets once per block.
+    """(bucket, sets, by_size, by_hash, set) of all buckets with more than one set; equal buckets once per block.
+
+    ``by_size`` and ``by_hash`` are the set's chunks when a bucket is cut in order of size or at random.
 
     A task packs the first shingles of its sets into one row per block of hashes, so the shuffle moves few
     rows. Shingles of groups that stand out by more than ``hot`` sets are dealt to several blocks; their
@@ -255,7 +274,7 @@ def _buckets(docs: DataFrame, text_col: str, totals: np.ndarray, n_shingles: int
         k, s, p = k[new], s[new], p[new]
         start = np.flatnonzero(np.r_[True, (k[1:] != k[:-1]) | (p[1:] != p[:-1])])
         stop = np.r_[start[1:], len(k)]
-        seen, bucket, chunk, member = set(), [], [], []
+        seen, bucket, size, by_size, by_hash, member = set(), [], [], [], [], []
         for a, b in zip(start.tolist(), stop.tolist(), strict=True):
             if b - a == 1 and not p[a]:
                 continue
@@ -266,14 +285,19 @@ def _buckets(docs: DataFrame, text_col: str, totals: np.ndarray, n_shingles: int
                 if name in seen:
                     continue
                 seen.add(name)
+            pieces = -(-(b - a) // CHUNK)
             bucket.append(np.full(b - a, name, np.int64))
-            chunk.append(base + np.arange(b - a) // CHUNK)
+            size.append(np.full(b - a, b - a, np.int64))
+            by_size.append(base + np.arange(b - a) // CHUNK)
+            random = _mix(s[a:b].view(np.uint64) ^ np.uint64(name & ((1 << 64) - 1)))
+            by_hash.append(base + (random % np.uint64(pieces)).astype(np.int64))
             member.append(s[a:b])
         join = lambda x: np.concatenate(x) if x else np.zeros(0, np.int64)
-        return pa.table({"bucket": pa.array(join(bucket), pa.int64()), "chunk": pa.array(join(chunk), pa.int64()), "set": pa.array(join(member), pa.int64())})
+        columns = {"bucket": bucket, "sets": size, "by_size": by_size, "by_hash": by_hash, "set": member}
+        return pa.table({c: pa.array(join(x), pa.int64()) for c, x in columns.items()})
 
     packed = docs.select(raw(text_col).alias("__text")).mapInArrow(pack, "block long, m int, entries binary")
-    return packed.groupBy("block").applyInArrow(meet, "bucket long, chunk long, set long").distinct()
+    return packed.groupBy("block").applyInArrow(meet, "bucket long, sets long, by_size long, by_hash long, set long").distinct()
 
 
 def _whole_sets(docs: DataFrame, id_col: str, text_col: str, members: DataFrame, wanted: DataFrame) -> DataFrame:
@@ -296,30 +320,64 @@ def _whole_sets(docs: DataFrame, id_col: str, text_col: str, members: DataFrame,
 
 
 def _search(rows: DataFrame, percent: int, per_task: int = 40_000) -> DataFrame:
-    """Pairs (a, b) that may reach the threshold, from rows (cell, side, set, comp, n, point) of bounded cells.
+    """Pairs (a, b) that may reach the threshold, from rows (cell, side, set, n, point) of bounded cells.
 
-    Sides 0 and 1 of a cell are searched against each other, a side 2 against itself. Where comp is null
-    each set gets its two nearest points; else every partner of another component.
+    Sides 0 and 1 of a cell are searched against each other, a side 2 against itself. Each set gets its
+    nearest point. Rows with (comp, bucket, buckets) too give every pair of different components, in the
+    first of the buckets that both sets are in, so that a pair comes once however much its sets share.
     """
+    whole = "comp" in rows.columns
+
     n_rows = rows.count()
     tasks = max(int(rows.sparkSession.conf.get("spark.sql.shuffle.partitions")) * 4, n_rows // per_task)
 
+    def reach(left: dict, right: dict) -> Iterator[tuple[np.ndarray, np.ndarray, np.ndarray]]:
+        """Rows of both that may reach the threshold, with the bound: one tree for each fineness in use."""
+        for bits in np.unique(right["bits"]).tolist():
+            there = np.flatnonzero(right["bits"] == bits)
+            points = unpacked([right["point"][i] for i in there], bits)
+            for other in (bits - 1, bits, bits + 1):
+                here = np.flatnonzero(left["bits"] == other)
+                if not len(here):
+                    continue
+                asked = unpacked([left["point"][i] for i in here], other)
+                asked = halved(asked) if other > bits else asked
+                tree = CountTree(halved(points) if other < bits else points, right["n"][there])
+                q, m, bound = tree.reach(asked, left["n"][here], percent)
+                yield here[q], there[m], bound
+
+    def met_before(left: dict, right: dict, q: np.ndarray, m: np.ndarray) -> np.ndarray:
+        """Whether the pairs share a bucket of a smaller name than that of the cell."""
+        here = left["bucket"][0]
+        earlier = [[[b for b in x if b < here] for x in part["buckets"]] for part in (left, right)]
+        names = {b: k for k, b in enumerate(sorted({b for part in earlier for x in part for b in x}))}
+        if not names:
+            return np.zeros(len(q), bool)
+        marks = [np.zeros((len(part), len(names)), bool) for part in earlier]
+        for mark, part in zip(marks, earlier, strict=True):
+            for i, x in enumerate(part):
+                mark[i, [names[b] for b in x]] = True
+        out, step = np.zeros(len(q), bool), max(1, (1 << 24) // len(names))
+        for lo in range(0, len(q), step):
+            some = slice(lo, lo + step)
+            out[some] = (marks[0][q[some]] & marks[1][m[some]]).any(1)
+        return out
+
     def one(left: dict, right: dict, itself: bool) -> tuple[np.ndarray, np.ndarray]:
-        tree = CountTree(right["point"], right["n"])
-        q, m, bound = tree.reach(left["point"], left["n"], percent)
+        q, m, bound = (np.concatenate(x) for x in zip(*reach(left, right), (np.zeros(0, np.int64),) * 3, strict=True))
         a, b = left["set"][q], right["set"][m]
-        ok = a < b if itself else a != b
-        if left["comp"] is not None:
-            ok = ok & (left["comp"][q] != right["comp"][m])
+        if whole:
+            ok = (a < b if itself else a != b) & (left["comp"][q] != right["comp"][m])
+            q, m, a, b = q[ok], m[ok], a[ok], b[ok]
+            ok = ~met_before(left, right, q, m)
             return a[ok], b[ok]
         both = (bound + 1) / (left["n"][q] + right["n"][m] - bound + 1)
         ok = a != b
         q, a, b, both = q[ok], a[ok], b[ok], both[ok]
         order = np.lexsort((b, -both, q))
         q, a, b = q[order], a[order], b[order]
-        first = np.searchsorted(q, q, "left")
-        near = np.arange(len(q)) - first < 2
-        return a[near], b[near]
+        nearest = np.r_[True, q[1:] != q[:-1]] if len(q) else np.zeros(0, bool)
+        return a[nearest], b[nearest]
 
     def run(key: tuple, part: pa.Table) -> pa.Table:
         cell = part.column("cell").to_numpy()
@@ -327,14 +385,19 @@ def _search(rows: DataFrame, percent: int, per_task: int = 40_000) -> DataFrame:
         order = np.lexsort((side, cell))
         cell, side = cell[order], side[order]
         number, n = part.column("set").to_numpy()[order], part.column("n").to_numpy()[order]
-        known = part.column("comp").null_count == 0
-        comp = part.column("comp").to_numpy()[order] if known else None
-        points = unpacked(part.column("point").to_pylist())[order]
+        if whole:
+            comp, bucket = part.column("comp").to_numpy()[order], part.column("bucket").to_numpy()[order]
+            lists = part.column("buckets").to_pylist()
+            lists = [lists[i] for i in order.tolist()]
+        held = part.column("point").to_pylist()
+        points, bits = [held[i] for i in order.tolist()], fineness(n)
         cuts = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1], True])
         one_side, other = [], []
         for lo, hi in zip(cuts[:-1].tolist(), cuts[1:].tolist(), strict=True):
             mid = lo + int(np.searchsorted(side[lo:hi], 1))
-            pick = lambda i, j: {"set": number[i:j], "n": n[i:j], "point": points[i:j], "comp": comp[i:j] if known else None}
+            pick = lambda i, j: {"set": number[i:j], "n": n[i:j], "bits": bits[i:j], "point": points[i:j]} | (
+                {"comp": comp[i:j], "bucket": bucket[i:j], "buckets": lists[i:j]} if whole else {}
+            )
             if side[lo] == 2:
                 a, b = one(pick(lo, hi), pick(lo, hi), True)
             elif lo < mid < hi:
@@ -368,8 +431,23 @@ def _verified(pairs: DataFrame, sets: DataFrame, percent: int) -> DataFrame:
     return pairs.join(left, "a").join(right, "b").select("a", "b", "x", "y").mapInArrow(run, "a long, b long, linked boolean")
 
 
+def _first_cells(live: DataFrame) -> DataFrame:
+    """Cells of the first round: the chunks of each set in its largest buckets, by size and at random.
+
+    Copies of one text have their largest buckets in common, and chunks cut in several ways join up; whatever
+    stays apart is left to the second round.
+    """
+    order = W.partitionBy("set").orderBy(F.desc("sets"), "bucket", "by_size")
+    ranked = live.withColumn("k", F.row_number().over(order)).filter("k <= 3")
+    both = F.array(F.struct(F.lit(0).alias("way"), F.col("by_size").alias("chunk")), F.struct(F.lit(1).alias("way"), F.col("by_hash").alias("chunk")))
+    cut = ranked.select("bucket", "set", F.explode(F.when(F.col("sets") > CHUNK, both).otherwise(F.slice(both, 1, 1))).alias("c"))
+    return cut.select(
+        F.xxhash64("bucket", "c.way", "c.chunk").alias("cell"), F.lit(2).alias("side"), "set"
+    )
+
+
 def _cells(live: DataFrame, labels: DataFrame, limit: int = 1024) -> DataFrame:
-    """Cells (cell, side, set, comp) for the pairs of different components within buckets.
+    """Cells (cell, side, bucket, set, comp) for the pairs of different components within buckets.
 
     A component with more than ``limit`` sets of a bucket has chunks of its own there, the small ones share
     chunks; a cell is a pair of chunks that is not of one component, so the cells of a bucket with one huge
@@ -378,9 +456,12 @@ def _cells(live: DataFrame, labels: DataFrame, limit: int = 1024) -> DataFrame:
     rows = live.select("bucket", "set").distinct().join(labels, live["set"] == labels["node"], "left")
     rows = materialise(rows.select("bucket", "set", F.coalesce("component", "set").alias("comp")), "labelled")
     mixed = rows.groupBy("bucket").agg(F.min("comp").alias("lo"), F.max("comp").alias("hi"), F.count(F.lit(1)).alias("sets")).filter("lo < hi")
-    rows = materialise(rows.join(mixed.select("bucket", "sets"), "bucket"), "mixed")
+    mixed = materialise(mixed, "mixed")
+    rows = rows.join(mixed.select("bucket", "sets"), "bucket")
     small = F.col("sets") <= limit
-    alone = rows.filter(small).select(F.col("bucket").alias("cell"), F.lit(2).alias("side"), "set", "comp")
+    alone = rows.filter(small).select(F.col("bucket").alias("cell"), F.lit(2).alias("side"), "bucket", "set", "comp")
+    if mixed.filter(~small).isEmpty():
+        return alone
     large = rows.filter(~small)
     per = large.groupBy("bucket", "comp").agg(F.count(F.lit(1)).alias("own"))
     rest = per.filter(F.col("own") <= limit).groupBy("bucket").agg(F.sum("own").alias("rest"))
@@ -405,7 +486,7 @@ def _cells(live: DataFrame, labels: DataFrame, limit: int = 1024) -> DataFrame:
     ends = pairs.select("bucket", "cell", F.explode(F.when(F.col("c0") == F.col("c1"), F.array(F.struct(F.lit(2).alias("side"), F.col("c0").alias("c")))).otherwise(
         F.array(F.struct(F.lit(0).alias("side"), F.col("c0").alias("c")), F.struct(F.lit(1).alias("side"), F.col("c1").alias("c")))
     )).alias("end")).select("bucket", "cell", "end.side", "end.c")
-    many = dealt.withColumn("c", F.xxhash64("owner", "piece")).join(ends, ["bucket", "c"]).select("cell", "side", "set", "comp")
+    many = dealt.withColumn("c", F.xxhash64("owner", "piece")).join(ends, ["bucket", "c"]).select("cell", "side", "bucket", "set", "comp")
     return alone.unionByName(many)
 
 
@@ -431,10 +512,12 @@ def near_duplicates(
         sets = materialise(_whole_sets(docs, id_col, text_col, members, wanted), "whole")
         return materialise(_verified(pairs, sets, percent), label)
 
-    first = live.select(F.xxhash64("bucket", "chunk").alias("cell"), F.lit(2).alias("side"), "set", F.lit(None).cast("long").alias("comp"))
+    first = materialise(_first_cells(live), "cells")
     tested = verified(materialise(_search(first.join(points, "set"), percent), "near"), "tested")
     labels = materialise(components(tested.filter("linked")), "labels")
-    more = _search(_cells(live, labels).join(points, "set"), percent)
+    cells = materialise(_cells(live, labels), "cells")
+    lists = cells.select("set", "bucket").distinct().groupBy("set").agg(F.collect_list("bucket").alias("buckets"))
+    more = _search(cells.join(points, "set").join(lists, "set"), percent)
     more = materialise(more.join(tested.select("a", "b"), ["a", "b"], "left_anti"), "more")
     if not more.isEmpty():
         late = verified(more, "late").filter("linked")

@@ -127,7 +127,7 @@ def test_near_duplicates(spark, rows_of, monkeypatch, hot, chunk):
 def test_second_round_joins_components_across_chunks(spark):
     """Chunks of one set each: the first round finds nothing, cells of components find all."""
     rows = [(7, s) for s in range(8)] + [(8, 20), (8, 21)]
-    live = spark.createDataFrame(rows, "bucket long, set long")
+    live = spark.createDataFrame(rows, "bucket long, set long")  # as many as the second round reads
     labels = spark.createDataFrame([(s, 0) for s in range(5)], "node long, component long")
     cells = ngram_join._cells(live, labels, limit=2).collect()
     held = {}
@@ -149,7 +149,9 @@ def test_count_tree_is_complete():
     for _ in range(60):
         base = rng.integers(0, 1 << 63, rng.integers(1, 200)).astype(np.uint64)
         sets += [np.unique(base), np.unique(np.r_[base[: len(base) * 19 // 20], rng.integers(0, 1 << 63, 2).astype(np.uint64)])]
-    points, sizes = np.stack([ngram_join.point(s) for s in sets]), np.array([len(s) for s in sets])
+    points, sizes = np.stack([ngram_join.point(s, 7) for s in sets]), np.array([len(s) for s in sets])
+    assert (ngram_join.halved(points) == np.stack([ngram_join.point(s, 6) for s in sets])).all()
+    assert all((ngram_join.unpacked([ngram_join.packed(p)], 7)[0] == p).all() for p in [*points, points[0] * 300, points[0] * 70_000])
     q, m, bound = ngram_join.CountTree(points, sizes, fanout=4).reach(points, sizes, 80)
     found = set(zip(q.tolist(), m.tolist(), strict=True))
     for i, a in enumerate(sets):
