@@ -42,24 +42,49 @@ class BlockMaxIndex:
         self.most = np.zeros((n_terms, self.blocks))
         np.maximum.at(self.most, (term, row // BLOCK), weight)
 
+    def _cosines(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows of some blocks with a cosine above 0: the postings of all terms in them, summed by row."""
+        lo = self.where[terms[:, None], blocks]
+        size = (self.where[terms[:, None], blocks + 1] - lo).ravel()
+        at = np.repeat(lo.ravel() - np.cumsum(size) + size, size) + np.arange(size.sum())
+        cell = np.tile(np.arange(len(blocks)), len(terms))
+        place = np.repeat(cell * BLOCK, size) + self.row[at] % BLOCK
+        score = np.bincount(place, np.repeat(np.repeat(weights, len(blocks)), size) * self.weight[at], len(blocks) * BLOCK)
+        some = np.flatnonzero(score > 0)
+        return blocks[some // BLOCK] * BLOCK + some % BLOCK, score[some]
+
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
-        """The k rows of highest cosine above 0 and their cosines; ties go to the lower row."""
-        bound = weights @ self.most[terms] if len(terms) else np.zeros(self.blocks)
+        """The k rows of highest cosine above 0 and their cosines; ties go to the lower row.
+
+        The most promising blocks are summed first; of the others only those whose bound reaches the
+        k-th cosine found there.
+        """
         rows, cosines = np.zeros(0, np.int64), np.zeros(0)
-        for b in np.argsort(-bound, kind="stable").tolist():
-            if bound[b] <= 0 or (len(rows) == k and bound[b] < cosines[-1] - 1e-9):
+        if not len(terms):
+            return rows, cosines
+        bound = weights @ self.most[terms]
+        order = np.argsort(-bound, kind="stable")
+        order = order[bound[order] > 0]
+        done = 0
+        while done < len(order):
+            if len(rows) == k:
+                reach = bound[order[done:]] >= cosines[-1] - 1e-9
+                now = order[done:][reach]  # bounds fall, so nothing behind reaches either
+                done = len(order)
+            else:
+                now = order[done : done + max(8, done)]
+                done += len(now)
+            if not len(now):
                 break
-            score = np.zeros(BLOCK)
-            for t, w in zip(terms.tolist(), weights.tolist(), strict=True):
-                lo, hi = self.where[t, b], self.where[t, b + 1]
-                if hi > lo:
-                    score[self.row[lo:hi] - b * BLOCK] += w * self.weight[lo:hi]
-            some = np.flatnonzero(score > 0)
-            rows = np.concatenate([rows, some + b * BLOCK])
-            cosines = np.concatenate([cosines, score[some]])
+            more, found = self._cosines(now, terms, weights)
             if without >= 0:
-                rows, cosines = rows[rows != without], cosines[rows != without]
-            best = np.lexsort((rows, -np.round(cosines, 9)))[:k]
+                more, found = more[more != without], found[more != without]
+            rows, cosines = np.concatenate([rows, more]), np.concatenate([cosines, found])
+            rounded = np.round(cosines, 9)
+            if len(rows) > k:  # all that tie with the k-th stay until the sort
+                keep = rounded >= np.partition(rounded, -k)[-k]
+                rows, cosines, rounded = rows[keep], cosines[keep], rounded[keep]
+            best = np.lexsort((rows, -rounded))[:k]
             rows, cosines = rows[best], cosines[best]
         return rows, cosines
 
