@@ -133,6 +133,13 @@ def column_set_mismatch(df: DataFrame, expected: Sequence[str]) -> list[str]:
     return sorted(set(df.columns) ^ set(expected))
 
 
+def column_differences(df: DataFrame, expected: Sequence[str]) -> DataFrame:
+    """(column_name, difference) of the columns that are missing or not expected."""
+    rows = [(c, "missing") for c in expected if c not in df.columns]
+    rows += [(c, "unexpected") for c in df.columns if c not in expected]
+    return df.sparkSession.createDataFrame(sorted(rows), "column_name string, difference string")
+
+
 def unbalanced_entries(
     entries: DataFrame,
     period: str,

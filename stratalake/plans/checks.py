@@ -8,8 +8,10 @@ from __future__ import annotations
 
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
+from functools import reduce
 
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 from stratalake.operators import quality
 from stratalake.plans.silver import TITLE_KEYS
@@ -279,3 +281,29 @@ def singular(tables: Mapping[str, DataFrame], models: Iterable[str]) -> dict[str
             tables["controle_inadimplentes"], TITLE_KEYS, "nr_dias_atraso"
         )
     return found
+
+
+def row_tests(df: DataFrame, name: str, declared: Declared) -> DataFrame:
+    """(test, failures) of all not-null and accepted-values tests of a table, in one scan."""
+    tests = [(f"{name}.not_null({c})", F.col(c).isNull()) for c in declared.not_null]
+    tests += [(f"{name}.accepted_values({c})", ~F.col(c).isin(*v)) for c, v in declared.accepted.items()]
+    counts = df.agg(*[F.count_if(bad).alias(f"t{i}") for i, (_, bad) in enumerate(tests)])
+    rows = [F.struct(F.lit(n).alias("test"), F.col(f"t{i}").alias("failures")) for i, (n, _) in enumerate(tests)]
+    return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.test", "r.failures")
+
+
+def results(
+    tables: Mapping[str, DataFrame], feeds: Mapping[str, DataFrame], models: Iterable[str] | None = None
+) -> DataFrame:
+    """(test, failures): a row for each declared test of the models and of the source feeds.
+
+    Failures are rows for the tests of a row, keys or values for the others.
+    """
+    parts = []
+    for name in DECLARED if models is None else models:
+        parts.append(row_tests(tables[name], name, DECLARED[name]))
+        others = {n: df for n, df in failing_rows(name, tables) if ".not_null" not in n and ".accepted_values" not in n}
+        if others:
+            parts.append(quality.summarise(others).select(F.col("check_name").alias("test"), "failures"))
+    parts += [row_tests(feeds[name], f"source.{name}", d) for name, d in SOURCES.items()]
+    return reduce(DataFrame.unionByName, parts)

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Sequence
 
 from pyspark.sql import DataFrame, SparkSession
@@ -75,16 +76,33 @@ def for_partitions(df: DataFrame, partition_by: Sequence[str]) -> DataFrame:
 def write_table(
     df: DataFrame, name: str, partition_by: Sequence[str] = ("tenant_id",)
 ) -> DataFrame:
-    """Full rebuild of a table. ``df`` must not read the table itself.
+    """Full rebuild of a table.
 
-    The table remembers that later partial overwrites replace partitions only,
-    so merges need no session-wide setting and may run side by side.
+    The rows are written to a new folder beside the old one, and the name is pointed
+    at it when they are complete: a failed job leaves the old table as it was. Then
+    the old folder goes. The table remembers that later partial overwrites replace
+    partitions only, so merges need no session-wide setting and may run side by side.
     """
-    writer = for_partitions(df, partition_by).write.mode("overwrite").format("parquet")
+    spark = df.sparkSession
+    database, _, table = name.rpartition(".")
+    base = spark.catalog.getDatabase(database or spark.catalog.currentDatabase()).locationUri
+    path = f"{base.rstrip('/')}/{table}-{uuid.uuid4().hex}"
+    writer = for_partitions(df, partition_by).write
+    (writer.partitionBy(*partition_by) if partition_by else writer).parquet(path)
+
+    before = describe(spark, name, "Location") if spark.catalog.tableExists(name) else ""
+    columns = [f for f in df.schema if f.name not in partition_by] + [df.schema[c] for c in partition_by]
+    ddl = ", ".join(f"`{f.name}` {f.dataType.simpleString()}" for f in columns)
+    layout = f"PARTITIONED BY ({', '.join(partition_by)})" if partition_by else ""
+    option = f"OPTIONS ('{DYNAMIC[0]}' = '{DYNAMIC[1]}')" if partition_by else ""
+    spark.sql(f"DROP TABLE IF EXISTS {name}")
+    spark.sql(f"CREATE TABLE {name} ({ddl}) USING parquet {option} {layout} LOCATION '{path}'")
     if partition_by:
-        writer = writer.partitionBy(*partition_by).option(*DYNAMIC)
-    writer.saveAsTable(name)
-    return df.sparkSession.table(name)
+        spark.sql(f"MSCK REPAIR TABLE {name}")
+    if before.startswith(base.rstrip("/")) and before != path:
+        old = spark._jvm.org.apache.hadoop.fs.Path(before)
+        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+    return spark.table(name)
 
 
 def create_view(df: DataFrame, name: str) -> DataFrame:
