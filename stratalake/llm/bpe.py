@@ -13,6 +13,7 @@ import base64
 import functools
 import itertools
 import struct
+from array import array
 from collections.abc import Callable, Iterable, Iterator
 
 import numpy as np
@@ -107,16 +108,19 @@ class Transducer:
     def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
         self.merges = Merges(ranks)
         self.max_states = max_states
-        self.child: list[dict[int, int]] = [{}]
-        self.token: list[int] = [-1]
+        self.child: dict[int, int] = {}  # node << 8 | byte -> node; few bytes a node
+        self.token = array("i", [-1])
+        self.inner = bytearray(1)  # whether a node has children
         for piece, token in ranks.items():
             node = 0
             for b in piece:
-                if b not in self.child[node]:
-                    self.child[node][b] = len(self.child)
-                    self.child.append({})
+                to = self.child.get(node << 8 | b)
+                if to is None:
+                    to = self.child[node << 8 | b] = len(self.token)
                     self.token.append(-1)
-                node = self.child[node][b]
+                    self.inner[node] = 1
+                    self.inner.append(0)
+                node = to
             self.token[node] = token if self.merges.made(token) else -1
         self._forget()
 
@@ -133,10 +137,10 @@ class Transducer:
         """The state after ``byte`` and what is emitted: what all ways now begin with."""
         ways = []
         for pending, node in state.open:
-            to = self.child[node].get(byte)
+            to = self.child.get(node << 8 | byte)
             if to is None:
                 continue
-            if self.child[to]:
+            if self.inner[to]:
                 ways.append((pending, to))
             token = self.token[to]
             if token >= 0 and (
@@ -149,7 +153,7 @@ class Transducer:
         return self._state(frozenset((p[n:], node) for p, node in ways)), first[:n]
 
     def _first(self, state: _State, byte: int) -> tuple | list:
-        ends = {self.token[self.child[node].get(byte, 0)] for pending, node in state.open if not pending}
+        ends = {self.token[self.child.get(node << 8 | byte, 0)] for pending, node in state.open if not pending}
         asked = tuple(sorted(ends - {-1}))
         state.next[byte] = made = [asked, {}] if asked else self._step(state, byte, (), 0)
         return made
@@ -182,7 +186,7 @@ class Encoder(dict):
     Results of short matches are remembered as packed numbers, up to ``max_words``.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 150_000):
         super().__init__()
         self.cut = regex.compile(pattern).findall
         self.machine = Transducer(ranks)

@@ -43,7 +43,7 @@ def _mix(h: np.ndarray) -> np.ndarray:
 class Shingler:
     """Texts to sorted arrays of distinct 64-bit shingle hashes; keeps up to ``max_words`` word hashes."""
 
-    def __init__(self, width: int = 5, max_words: int = 500_000):
+    def __init__(self, width: int = 5, max_words: int = 200_000):
         self.width, self.max_words, self.known = width, max_words, {}
 
     def sets(self, texts: list[bytes]) -> list[np.ndarray]:

@@ -145,7 +145,7 @@ class Model:
             return self.blank, []
         key = terms.tobytes() + weights.tobytes()
         if key not in self._seen:
-            if len(self._seen) > 50_000:
+            if len(self._seen) > 10_000:
                 self._seen.clear()
             rows, cosines = self.index.nearest(terms, weights, self.k)
             score = self.blank if not len(rows) else float(np.interp(self._vote(rows, cosines), self.knots, self.values))
