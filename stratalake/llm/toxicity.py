@@ -160,9 +160,9 @@ def fit(
     label_col: str = "toxic",
     id_col: str = "doc_id",
     text_col: str = "text",
-    max_per_label: int = 6000,
-    max_terms: int = 3000,
-    least_chi2: float = 12.0,
+    max_per_label: int = 1500,
+    max_terms: int = 1000,
+    least_chi2: float = 20.0,
     k: int = 15,
 ) -> Model:
     """Examples: the ``max_per_label`` labelled rows of each label with the smallest hash of their id, rows

@@ -151,7 +151,7 @@ def test_language_evidence_is_fused(spark, model):
     page = lambda v, d, n=30: f'<html lang="{d}"><body>' + " ".join(rng.choice(words[v]) for _ in range(n)) + "</body></html>"
     rows = [(k, f"http://w{k % 3}.{v}.example.{'org' if v == 'en' else 'net'}/", page(v, v)) for k, v in enumerate(["en", "de", "fr"] * 20)]
     want = {k: v for k, v in enumerate(["en", "de", "fr"] * 20)}
-    rows += [(100, "http://w0.de.example.net/", "<html><body></body></html>"), (101, "http://new.example.net/", page("fr", "en", 60)), (102, None, None), (103, "http://q.example.org", '<html lang="de"></html>')]
+    rows += [(100, "http://w1.de.example.net/", "<html><body></body></html>"), (101, "http://new.example.net/", page("fr", "en", 60)), (102, None, None), (103, "http://q.example.net", '<html lang="de"></html>')]
     rows += [(104, "no address", page("de", "de")), (104, "no address", page("de", "de"))]
     got = langid.identify(frame(spark, rows), langs, logs).collect()
     assert Counter(r["page_id"] for r in got) == Counter(i for i, _, _ in rows)
