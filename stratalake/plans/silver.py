@@ -332,13 +332,13 @@ def recently_settled(feeds: Feeds, now: Now = None, delivered_from: dt.date | No
     """Keys of the titles with a settlement that has just come in.
 
     By the day of its delivery where the feed has one, else by its creation: the date
-    of the settlement itself may lie any time back.
+    of the settlement itself may lie any time back. It only serves feeds that have neither.
     """
     rows = feeds["baixas"]
     if delivered_from is not None and has_delivery_day(rows):
         rows = delivered_since(rows, delivered_from)
     else:
-        rows = lookback(rows, "created_at", now)
+        rows = lookback(rows, "created_at" if "created_at" in rows.columns else "dt_baixa", now)
     return rows.select(*TITLE_KEYS).distinct()
 
 
