@@ -156,9 +156,12 @@ class CountTree:
 
 
 def _sets_and_sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
-    """Rows (id, n, set, point) of every document, and beside them slices of each task's group totals."""
+    """Rows (id, n, set, print, point) of every document, and beside them slices of each task's group totals.
+
+    ``print`` is a fingerprint of the text, by which it is found again whatever its id.
+    """
     step = 1 << 14
-    names = [id_col, "n", "set", "point", "slice", "totals"]
+    names = [id_col, "n", "set", "print", "point", "slice", "totals"]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         shingler, totals, id_type = Shingler(), np.zeros(1 << SKETCH_BITS, np.uint32), None
@@ -173,6 +176,7 @@ def _sets_and_sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
                     batch.column(0),
                     pa.array([len(s) for s in sets], pa.int64()),
                     pa.array([set_number(s) if len(s) else None for s in sets], pa.int64()),
+                    batch.column(2),
                     pa.array([packed(point(s)) if len(s) else None for s in sets], pa.binary()),
                     pa.nulls(n, pa.int32()),
                     pa.nulls(n, pa.binary()),
@@ -183,12 +187,13 @@ def _sets_and_sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
             parts = [(i // step, totals[i : i + step].astype("<u4").tobytes()) for i in range(0, len(totals), step)]
             k = len(parts)
             yield pa.RecordBatch.from_arrays(
-                [pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array([i for i, _ in parts], pa.int32()), pa.array([t for _, t in parts], pa.binary())],
+                [pa.nulls(k, id_type), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.int64()), pa.nulls(k, pa.binary()), pa.array([i for i, _ in parts], pa.int32()), pa.array([t for _, t in parts], pa.binary())],
                 names,
             )
 
-    schema = schema_of(docs, id_col, "n long, set long, point binary, slice int, totals binary")
-    return docs.select(id_col, raw(text_col).alias("__text")).mapInArrow(run, schema)
+    schema = schema_of(docs, id_col, "n long, set long, print long, point binary, slice int, totals binary")
+    text = raw(text_col)
+    return docs.select(id_col, text.alias("__text"), F.xxhash64(text).alias("__print")).mapInArrow(run, schema)
 
 
 def _totals(mixed: DataFrame) -> np.ndarray:
@@ -300,22 +305,26 @@ def _buckets(docs: DataFrame, text_col: str, totals: np.ndarray, n_shingles: int
     return packed.groupBy("block").applyInArrow(meet, "bucket long, sets long, by_size long, by_hash long, set long").distinct()
 
 
-def _whole_sets(docs: DataFrame, id_col: str, text_col: str, members: DataFrame, wanted: DataFrame) -> DataFrame:
-    """(set, shingles) of the wanted sets, made again from the text of one document each."""
-    one = members.join(wanted, "set", "left_semi").groupBy("set").agg(F.min(id_col).alias("__id")).select("__id").distinct()
+def _whole_sets(docs: DataFrame, text_col: str, members: DataFrame, wanted: DataFrame) -> DataFrame:
+    """(set, shingles) of the wanted sets, made again from one text each, found by its fingerprint."""
+    one = members.join(wanted, "set", "left_semi").groupBy("set").agg(F.min("print").alias("__print")).select("__print").distinct()
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        shingler = Shingler()
+        shingler, seen = Shingler(), set()
         for batch in slices(batches, 0):
-            sets = [s for s in shingler.sets(batch.column(0).to_pylist()) if len(s)]
+            texts = {xxhash.xxh128_digest(t): t for t in batch.column(0).to_pylist()}  # copies once
+            new = [t for d, t in texts.items() if d not in seen]
+            seen.update(texts)
+            sets = [s for s in shingler.sets(new) if len(s)]
             yield pa.RecordBatch.from_arrays(
                 [pa.array([set_number(s) for s in sets], pa.int64()), pa.array([s.astype("<u8").tobytes() for s in sets], pa.binary())],
                 ["set", "shingles"],
             )
 
-    texts = docs.select(F.col(id_col).alias("__id"), raw(text_col).alias("__text"))
-    texts = only(texts, materialise(one, "texts"), "__id").select("__text")
-    # an id that several rows have may bring one set twice, or sets that nobody wants
+    text = raw(text_col)
+    texts = docs.select(F.xxhash64(text).alias("__print"), text.alias("__text"))
+    texts = only(texts, materialise(one, "texts"), "__print").select("__text")
+    # a text that several tasks have brings its set several times, two texts of one print may bring a set that nobody wants
     return texts.mapInArrow(run, "set long, shingles binary").dropDuplicates(["set"])
 
 
@@ -501,7 +510,7 @@ def near_duplicates(
     columns are not read; a row without an id gets the smallest id of its component, or null.
     """
     mixed = materialise(_sets_and_sketch(docs, id_col, text_col), "sets")
-    members = mixed.filter("slice is null").select(id_col, "n", "set")
+    members = mixed.filter("slice is null").select(id_col, "n", "set", "print")
     size = members.agg(F.sum("n")).first()[0] or 0
     live = materialise(_buckets(docs, text_col, _totals(mixed), size, percent, hot), "live")
     points = mixed.filter("set is not null").select("set", "n", "point")
@@ -509,7 +518,7 @@ def near_duplicates(
 
     def verified(pairs: DataFrame, label: str) -> DataFrame:
         wanted = materialise(pairs.select(F.explode(F.array("a", "b")).alias("set")).distinct(), "wanted")
-        sets = materialise(_whole_sets(docs, id_col, text_col, members, wanted), "whole")
+        sets = materialise(_whole_sets(docs, text_col, members, wanted), "whole")
         return materialise(_verified(pairs, sets, percent), label)
 
     first = materialise(_first_cells(live), "cells")

@@ -124,6 +124,31 @@ def test_near_duplicates(spark, rows_of, monkeypatch, hot, chunk):
     assert {r["doc_id"]: (r["n_shingles"], r["component_id"]) for r in got} == brute_components(rows_of)
 
 
+def near_copies(rng):
+    """Texts a, b, c: a and c are near copies of b, but not of each other."""
+    w = [prose(rng, 1) + str(i) for i in range(100)]
+    a, c = list(w), list(w)
+    a[2], c[97] = "left", "right"
+    a[4], c[95] = "Left", "Right"
+    a[9], c[90] = "LEFT", "RIGHT"
+    return " ".join(a), " ".join(w), " ".join(c)
+
+
+def test_near_duplicates_null_ids(spark):
+    """A text that only rows without an id have links what is near it."""
+    rng = random.Random(11)
+    a, b, c = near_copies(rng)
+    d, e, _ = near_copies(rng)
+    pairs = [(7, a), (None, b), (None, b), (3, c), (None, d), (None, e), (5, prose(rng, 50)), (None, prose(rng, 50)), (None, "")]
+    brute = brute_components(list(enumerate(t for _, t in pairs)))
+    assert brute[0][1] == brute[1][1] == brute[3][1] and brute_components([(7, a), (3, c)])[7][1] == 7
+    least = {}
+    for k, (i, _) in enumerate(pairs):
+        least.setdefault(brute[k][1], []).extend([] if i is None else [i])
+    want = Counter((i, brute[k][0], min(least[brute[k][1]], default=None)) for k, (i, _) in enumerate(pairs))
+    assert Counter(tuple(r) for r in ngram_join.near_duplicates(frame(spark, pairs)).collect()) == want
+
+
 def test_second_round_joins_components_across_chunks(spark):
     """Chunks of one set each: the first round finds nothing, cells of components find all."""
     rows = [(7, s) for s in range(8)] + [(8, 20), (8, 21)]
