@@ -26,7 +26,7 @@ def drop_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 
 
 def drop_near_copies(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """The smallest doc_id of each group linked at a Jaccard similarity of 0.8 on five-word shingles."""
+    """The row of the smallest doc_id of each group linked at a Jaccard similarity of 0.8 on five-word shingles."""
     return ngram_join.one_of_each(docs)
 
 

@@ -509,6 +509,17 @@ def near_duplicates(
     nothing and are their own component. Rows with equal sets are one set from the first shuffle on. Other
     columns are not read; a row without an id gets the smallest id of its component, or null.
     """
+    comp, alone = _components_of(docs, id_col, text_col, percent, hot)
+    least = comp.groupBy("comp").agg(F.min(id_col).alias("component_id"))
+    return (
+        comp.join(least, "comp")
+        .select(id_col, F.col("n").alias("n_shingles"), "component_id")
+        .union(alone.select(id_col, "n", F.col(id_col)))
+    )
+
+
+def _components_of(docs: DataFrame, id_col: str, text_col: str, percent: int = 80, hot: int = 1 << 18) -> tuple[DataFrame, DataFrame]:
+    """(id, n, comp) of the rows with shingles, written, and (id, n) of those without any."""
     mixed = materialise(_sets_and_sketch(docs, id_col, text_col), "sets")
     members = mixed.filter("slice is null").select(id_col, "n", "set", "print")
     size = members.agg(F.sum("n")).first()[0] or 0
@@ -536,17 +547,22 @@ def near_duplicates(
     comp = members.filter("set is not null").join(labels, members["set"] == labels["node"], "left").select(
         id_col, "n", F.coalesce("component", "set").alias("comp")
     )
-    comp = materialise(comp, "comp")
-    least = comp.groupBy("comp").agg(F.min(id_col).alias("component_id"))
-    return (
-        comp.join(least, "comp")
-        .select(id_col, F.col("n").alias("n_shingles"), "component_id")
-        .union(members.filter("set is null").select(id_col, "n", F.col(id_col)))
-    )
+    return materialise(comp, "comp"), members.filter("set is null").select(id_col, "n")
 
 
-def one_of_each(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", **options) -> DataFrame:
-    """The rows of ``docs`` that are the smallest id of their component, all columns kept."""
-    found = near_duplicates(docs, id_col, text_col, **options)
-    gone = materialise(found.filter(F.col("component_id") < F.col(id_col)).select(id_col), "gone")
-    return docs.join(gone.distinct(), id_col, "left_anti").select(docs.columns)
+def one_of_each(
+    docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", percent: int = 80, hot: int = 1 << 18, small: int = 1_000_000
+) -> DataFrame:
+    """One row of each component of near copies, all columns kept: that of the smallest id.
+
+    Rows are told apart by a number written once, so ids may repeat or be null: null ids come last, and of
+    rows with one id the first written stays. Texts without shingles all stay. Up to ``small`` numbers of rows
+    that go, which are counted, are broadcast and the rows stay where they are; more are joined by a shuffle.
+    """
+    rows = materialise(docs.withColumn("__row", F.monotonically_increasing_id()), "rows")
+    key = F.struct(F.col(id_col).isNull().alias("none"), F.col(id_col).alias("id"), F.col("__row").alias("row"))
+    comp, _ = _components_of(rows.withColumn("__key", key), "__key", text_col, percent, hot)
+    best = comp.groupBy("comp").agg(F.min("__key").alias("best"))
+    gone = comp.join(best, "comp").filter(F.col("__key.row") != F.col("best.row")).select(F.col("__key.row").alias("__row"))
+    gone = materialise(gone, "gone")
+    return rows.join(F.broadcast(gone) if gone.count() <= small else gone, "__row", "left_anti").select(docs.columns)

@@ -149,6 +149,21 @@ def test_near_duplicates_null_ids(spark):
     assert Counter(tuple(r) for r in ngram_join.near_duplicates(frame(spark, pairs)).collect()) == want
 
 
+def test_one_of_each_repeated_and_null_ids(spark):
+    """One row of each component stays, whatever the ids; a repeated id goes for the near copy only."""
+    rng = random.Random(12)
+    (a, b, _), (c, d, _), (e, f, g), (h, i, _) = (near_copies(rng) for _ in range(4))
+    clean = prose(rng, 60)
+    pairs = [(3, a), (5, b), (5, clean), (8, c), (8, d), (None, e), (None, f), (None, g), (None, h), (9, i), (None, None), (None, "")]
+    docs = frame(spark, pairs)
+    kept = ngram_join.one_of_each(docs)
+    assert kept.columns == docs.columns
+    got = Counter((r["doc_id"], r["text"]) for r in kept.collect())
+    assert sum(got.values()) == 7
+    assert all(got[x] == 1 for x in [(3, a), (5, clean), (9, i), (None, None), (None, "")])
+    assert got[8, c] + got[8, d] == 1 and sum(got[None, t] for t in (e, f, g)) == 1
+
+
 def test_second_round_joins_components_across_chunks(spark):
     """Chunks of one set each: the first round finds nothing, cells of components find all."""
     rows = [(7, s) for s in range(8)] + [(8, 20), (8, 21)]
