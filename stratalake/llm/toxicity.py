@@ -1,7 +1,7 @@
 """Toxicity by nearest labelled examples.
 
-A bounded sample of labelled texts becomes TF-IDF vectors over the words that tell the classes
-apart. An inverted index holds, for every word and block of examples, the largest weight; the sums
+A bounded sample of labelled texts becomes TF-IDF vectors over all of its words; those that tell
+the classes apart weigh more. An inverted index holds, for every word and block of examples, the largest weight; the sums
 of these bound the cosine of a whole block, so blocks that cannot reach the k nearest are skipped
 and the k nearest are exact. Their votes, weighted by distance, are calibrated on the sample itself
 with each example left out.
@@ -25,6 +25,12 @@ from stratalake.session import materialise
 BLOCK = 64
 
 
+def _ranges(lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    """The numbers of all ranges lo to hi, one after the other, and the range each is of."""
+    size = hi - lo
+    return np.arange(size.sum()) + np.repeat(lo - np.cumsum(size) + size, size), np.repeat(np.arange(len(lo)), size)
+
+
 class BlockMaxIndex:
     """Sparse unit vectors in an inverted index with the maxima of each block of ``BLOCK`` vectors."""
 
@@ -36,22 +42,20 @@ class BlockMaxIndex:
         row = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
         order = np.lexsort((row, term))
         self.row, self.weight = row[order], weight[order]
-        # postings of a term and block: from where[term, block] to where[term, block + 1]
+        # a cell holds the postings of a term in a block: from cell start[i] to start[i + 1]; cells of a term lie together
         cell = term[order] * (self.blocks + 1) + self.row // BLOCK
-        self.where = np.searchsorted(cell, np.arange(n_terms * (self.blocks + 1))).reshape(n_terms, self.blocks + 1)
-        self.most = np.zeros((n_terms, self.blocks))
-        np.maximum.at(self.most, (term, row // BLOCK), weight)
-
-    def _cosines(self, blocks: np.ndarray, terms: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-        """Rows of some blocks with a cosine above 0: the postings of all terms in them, summed by row."""
-        lo = self.where[terms[:, None], blocks]
-        size = (self.where[terms[:, None], blocks + 1] - lo).ravel()
-        at = np.repeat(lo.ravel() - np.cumsum(size) + size, size) + np.arange(size.sum())
-        cell = np.tile(np.arange(len(blocks)), len(terms))
-        place = np.repeat(cell * BLOCK, size) + self.row[at] % BLOCK
-        score = np.bincount(place, np.repeat(np.repeat(weights, len(blocks)), size) * self.weight[at], len(blocks) * BLOCK)
+        first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
+        self.start = np.r_[first, len(cell)]
+        self.block = self.row[first] // BLOCK
+        self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
+        self.cells = np.searchsorted(term[order][first], np.arange(n_terms + 1))
+
+    def _cosines(self, cells: np.ndarray, weights: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+        """Rows with a cosine above 0 over the postings of some cells, each with the weight of its term."""
+        at, of = _ranges(self.start[cells], self.start[cells + 1])
+        score = np.bincount(self.row[at], weights[of] * self.weight[at], self.size)
         some = np.flatnonzero(score > 0)
-        return blocks[some // BLOCK] * BLOCK + some % BLOCK, score[some]
+        return some, score[some]
 
     def nearest(self, terms: np.ndarray, weights: np.ndarray, k: int, without: int = -1) -> tuple[np.ndarray, np.ndarray]:
         """The k rows of highest cosine above 0 and their cosines; ties go to the lower row.
@@ -62,7 +66,9 @@ class BlockMaxIndex:
         rows, cosines = np.zeros(0, np.int64), np.zeros(0)
         if not len(terms):
             return rows, cosines
-        bound = weights @ self.most[terms]
+        cells, of = _ranges(self.cells[terms], self.cells[terms + 1])
+        there, weight = self.block[cells], weights[of]
+        bound = np.bincount(there, weight * self.most[cells], self.blocks)
         order = np.argsort(-bound, kind="stable")
         order = order[bound[order] > 0]
         done = 0
@@ -76,7 +82,10 @@ class BlockMaxIndex:
                 done += len(now)
             if not len(now):
                 break
-            more, found = self._cosines(now, terms, weights)
+            chosen = np.zeros(self.blocks, bool)
+            chosen[now] = True
+            chosen = chosen[there]
+            more, found = self._cosines(cells[chosen], weight[chosen])
             if without >= 0:
                 more, found = more[more != without], found[more != without]
             rows, cosines = np.concatenate([rows, more]), np.concatenate([cosines, found])
@@ -90,7 +99,7 @@ class BlockMaxIndex:
 
 
 def vector(text: bytes, number: dict[bytes, int], idf: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
-    """Terms in ascending order and weights (1 + ln tf) * idf of unit length."""
+    """Terms in ascending order and weights (1 + ln tf) * idf of unit length; ``idf`` may hold another factor too."""
     tf = Counter(i for w in words_of(text) if (i := number.get(w)) is not None)
     terms = np.array(sorted(tf), np.int64)
     weights = np.array([(1 + math.log(tf[i])) * idf[i] for i in terms.tolist()], float)
@@ -112,9 +121,9 @@ def rising(x: np.ndarray, y: np.ndarray, w: np.ndarray) -> tuple[np.ndarray, np.
 class Model:
     """Fitted examples; small, of bounded size, sent to every worker."""
 
-    def __init__(self, terms: list[str], idf: np.ndarray, examples: list[tuple], share: dict[int, float], k: int):
+    def __init__(self, terms: list[bytes], idf: np.ndarray, examples: list[tuple], share: dict[int, float], k: int):
         """examples: (id, label, terms, weights); share: how many labelled rows an example of a label stands for."""
-        self.number = {t.encode(): i for i, t in enumerate(terms)}
+        self.number = {t: i for i, t in enumerate(terms)}
         self.idf, self.k = idf, k
         empty = [e for e in examples if not len(e[2])]
         full = [e for e in examples if len(e[2])]
@@ -127,7 +136,7 @@ class Model:
         mass = sum(share[e[1]] for e in empty)
         everything = sum(share[e[1]] for e in examples)
         self.prior = sum(share[e[1]] * e[1] for e in examples) / everything if everything else 0.0
-        # texts without any such word: as the examples without any
+        # texts without any word of the examples: as the examples without any
         self.blank = (sum(share[e[1]] * e[1] for e in empty) + self.prior) / (mass + 1)
         raw_scores = np.array([self._vote(*self.index.nearest(e[2], e[3], k, i)) for i, e in enumerate(full)])
         self.knots, self.values = rising(raw_scores, self.label, self.share) if full else (np.zeros(1), np.zeros(1))
@@ -161,13 +170,14 @@ def fit(
     id_col: str = "doc_id",
     text_col: str = "text",
     max_per_label: int = 1500,
-    max_terms: int = 1000,
     least_chi2: float = 20.0,
+    other: float = 0.005,
     k: int = 15,
 ) -> Model:
     """Examples: the ``max_per_label`` labelled rows of each label with the smallest hash of their id, rows
-    held out never. Words that at least three examples have are ranked by chi-square against the label. Document
-    frequencies are counted over all of ``docs``. Only examples and counts of ``max_terms`` words reach the driver.
+    held out never. All words of the examples are terms. Words that at least three examples have, with a
+    chi-square of ``least_chi2`` against the label, weigh in full and the others ``other`` times as much. Document
+    frequencies are counted over all of ``docs``. Only the words, counts and vectors of the examples reach the driver.
     """
     known = (
         labels.filter(F.col(label_col).isin(0, 1) & ~held_out(id_col))
@@ -183,11 +193,12 @@ def fit(
         docs.select(F.col(id_col).alias("id"), raw(text_col).alias("text")).join(sample, "id"), "examples"
     )
     sizes = {r["label"]: r["count"] for r in chosen.groupBy("label").count().collect()}
-    terms = _telling_words(chosen, sizes, max_terms, least_chi2)
-    idf = _idf(docs.select(raw(text_col).alias("text")), terms)
-    number = {t.encode(): i for i, t in enumerate(terms)}
+    terms, chi2 = _words(chosen, sizes)
+    idf = _idf(docs.select(raw(text_col).alias("text")), terms) * np.where(chi2 >= least_chi2, 1.0, other)
+    shared = docs.sparkSession.sparkContext.broadcast(({t: i for i, t in enumerate(terms)}, idf))
 
     def vectors(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        number, idf = shared.value
         for batch in slices(batches, 1):
             made = [vector(t, number, idf) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays(
@@ -203,17 +214,19 @@ def fit(
     return Model(terms, idf, examples, {v: s / least for v, s in share.items()}, k)
 
 
-def _telling_words(chosen: DataFrame, sizes: dict[int, int], max_terms: int, least_chi2: float) -> list[str]:
+def _words(chosen: DataFrame, sizes: dict[int, int]) -> tuple[list[bytes], np.ndarray]:
+    """All words of the examples in ascending order, and their chi-square; 0 for words that fewer than three have."""
+
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         seen: tuple[Counter, Counter] = (Counter(), Counter())
         for batch in slices(batches, 0):
             for text, label in zip(batch.column(0).to_pylist(), batch.column(1).to_pylist(), strict=True):
                 seen[label].update(set(words_of(text)))
-        words = [w for w in (seen[0].keys() | seen[1].keys()) if len(w) <= 64]
+        words = list(seen[0].keys() | seen[1].keys())
         for lo in range(0, len(words), 50_000):
             some = words[lo : lo + 50_000]
             yield pa.RecordBatch.from_arrays(
-                [pa.array([w.decode("utf-8", "replace") for w in some]), pa.array([seen[0][w] for w in some], pa.int64()), pa.array([seen[1][w] for w in some], pa.int64())],
+                [pa.array(some, pa.binary()), pa.array([seen[0][w] for w in some], pa.int64()), pa.array([seen[1][w] for w in some], pa.int64())],
                 ["term", "n0", "n1"],
             )
 
@@ -224,28 +237,26 @@ def _telling_words(chosen: DataFrame, sizes: dict[int, int], max_terms: int, lea
     chi2 = top / ((a + b) * (n - a - b) * n1 * n0 + 1e-9)
     rows = (
         chosen.select("text", "label")
-        .mapInArrow(count, "term string, n0 long, n1 long")
+        .mapInArrow(count, "term binary, n0 long, n1 long")
         .groupBy("term")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
-        .filter("n0 + n1 >= 3")
-        .withColumn("chi2", chi2)
-        .filter(F.col("chi2") >= least_chi2)
-        .orderBy(F.desc("chi2"), "term")
-        .limit(max_terms)
+        .select("term", F.when(a + b >= 3, chi2).otherwise(0.0).alias("chi2"))
         .collect()
     )
-    return sorted(r["term"] for r in rows)
+    rows = sorted((bytes(r["term"]), r["chi2"]) for r in rows)
+    return [t for t, _ in rows], np.array([x for _, x in rows], float)
 
 
-def _idf(texts: DataFrame, terms: list[str]) -> np.ndarray:
+def _idf(texts: DataFrame, terms: list[bytes]) -> np.ndarray:
     """ln((1 + texts) / (1 + texts with the word)) + 1, counted over all texts."""
-    number = {t.encode(): i for i, t in enumerate(terms)}
+    shared = texts.sparkSession.sparkContext.broadcast({t: i for i, t in enumerate(terms)})
 
     def count(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        have, seen, n = number.keys(), Counter(), 0
+        number, seen, n = shared.value, Counter(), 0
+        have = number.keys()
         for batch in slices(batches, 0):
             for text in batch.column(0).to_pylist():
-                seen.update(have & set(words_of(text)))
+                seen.update(w for w in set(words_of(text)) if w in have)
                 n += 1
         yield pa.RecordBatch.from_arrays(
             [pa.array([-1, *(number[w] for w in seen)], pa.int64()), pa.array([n, *seen.values()], pa.int64())], ["term", "n"]
@@ -259,7 +270,7 @@ def _idf(texts: DataFrame, terms: list[str]) -> np.ndarray:
 def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
     """One row per row of ``docs``: id, score, evidence.
 
-    Null and empty texts, and texts without any telling word, get the share of such examples that are
+    Null and empty texts, and texts without any word of the examples, get the share of such examples that are
     labelled 1 and no evidence; without labels every score is 0. Repeated rows score alike.
     """
     shared = docs.sparkSession.sparkContext.broadcast(model)

@@ -6,6 +6,7 @@ import base64
 import hashlib
 import random
 import re
+import zlib
 from collections import Counter
 
 import numpy as np
@@ -300,6 +301,17 @@ def test_toxicity_learns_and_keeps_every_row(spark):
     assert Counter(r["doc_id"] for r in kept.collect()) == Counter(i for i, _ in docs if i % 5)
 
 
+def test_toxicity_searches_texts_without_telling_words(spark):
+    """Words of one example tell nothing by themselves, but find the example."""
+    docs = [(i, f"solo{i} alone{i} " + ("poison " if i % 2 else "fine ") * 3) for i in range(200)]
+    labels = spark.createDataFrame([(i, i % 2) for i, _ in docs], "doc_id long, toxic int")
+    asked = [(1000 + i, f"solo{i} alone{i}") for i in (4, 5, 12, 13, 30, 31) if zlib.crc32(str(i).encode()) % 4 != 2]
+    model = toxicity.fit(frame(spark, docs), labels)
+    got = toxicity.score(frame(spark, [*asked, (2000, "unseen" + "x" * 100)]), model).collect()
+    near = {r["doc_id"]: [e["id"] for e in r["evidence"]] for r in got}
+    assert near == {i: [str(i - 1000)] for i, _ in asked} | {2000: []} and len(asked) > 2
+
+
 def test_block_max_finds_the_exact_nearest():
     rng = np.random.default_rng(0)
     vectors = []
