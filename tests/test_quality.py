@@ -117,6 +117,24 @@ def test_audit_of_all_feeds(spark, rows):
     assert differences == {"corporativo.departamentos": ["missing nome string", "departamento_id: int instead of string"]}
 
 
+def test_contract_of_every_file(spark, rows):
+    """One bad delivery among good ones, without rows, and one that is no Parquet."""
+    root, path = scratch_path(spark, "bronze"), "corporativo/departamentos"
+    ddl = "departamento_id {}, nome string, created_at timestamp_ntz, tenant_id string, year int, month int, day int"
+    good = rows(ddl.format("string"), *[("1", "x", None, t, 2025, 4, d) for t in ("unit_01", "unit_02") for d in (1, 2, 3)])
+    good.write.partitionBy("tenant_id", "year", "month", "day").parquet(f"{root}/{path}")
+    bad = rows(ddl.format("int"), (1, "x", None, "unit_02", 2025, 4, 2)).drop("tenant_id", "year", "month", "day")
+    bad.limit(0).write.mode("append").parquet(f"{root}/{path}/tenant_id=unit_02/year=2025/month=4/day=2")
+    with open(f"{root}/{path}/tenant_id=unit_01/year=2025/month=4/day=3/torn.parquet", "wb") as f:
+        f.write(b"PAR1")
+    got = q.contract_differences(spark, root, "corporativo", "departamentos").collect()
+    assert sorted((r["tenant_id"], r["day"], r["difference"].split(": ")[0]) for r in got) == [
+        ("unit_01", 3, "unreadable"), ("unit_02", 2, "departamento_id"),
+    ]
+    _, found = q.audit_deliveries(spark, root, ["unit_01", "unit_02"], dt.date(2025, 4, 1), dt.date(2025, 4, 2))
+    assert found == {"corporativo.departamentos": ["departamento_id: int instead of string"]}
+
+
 def test_source_checks(rows):
     feed = rows("tenant_id string, cliente_id string", ("u", None), (None, "1"), ("u", "2"))
     [(name, failing)] = checks.failing_rows("clientes", {"clientes": feed})

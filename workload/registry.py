@@ -22,7 +22,7 @@ from stratalake.plans.build import build_layers, check_results
 from stratalake.plans.catalogue import LAYER_OF, Models
 from stratalake.session import scratch_path
 from stratalake.sources import bronze, conform
-from stratalake.sources.contract import TENANTS
+from stratalake.sources.contract import TENANTS, data_schema
 from stratalake.sources.tables import Lake, compact
 from stratalake.streaming.ingest import stream_feed, upsert_stream
 from workload import feeds as feed_columns
@@ -908,6 +908,35 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+@register(
+    "dq10_contract_differences",
+    """select 'unit_01' tenant_id, cast(2050 as int) as year, cast(1 as int) as month, cast(1 as int) as day, difference
+    from (values ('missing vlr_total decimal(18,2)'), ('unexpected surprise string'),
+                 ('venda_id: int instead of string')) t(difference)""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """One bad delivery among the good ones."""
+    root = deliver(spark, sf_dir)
+    odd = spark.sql(
+        """select 1 venda_id, cast(null as timestamp_ntz) dt_venda, 'c' cliente_id, 'v' vendedor_id, 's' status,
+        cast(null as timestamp_ntz) created_at, cast(null as timestamp_ntz) updated_at, 'x' surprise,
+        'unit_01' tenant_id, 2050 year, 1 month, 1 day"""
+    )
+    odd.write.mode("append").partitionBy("tenant_id", "year", "month", "day").parquet(bronze.table_path(root, "comercial", "vendas"))
+    return quality.contract_differences(spark, root, "comercial", "vendas").drop("path")
+
+
+register(
+    "dq13_column_differences",
+    """select * from (values ('status', 'missing'), ('surprise', 'unexpected')) t(column_name, difference)""",
+)(
+    lambda spark, sf_dir: quality.column_differences(
+        Feeds(spark, sf_dir)["vendas"].drop("status").withColumn("surprise", F.lit("x")),
+        ["tenant_id", *data_schema("comercial", "vendas").names],
+    )
+)
+
+
 register(
     "dq11_freshness",
     """select make_date(max(year(created_at)), 1, 1) newest,
