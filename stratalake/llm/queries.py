@@ -7,7 +7,21 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, decontaminate, exact_dedup, langid, ngram_join, pii, quality, toxicity, url_filters, warc
+from stratalake.llm import (
+    bpe,
+    decontaminate,
+    divergence,
+    exact_dedup,
+    interaction,
+    langid,
+    ngram_join,
+    pii,
+    quality,
+    token_counts,
+    toxicity,
+    url_filters,
+    warc,
+)
 from stratalake.llm.common import held_out, table
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {}
@@ -208,6 +222,98 @@ def op10_exact_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_dedup.exact_groups(table(spark, sf_dir, "documents")).drop("n_chars")
 
 
+_TERM = "[^\\x00-\\x40\\x5B-\\x60\\x7B-\\x7F]+"
+
+
+def _sql_share(n: str, total: str) -> str:
+    return f"(1 + (1000000000::hugeint * ({n} + 5)) // ({total} + 5 * v))"
+
+
+@query(f"""
+with d as (
+  select row_number() over () as r, coalesce(lang, '') as lang, coalesce(source, '') as source,
+         translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz') as body
+  from documents),
+t as (select r, lang, source, unnest(regexp_extract_all(body, '{_TERM}')) as term from d),
+vocab as (select lang, term, count(*) as n_lang from t group by lang, term having count(distinct r) >= 30),
+langs as (select lang, count(*) as v, sum(n_lang) as total_lang from vocab group by lang),
+occ as (select t.lang, source, t.term, count(*) as n from t join vocab w on t.lang = w.lang and t.term = w.term group by all),
+totals as (select lang, source, sum(n) as total from occ group by all),
+groups as (
+  select g.lang, g.source, coalesce(total, 0) as total, coalesce(v, 0) as v, coalesce(total_lang, 0) as total_lang
+  from (select distinct lang, source from d) g
+  left join totals s on g.lang = s.lang and g.source = s.source left join langs l on g.lang = l.lang),
+dense as (
+  select g.lang, g.source, w.term, coalesce(o.n, 0) as n, {_sql_share("coalesce(o.n, 0)", "total")} as p,
+         {_sql_share("n_lang", "total_lang")} as q
+  from groups g join vocab w on g.lang = w.lang
+  left join occ o on g.lang = o.lang and g.source = o.source and w.term = o.term),
+priced as (
+  select a.lang, a.source, b.source as item, sum(abs(a.p - b.p)) as value
+  from dense a join dense b on a.lang = b.lang and a.term = b.term and a.source <> b.source group by all),
+both_parts as (
+  select a.lang, a.source, 'pair' as part, b.source as item, coalesce(value, 0)::bigint as value
+  from groups a join groups b on a.lang = b.lang and a.source <> b.source
+  left join priced x on x.lang = a.lang and x.source = a.source and x.item = b.source
+  union all
+  select lang, source, 'term', term, (p - q)::bigint from dense where n > 0 and p > q)
+select lang, source, part, item, value, rank from (
+  select *, (row_number() over (partition by lang, source, part order by value desc, item))::int as rank from both_parts)
+where part = 'pair' or rank <= 50
+""")
+def op11_source_divergence(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return divergence.divergence(table(spark, sf_dir, "documents"))
+
+
+_ORDERS = ", ".join(f"('{o}')" for o in interaction.ORDERS)
+
+
+@query(f"""
+with w as (
+  select doc_id, coalesce(lang, '') as part, coalesce(text, '') as t,
+         regexp_extract_all(coalesce(text, ''), '[^\\x20\\x09-\\x0D]+') as words
+  from documents),
+flags as (
+  select part, doc_id,
+         (case when len(words) < 100 then 1 else 0 end)
+         + (case when 100 * len(list_distinct(words)) < 80 * len(words) then 2 else 0 end)
+         + (case when 100 * length(regexp_replace(t, '[^A-Z]+', '', 'g')) > 10 * length(t) then 4 else 0 end)
+         + (case when regexp_matches(t, '[#$%&*|]') then 8 else 0 end)
+         + (case when doc_id > min(doc_id) over (partition by t) then 16 else 0 end) as mask
+  from w),
+marks as (select doc_id, max((quality = 1)::int) as good, max((toxic = 1)::int) as toxic from labels group by doc_id),
+cells as (
+  select part, mask, count(*) as n, sum(coalesce(good, 0)) as good, sum(coalesce(toxic, 0)) as toxic
+  from flags f left join marks m on f.doc_id = m.doc_id group by all),
+orders(filter_order) as (values {_ORDERS}),
+steps as (
+  select filter_order, step, (1 << (strpos('ABCDE', substr(filter_order, step, 1)) - 1))::int as bit,
+         (select coalesce(sum(1 << (strpos('ABCDE', substr(filter_order, j, 1)) - 1)), 0) from range(1, 5) x(j) where j < step)::int as before
+  from (select filter_order, unnest([1, 2, 3, 4, 5]) as step from orders)),
+figures as (
+  select part, filter_order, step::int as step, bit,
+         sum(case when mask & bit = 0 and mask & before = 0 then n else 0 end)::bigint as kept,
+         sum(case when mask & bit <> 0 and mask & before = 0 then n else 0 end)::bigint as removed,
+         sum(case when mask & bit <> 0 and mask & before <> 0 then n else 0 end)::bigint as redundant,
+         sum(case when mask = bit then n else 0 end)::bigint as unique_fails,
+         sum(case when mask & bit <> 0 and mask & before = 0 then good else 0 end)::bigint as good_lost,
+         sum(case when mask & bit <> 0 and mask & before = 0 then toxic else 0 end)::bigint as toxic_lost
+  from cells, steps group by all)
+select part, filter_order, step, kept, removed, redundant, unique_fails, good_lost, toxic_lost,
+       (sum(removed) over (partition by part, bit))::bigint as shapley
+from figures
+""")
+def op12_filter_interaction(spark: SparkSession, sf_dir: str) -> DataFrame:
+    return interaction.audit(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels"))
+
+
+@query()
+def op13_token_counts(spark: SparkSession, sf_dir: str) -> DataFrame:
+    import public_tokenizers as public
+
+    return token_counts.token_counts(table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.json"))
+
+
 @query()
 def pipeline(spark: SparkSession, sf_dir: str) -> DataFrame:
     import corpus_pipeline
