@@ -11,6 +11,7 @@ from __future__ import annotations
 
 import json
 import os
+import re
 from collections.abc import Iterator
 
 import numpy as np
@@ -23,19 +24,46 @@ from stratalake.llm.common import raw, schema_of, slices
 from stratalake.session import materialise
 
 
-class Counter:
-    """The library's tokenizer without truncation, padding and begin or end tokens."""
+# characters whose class every version of Unicode agrees on; words of such texts are found without the library
+_LETTERS, _BLANKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", " \\t\\n\\r"
+_SIGNS = "!-/:-@\\[-`{-~\u00a1\u00a7\u00ab\u00bb\u00bf\u00d7\u00f7\u2013\u2014\u2018-\u201f\u2026\u20ac"
+_UNSURE = re.compile(f"[^{_LETTERS}{_BLANKS}0-9{_SIGNS}]").search
+_WORDS = re.compile(
+    f" ?[{_LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_SIGNS}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+).findall
 
-    def __init__(self, path: str):
+
+class Counter(dict):
+    """The library's tokenizer without truncation, padding and begin or end tokens.
+
+    Remembers how many tokens a word has, for up to ``max_words``; a word is encoded without its neighbours.
+    """
+
+    def __init__(self, path: str, max_words: int = 300_000):
+        super().__init__()
+        self.max_words = max_words
         os.environ["TOKENIZERS_PARALLELISM"] = "false"  # Spark runs a task on each core
         from tokenizers import Tokenizer
 
         self.tokenizer = Tokenizer.from_file(path)
         self.tokenizer.no_truncation()
         self.tokenizer.no_padding()
-
-    def counts(self, texts: list[str]) -> list[int]:
-        return [len(e.ids) for e in self.tokenizer.encode_batch_fast(texts, add_special_tokens=False)]
+        end_margin(path)  # words can be told apart
+        special = [re.escape(t.content) for t in self.tokenizer.get_added_tokens_decoder().values()]
+        self.special = re.compile("|".join(special)).search if special else lambda text: None
+
+    def __missing__(self, word: str) -> int:
+        n = len(self.tokenizer.encode(word, add_special_tokens=False).ids)
+        if len(word) <= 64:
+            if len(self) >= self.max_words:
+                self.clear()
+            self[word] = n
+        return n
+
+    def count(self, text: str) -> int:
+        if self.special(text) or _UNSURE(text):
+            return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
+        return sum(map(self.__getitem__, _WORDS(text)))
 
     def words(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
         """Number of tokens; the places where words begin and the tokens before each."""
@@ -148,14 +176,12 @@ def token_counts(
         counter = Counter(path)
         for batch in slices(batches, 2, 1 << 20):
             texts = [t.decode("utf-8", "replace") for t in batch.column(2).to_pylist()]
-            short = [t for t in texts if len(t) <= chunk]
-            n = iter(counter.counts(short))
             yield pa.RecordBatch.from_arrays(
                 [
                     batch.column(0),
                     batch.column(1),
                     pc.binary_length(batch.column(2)).cast(pa.int64()),
-                    pa.array([next(n) if len(t) <= chunk else None for t in texts], pa.int64()),
+                    pa.array([counter.count(t) if len(t) <= chunk else None for t in texts], pa.int64()),
                     pa.array([None if len(t) <= chunk else t for t in texts], pa.string()),
                 ],
                 ["row", id_col, "n_bytes", "n_tokens", "text"],
@@ -170,7 +196,9 @@ def token_counts(
     huge = once.filter("text is not null").select("row", "text")
     left = huge.limit(1).count()
     while left:
-        done = materialise(_spliced(_chunked(huge, path, chunk, overlap, margin)), "token-splices")
+        # written, because a chunk is read as the left and as the right one of two
+        pieces = materialise(_chunked(huge, path, chunk, overlap, margin), "token-chunks")
+        done = materialise(_spliced(pieces), "token-splices")
         ready = once.drop("n_tokens", "text").join(done.filter("n_tokens is not null"), "row")
         counted = counted.unionByName(result(ready))
         still = done.filter("n_tokens is null").select("row")
