@@ -9,6 +9,7 @@ products, block by block, and the labels of the nearest are weighted by similari
 from __future__ import annotations
 
 import math
+import re
 from collections import Counter
 from collections.abc import Iterator
 
@@ -23,63 +24,88 @@ from stratalake.llm.toxicity import rising
 from stratalake.session import materialise
 
 WIDTH = 1 << 12  # hashed features
+LONG = 24
+_RUNS = re.compile(rb"(.)\1+", re.DOTALL).sub
 _CLASS = bytes(
     0x61 if 0x61 <= b <= 0x7A or b >= 0x80 else 0x41 if 0x41 <= b <= 0x5A else 0x30 if 0x30 <= b <= 0x39 else b for b in range(256)
 )
 
 
 class Features:
-    """Texts to counts of hashed features; remembers the features of words, up to ``max_words``."""
+    """Texts to counts of hashed features; remembers the features of words, up to ``max_words``.
 
-    def __init__(self, max_words: int = 300_000):
-        self.known: dict[bytes, tuple[int, ...]] = {}
+    A word gives itself in lower case, its shape (runs of a class as one), its last three bytes if it ends in a
+    sign, and its length. Words beyond ``LONG`` bytes also give all their byte trigrams, so that no part of a
+    text without blanks stays unread.
+    """
+
+    def __init__(self, max_words: int = 400_000):
+        self.known: dict[bytes, int] = {}
+        self.slots = np.zeros((max_words, 4), np.int16)  # WIDTH: no feature
         self.max_words = max_words
+        self.others: dict[tuple, list[int]] = {}
 
     @staticmethod
-    def _slot(kind: str, value: bytes | str) -> int:
-        value = value if isinstance(value, bytes) else value.encode()
-        return xxhash.xxh64_intdigest(kind.encode() + value) % WIDTH
-
-    def _word(self, w: bytes) -> tuple[int, ...]:
-        shape = bytes(c for i, c in enumerate(w.translate(_CLASS)) if i == 0 or c != w.translate(_CLASS)[i - 1])[:12]
-        ends = w[-3:] if w and not w[-1:].isalnum() and w[-1] < 0x80 else b""
-        return tuple(
-            {
-                self._slot("w", w.lower()[:24]),
-                self._slot("s", shape),
-                self._slot("e", ends),
-                self._slot("n", str(min(len(w), 24) // 3)),
-            }
-        )
+    def _slot(kind: bytes, value: bytes) -> int:
+        return xxhash.xxh64_intdigest(kind + value) % WIDTH
+
+    def _word(self, w: bytes) -> tuple[int, int, int, int]:
+        """The word's slots; one that repeats another is left out."""
+        classes = w.translate(_CLASS)
+        last = w[-1]
+        rest = (_RUNS(rb"\1", classes), b"" if last >= 0x80 or classes[-1] in b"aA0" else w[-3:], min(len(w), LONG) // 3)
+        others = self.others.get(rest)
+        if others is None:
+            if len(self.others) >= self.max_words:
+                self.others.clear()
+            shape, ends, size = rest
+            others = self.others[rest] = [self._slot(b"s", shape), self._slot(b"e", ends), self._slot(b"n", b"%d" % size)]
+        slots = [xxhash.xxh64_intdigest(b"w" + w.lower()) % WIDTH, *others]
+        return tuple(slots) if len(set(slots)) == 4 else (*set(slots), WIDTH, WIDTH, WIDTH)[:4]
+
+    def _rows(self, words: list[bytes]) -> np.ndarray:
+        """The features of some words, four each; at most ``max_words`` at a time."""
+        known = self.known
+        new = [w for w in words if w not in known]
+        if len(known) + len(new) > self.max_words:
+            known.clear()
+            new = words
+        if new:
+            start = len(known)
+            self.slots[start : start + len(new)] = [self._word(w) for w in new]
+            known.update(zip(new, range(start, start + len(new)), strict=True))
+        return self.slots[np.fromiter(map(known.__getitem__, words), np.int64, len(words))]
 
     def count(self, text: bytes) -> tuple[np.ndarray, np.ndarray]:
         """(slots in ascending order, counts)."""
-        if len(self.known) > self.max_words:
-            self.known.clear()
         words = Counter(text.split())
-        got: Counter = Counter()
-        for w, n in words.items():
-            slots = self.known.get(w)
-            if slots is None:
-                slots = self.known[w] = self._word(w)
-            for s in slots:
-                got[s] += n
-        total = sum(words.values())
+        distinct = list(words)
+        times = np.fromiter(words.values(), float, len(words))
+        got = np.zeros(WIDTH + 1)
+        for lo in range(0, len(distinct), self.max_words):
+            rows = self._rows(distinct[lo : lo + self.max_words])
+            got += np.bincount(rows.ravel(), np.repeat(times[lo : lo + self.max_words], 4), WIDTH + 1)
+        for w in distinct:
+            if len(w) > LONG:
+                b = np.frombuffer(w.lower(), np.uint8).astype(np.uint32)
+                mixed = ((b[:-2] << np.uint32(16) | b[1:-1] << np.uint32(8) | b[2:]) + np.uint32(1)) * np.uint32(0x9E3779B1)
+                got += np.bincount(mixed >> np.uint32(20), minlength=WIDTH + 1) * words[w]  # 12 bits: WIDTH
+        total = int(times.sum())
         lines = text.split(b"\n")
         extra = [
-            ("length", int(math.log2(len(text) + 1) * 2)),
-            ("words", int(math.log2(total + 1) * 2)),
-            ("distinct", int(10 * len(words) / total) if total else 0),
-            ("lines", int(math.log2(len(lines)) * 2)),
-            ("same", int(10 * len(set(lines)) / len(lines))),
-            ("line", int(math.log2(len(text) / len(lines) + 1) * 2)),
-            ("mean", int(2 * len(text) / total) if total < 1 or len(text) / total < 20 else 40) if total else ("mean", -1),
-            ("top", int(10 * max(words.values()) / total) if total else 0),
+            (b"length", int(math.log2(len(text) + 1) * 2)),
+            (b"words", int(math.log2(total + 1) * 2)),
+            (b"distinct", int(10 * len(words) / total) if total else 0),
+            (b"lines", int(math.log2(len(lines)) * 2)),
+            (b"same", int(10 * len(set(lines)) / len(lines))),
+            (b"line", int(math.log2(len(text) / len(lines) + 1) * 2)),
+            (b"mean", int(2 * len(text) / total) if total < 1 or len(text) / total < 20 else 40) if total else (b"mean", -1),
+            (b"top", int(10 * times.max() / total) if total else 0),
         ]
         for kind, value in extra:
-            got[self._slot(kind, str(value))] += max(1, int(math.sqrt(total)))
-        slots = np.array(sorted(got), np.int64)
-        return slots, np.array([got[s] for s in slots.tolist()], float)
+            got[self._slot(kind, b"%d" % value)] += max(1, int(math.sqrt(total)))
+        slots = np.flatnonzero(got[:WIDTH])
+        return slots, got[slots]
 
 
 class Model:

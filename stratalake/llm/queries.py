@@ -133,9 +133,8 @@ def op3_language(spark: SparkSession, sf_dir: str) -> DataFrame:
 def op4_byte_bpe(spark: SparkSession, sf_dir: str) -> DataFrame:
     import public_tokenizers as public
 
-    ranks = public.path("byte_bpe_50k.tiktoken")
-    ids = bpe.encode(table(spark, sf_dir, "documents"), ranks, public.PATTERN)
-    return bpe.decode(ids, ranks).select(
+    made = bpe.round_trip(table(spark, sf_dir, "documents"), public.path("byte_bpe_50k.tiktoken"), public.PATTERN)
+    return made.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         F.sha2(F.concat_ws(" ", F.col("ids").cast("array<string>")), 256).alias("ids_sha256"),

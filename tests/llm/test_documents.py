@@ -264,6 +264,43 @@ def test_bpe_like_the_library(spark, rows_of):
     for i, t in pairs:
         assert back[i]["ids"] == library.encode_ordinary(t or "")
         assert back[i]["text"] == (t or "")
+    again = {r["doc_id"]: r for r in bpe.round_trip(frame(spark, pairs), path, public.PATTERN).collect()}
+    assert again == back
+
+
+def test_quality_reads_whole_words():
+    features = quality.Features(max_words=50)
+    for prefix in (b"x" * 24, b"Aa1" * 9, b"x" * 4000):
+        (a, n), (b, m) = features.count(prefix + b"good"), features.count(prefix + b"evil")
+        assert a.tolist() != b.tolist() or n.tolist() != m.tolist()
+    middle = features.count(b"y" * 500 + b"q!" + b"y" * 500), features.count(b"y" * 500 + b"!q" + b"y" * 500)
+    assert middle[0][0].tolist() != middle[1][0].tolist()
+    # the same with a memory that is always full
+    rng = random.Random(5)
+    text = prose(rng, 700).encode() + b" tail"
+    small, large = quality.Features(max_words=7).count(text), quality.Features().count(text)
+    assert all((x == y).all() for x, y in zip(small, large, strict=True))
+
+
+def brute_votes(model, x, leave=None):
+    out = []
+    for i, v in enumerate(x):
+        near = sorted(((-float(v @ w), j) for j, w in enumerate(model.vectors) if leave is None or j != leave[i]))[: model.k]
+        w = [max(-c, 0) ** model.power * model.share[j] for c, j in near]
+        out.append((sum(a * model.label[j] for a, (_, j) in zip(w, near, strict=True)) + model.prior * 1e-3) / (sum(w) + 1e-3))
+    return np.array(out)
+
+
+def test_quality_votes_against_brute_force():
+    rng = np.random.default_rng(8)
+    vectors = rng.standard_normal((700, 8))
+    vectors /= np.sqrt((vectors**2).sum(1, keepdims=True))
+    label = (rng.random(700) > 0.6).astype(float)
+    model = quality.Model(np.ones(4096), np.ones((4096, 8)), vectors, label, np.where(label, 2.0, 1.0), 15, 4.0)
+    x = rng.standard_normal((1300, 8))
+    x /= np.sqrt((x**2).sum(1, keepdims=True))
+    assert np.allclose(model._votes(x), brute_votes(model, x))
+    assert np.allclose(model._votes(vectors, np.arange(700)), brute_votes(model, vectors, np.arange(700)))
 
 
 def test_transducer_forgets_and_goes_on():
