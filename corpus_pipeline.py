@@ -39,8 +39,7 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of the public byte-level vocabulary."""
     import public_tokenizers as public
 
-    ranks = public.path("byte_bpe_50k.tiktoken")
-    return bpe.decode(bpe.encode(docs, ranks, public.PATTERN), ranks).select(
+    return bpe.round_trip(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN).select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
