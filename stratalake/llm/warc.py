@@ -1,28 +1,48 @@
 """Derivatives of web-archive responses: linked metadata and plain-text conversion records.
 
-Each response yields a metadata record (JSON of its headers, digests, title and links) and a conversion
+Each response yields a metadata record (JSON of all its header lines, digests, title and links) and a conversion
 record (its text). Both refer to the response, repeat its target, date and headers, and carry digests
 of source and own block. Record ids are derived from the source's, so a second run gives the same.
 """
 
 from __future__ import annotations
 
+from html.entities import name2codepoint
+
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
 CRLF = "\r\n"
 BLANK = "[\\t\\n\\x0B\\f\\r ]"
 
-# fixed values: elements whose content is no text, elements that break a line, and named references
+# fixed values: elements whose content is no text, and elements that break a line
 HIDDEN = ("script", "style", "head", "noscript", "template", "svg")
 BREAKS = "address|article|aside|blockquote|br|dd|div|dl|dt|figure|footer|form|h1|h2|h3|h4|h5|h6|header|hr|li|main|nav|ol|p|pre|section|table|td|th|tr|ul"
-NAMED = (("nbsp", " "), ("lt", "<"), ("gt", ">"), ("quot", '"'), ("apos", "'"), ("#39", "'"), ("copy", "©"), ("middot", "·"), ("amp", "&"))
+# the named references of HTML 4 and the apostrophe; a non-breaking blank counts as a blank
+NAMED = {**{n: chr(c) for n, c in name2codepoint.items()}, "apos": "'", "nbsp": " "}
 
 
 def unescape(c: Column) -> Column:
-    for name, value in NAMED:  # the ampersand last, so that nothing is decoded twice
-        c = F.replace(c, F.lit(f"&{name};"), F.lit(value))
-    return c
+    """Named and numeric references decoded once; what is no reference stays as it is."""
+    names = F.create_map(*(F.lit(x) for pair in NAMED.items() for x in pair))
+
+    def decoded(piece: Column) -> Column:
+        name = F.substring_index(piece, ";", 1)
+        code = F.when(name.rlike("^#[0-9]{1,7}$"), F.substr(name, F.lit(2)).cast("int")).when(
+            name.rlike("^#[xX][0-9A-Fa-f]{1,6}$"), F.conv(F.substr(name, F.lit(3)), 16, 10).cast("int")
+        )
+        valid = ((code > 0) & (code < 0xD800)) | ((code > 0xDFFF) & (code <= 0x10FFFF))
+        char = F.when(
+            F.contains(piece, F.lit(";")) & (F.length(name) <= 10),
+            F.when(name.startswith("#"), F.when(valid, F.decode(F.unhex(F.lpad(F.hex(code), 8, "0")), "UTF-32"))).otherwise(
+                F.try_element_at(names, name)
+            ),
+        )
+        return F.when(char.isNotNull(), F.concat(char, F.substr(piece, F.length(name) + 2))).otherwise(F.concat(F.lit("&"), piece))
+
+    parts = F.split(c, "&")
+    first, rest = F.element_at(parts, 1), F.slice(parts, 2, F.size(parts))
+    return F.when(F.contains(c, F.lit("&")), F.concat(first, F.array_join(F.transform(rest, decoded), ""))).otherwise(c)
 
 
 def visible_text(html: Column) -> Column:
@@ -43,8 +63,12 @@ def title_of(html: Column) -> Column:
 
 
 def links_of(html: Column) -> Column:
-    """Targets of anchors in order, as written."""
-    return F.regexp_extract_all(html, F.lit(f'(?i)<a{BLANK}(?:[^>]*{BLANK})?href="([^"]*)"'), F.lit(1))
+    """Targets of anchors in order, as written: in double, single or no quotes."""
+    found = F.regexp_extract_all(
+        html, F.lit(f"(?i)<a{BLANK}(?:[^>]*{BLANK})?href{BLANK}*={BLANK}*(\"[^\"]*\"|'[^']*'|[^\"'>\\t\\n\\x0B\\f\\r ][^>\\t\\n\\x0B\\f\\r ]*)"), F.lit(1)
+    )
+    quoted = lambda x: F.substr(x, F.lit(1), F.lit(1)).isin('"', "'")
+    return F.transform(found, lambda x: F.when(quoted(x), F.substr(x, F.lit(2), F.length(x) - 2)).otherwise(x))
 
 
 def record_id(*parts: Column) -> Column:
@@ -86,36 +110,38 @@ def derivatives(source: DataFrame, id_col: str = "page_id") -> DataFrame:
     ``header`` and ``block`` are a whole WARC record (``record`` joins them). A page without text gets an
     empty conversion, repeated responses get the same records; other columns are not read.
     """
-    payload = F.col("payload")
-    made = source.select(
-        F.col(id_col),
-        "record_id", "target_uri", "date", "http_headers",
-        F.explode(F.array(F.lit("metadata"), F.lit("conversion"))).alias("record_type"),
-        "payload",
+    source = source.select(
+        F.col(id_col), "record_id", "target_uri", "date", "http_headers", "payload", digest(F.col("payload")).alias("payload_digest")
     )
-    status_line = F.regexp_extract("http_headers", "^([^\r\n]*)", 1)
+    payload, lines = F.col("payload"), F.split("http_headers", CRLF)
     content_type = F.regexp_extract("http_headers", "(?i)\r\nContent-Type: ([^\r\n]*)", 1)
     metadata = F.to_json(
         F.struct(
             F.col("target_uri").alias("target"),
-            status_line.alias("status"),
+            F.element_at(lines, 1).alias("status"),
             content_type.alias("type"),
+            F.filter(F.slice(lines, 2, F.size(lines)), lambda x: x != "").alias("headers"),  # noqa: PLC1901
             F.octet_length(payload).cast("long").alias("length"),
-            digest(payload).alias("payload_digest"),
+            F.col("payload_digest"),
             digest(F.concat(F.col("http_headers"), F.lit(CRLF), payload)).alias("block_digest"),
             title_of(payload).alias("title"),
             links_of(payload).alias("links"),
         )
     )
-    is_text = F.col("record_type") == "conversion"
-    body = made.withColumn("block", F.when(is_text, visible_text(payload)).otherwise(metadata)).select(
+    of = lambda kind, block: F.struct(F.lit(kind).alias("record_type"), block.alias("block"))
+    body = source.select(
+        F.col(id_col),
+        "record_id", "target_uri", "date", "payload_digest",
+        content_type.alias("source_type"),
+        F.explode(F.array(of("metadata", metadata), of("conversion", visible_text(payload)))).alias("made"),
+    ).select(
         id_col,
-        "record_type",
-        record_id(F.col("record_type"), F.col("record_id")).alias("own_id"),
-        "record_id", "target_uri", "date", "http_headers",
-        digest(payload).alias("payload_digest"),
-        "block",
+        "made.record_type",
+        record_id(F.col("made.record_type"), F.col("record_id")).alias("own_id"),
+        "record_id", "target_uri", "date", "payload_digest", "source_type",
+        "made.block",
     )
+    is_text = F.col("record_type") == "conversion"
     line = lambda name, value: F.concat(F.lit(f"{name}: "), value, F.lit(CRLF))
     size = F.octet_length("block")
     header = F.concat(
@@ -128,7 +154,7 @@ def derivatives(source: DataFrame, id_col: str = "page_id") -> DataFrame:
         line("WARC-Target-URI", F.col("target_uri")),
         line("WARC-Date", F.col("date")),
         line("WARC-Source-Payload-Digest", F.col("payload_digest")),
-        line("WARC-Source-Content-Type", F.regexp_extract("http_headers", "(?i)\r\nContent-Type: ([^\r\n]*)", 1)),
+        line("WARC-Source-Content-Type", F.col("source_type")),
         line("WARC-Block-Digest", digest(F.col("block"))),
         line("Content-Type", F.when(is_text, F.lit("text/plain; charset=utf-8")).otherwise(F.lit("application/json"))),
         line("Content-Length", size.cast("string")),

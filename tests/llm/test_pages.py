@@ -30,6 +30,22 @@ HTML = (
 )
 
 
+def test_references_links_and_source_headers(spark):
+    texts = ["a &amp;lt; &#65;&#x42; &Eacute;&nbsp;x", "&#0; &#55296; &#1114112; &nope; &amp", "& ; &; &#;", "", "&#" + "9" * 40 + ";"]
+    want = ["a &lt; AB É x", "&#0; &#55296; &#1114112; &nope; &amp", "& ; &; &#;", "", "&#" + "9" * 40 + ";"]
+    df = spark.createDataFrame([(i, t) for i, t in enumerate(texts)], "i int, t string")
+    assert [r[0] for r in df.orderBy("i").select(warc.unescape(F.col("t"))).collect()] == want
+    html = """<a href='/one'>1</a><A class=x HREF = two?x=1>2</A><a href="/three">3</a><a name=x>no</a>"""
+    one = [(1, "http://a.example/", html)]
+    source = warc.responses(frame(spark, one)).withColumn("http_headers", F.lit("HTTP/1.1 404 Not Found\r\nServer: s\r\nX-Own: a: b\r\ncontent-type: text/html\r\n"))
+    made = {r["record_type"]: r for r in warc.derivatives(source).collect()}
+    meta = json.loads(made["metadata"]["block"])
+    assert meta["links"] == ["/one", "two?x=1", "/three"]
+    assert meta["status"] == "HTTP/1.1 404 Not Found"
+    assert meta["headers"] == ["Server: s", "X-Own: a: b", "content-type: text/html"]
+    assert "WARC-Source-Content-Type: text/html\r\n" in made["conversion"]["header"]
+
+
 def test_derivatives(spark):
     rows = [(1, "http://a.example/x", HTML), (1, "http://a.example/x", HTML), (2, None, None), (3, "", ""), (None, "u", "é" * 30_000)]
     made = warc.derivatives(warc.responses(frame(spark, rows))).withColumn("whole", warc.record(F.col("header"), F.col("block"))).collect()
