@@ -13,10 +13,14 @@ from stratalake.functions.temporal import now_ts
 LOOKBACK_DAYS = 2
 
 
+def lookback_start(now: dt.datetime | str | Column | None = None, days: int = LOOKBACK_DAYS) -> Column:
+    return now_ts(now) - F.make_dt_interval(days=F.lit(days))
+
+
 def within_lookback(
     column: str, now: dt.datetime | str | Column | None = None, days: int = LOOKBACK_DAYS
 ) -> Column:
-    return F.col(column) >= now_ts(now) - F.make_dt_interval(days=F.lit(days))
+    return F.col(column) >= lookback_start(now, days)
 
 
 def lookback(
@@ -29,17 +33,6 @@ def lookback(
     return df.filter(within_lookback(column, now, days))
 
 
-def lookback_days(
-    df: DataFrame,
-    column: str,
-    now: dt.datetime | str | Column | None = None,
-    days: int = LOOKBACK_DAYS,
-) -> DataFrame:
-    """Variant for DATE columns: the bound is truncated to its day."""
-    bound = (now_ts(now) - F.make_dt_interval(days=F.lit(days))).cast("date")
-    return df.filter(F.col(column) >= bound)
-
-
 def since_high_water(
     batch: DataFrame, target: DataFrame, column: str, days: int = 1
 ) -> DataFrame:

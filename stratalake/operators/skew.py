@@ -23,23 +23,24 @@ def fan_out(
     right: DataFrame,
     on: Sequence[str],
     spread_by: Sequence[str],
-    buckets: int | None = None,
+    buckets: int = 64,
 ) -> DataFrame:
     """Many-to-many equi-join on a coarse key (all pairs within it are the wanted result).
 
     The inputs are small and the output is large, which defeats size-based
     planning: a shuffle on the few keys gives few tasks, and a broadcast join
     runs in as few tasks as the small ``left`` has. So ``left`` is spread by its
-    full key over as many tasks as the session has shuffle partitions (sized from
-    the input; an explicit count is not coalesced by AQE), with as many buckets, and
-    ``right`` is repeated once per bucket. Whether ``right`` is then broadcast or
-    shuffled is Spark's choice by size; both keep the spread.
+    full key over as many tasks as the session has shuffle partitions (an explicit
+    count is not coalesced by AQE). ``right`` is never copied: each key has at most
+    ``buckets`` rows of it, arrays of about a ``buckets``-th of its units, that the join
+    meets and only then takes apart. Spark broadcasts them by their measured size;
+    otherwise it shuffles, and AQE splits the tasks of a large key.
     """
     tasks = int(left.sparkSession.conf.get("spark.sql.shuffle.partitions"))
-    buckets = tasks if buckets is None else buckets
-    spread = left.withColumn("_bucket", _bucket(spread_by, buckets)).repartition(tasks, *on, "_bucket")
-    copies = right.withColumn("_bucket", F.explode(F.sequence(F.lit(0), F.lit(buckets - 1))))
-    return spread.join(copies, [*on, "_bucket"]).drop("_bucket")
+    columns = [c for c in right.columns if c not in on]
+    packed = right.groupBy(*on, _bucket(columns, buckets).alias("_bucket")).agg(F.collect_list(F.struct(*columns)).alias("_units"))
+    joined = left.repartition(tasks, *on, *spread_by).join(packed.drop("_bucket"), list(on))
+    return joined.select(*left.columns, F.explode("_units").alias("_unit")).select(*left.columns, "_unit.*")
 
 
 def heavy_hashes(df: DataFrame, keys: Sequence[str], share: float = 0.01) -> DataFrame:

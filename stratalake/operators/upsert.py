@@ -22,6 +22,7 @@ from operator import and_
 from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
+from stratalake.operators import key_index
 from stratalake.operators.dedup import dedup_latest
 from stratalake.session import materialise, shared_dir
 from stratalake.sources.bronze import path_exists
@@ -30,6 +31,7 @@ from stratalake.sources.tables import (
     for_partitions,
     overwrite_partitions,
     partition_columns,
+    restrict_to,
     write_table,
 )
 
@@ -51,6 +53,7 @@ def upsert(
     on_schema_change: str = "append_new_columns",
     stable_partitions: bool = False,
     replaces: DataFrame | None = None,
+    indexed: bool = False,
 ) -> DataFrame:
     """Insert new keys and replace existing ones; returns the table.
 
@@ -62,7 +65,10 @@ def upsert(
                        the key scan that looks for old versions in other partitions.
                        Given anyway where the partition columns are part of the key.
     replaces           stored rows that agree with one of its rows in all its columns go,
-                       whether or not the batch has their key (groups computed anew).
+                       whether or not the batch has their key (groups computed anew). If it has the
+                       partition columns, the stored rows are not searched for the partitions.
+    indexed            keep an index of the keys beside the table (``key_index``); old versions are
+                       then looked for in the partitions that may hold a key of the batch.
     """
     spark = batch.sparkSession
     batch = materialise(_unique_batch(batch, keys, order_by), "batch")
@@ -75,15 +81,17 @@ def upsert(
     batch = _align(spark, table, batch, on_schema_change)
     target = spark.table(table)
     by = partition_columns(spark, table)
-    stable_partitions = (stable_partitions or set(by) <= set(keys)) and replaces is None
+    stable = stable_partitions or set(by) <= set(keys)
     touched = batch.select(*by).distinct()
-    if not stable_partitions:
-        old = target.select(*keys, *[c for c in by if c not in keys])
+    if not stable:
+        old = _may_hold(batch, table, keys, indexed).select(*keys, *[c for c in by if c not in keys])
         touched = touched.union(
             old.join(batch.select(*keys), _same_keys(old, batch, keys), "left_semi").select(*by)
         ).distinct()
     if replaces is not None:
-        gone = target.join(replaces, _same_keys(target, replaces, replaces.columns), "left_semi")
+        gone = replaces
+        if not set(by) <= set(replaces.columns):
+            gone = target.join(replaces, _same_keys(target, replaces, replaces.columns), "left_semi")
         touched = touched.union(gone.select(*by)).distinct()
     touched = materialise(touched, "touched")
     if touched.isEmpty():
@@ -105,14 +113,36 @@ def upsert(
 
     path = _staging(spark, table)
     for_partitions(merged, by).write.mode("overwrite").partitionBy(*by).parquet(path)
-    emptied = [] if stable_partitions else _emptied(spark, path, target, touched, by)
+    emptied = [] if stable and replaces is None else _emptied(spark, path, target, touched, by)
     finish_interrupted(spark, table)
     if emptied:
         specs = [", ".join(f"{c} = {_literal(row[c])}" for c in by) for row in emptied]
         spark.sql(f"ALTER TABLE {table} DROP IF EXISTS {', '.join(f'PARTITION ({s})' for s in specs)}")
+    if indexed and not stable:
+        key_index.refresh(spark, table, keys)
     return spark.table(table)
 
 
+def changed_versions(batch: DataFrame, table: str, keys: Sequence[str], indexed: bool = False) -> DataFrame:
+    """Stored rows that ``batch`` is about to replace, with ``_sign`` -1, and the rows of the batch with 1.
+
+    For batches whose rows always win. Sums over the signed rows correct stored sums by what the merge changes.
+    """
+    target = _may_hold(batch, table, keys, indexed)
+    old = target.join(batch.select(*keys), _same_keys(target, batch, keys), "left_semi")
+    new = batch.select(*old.columns)
+    return old.withColumn("_sign", F.lit(-1)).unionByName(new.withColumn("_sign", F.lit(1)))
+
+
+def _may_hold(batch: DataFrame, table: str, keys: Sequence[str], indexed: bool) -> DataFrame:
+    """The stored table without partitions that surely hold no key of ``batch``."""
+    target = batch.sparkSession.table(table)
+    places = key_index.candidates(batch, table, keys) if indexed else None
+    if places is None:
+        return target
+    return restrict_to(target, materialise(places, "candidates"), partition_columns(batch.sparkSession, table))
+
+
 def _unique_batch(
     batch: DataFrame, keys: Sequence[str], order_by: str | Sequence[str] | None
 ) -> DataFrame:
@@ -124,24 +154,6 @@ def _same_keys(left: DataFrame, right: DataFrame, keys: Sequence[str]) -> Column
     return reduce(and_, [left[k].eqNullSafe(right[k]) for k in keys])
 
 
-def restrict_to(target: DataFrame, touched: DataFrame, by: Sequence[str]) -> DataFrame:
-    """Rows of ``target`` in the listed partitions, pruned at directory level.
-
-    The values of each partition column (tenants, months: metadata) prune the
-    directories, however many there are; the semi join then keeps the listed
-    combinations.
-    """
-    values = touched.agg(
-        *[F.collect_set(c).alias(f"v{i}") for i, c in enumerate(by)],
-        *[F.max(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(by)],
-    ).first()
-    for i, c in enumerate(by):
-        listed = target[c].isin(sorted(values[f"v{i}"])) if values[f"v{i}"] else F.lit(False)
-        target = target.filter(listed | target[c].isNull() if values[f"n{i}"] else listed)
-    same = reduce(and_, [target[c].eqNullSafe(touched[c]) for c in by])
-    return target.join(touched, same, "left_semi")
-
-
 def _align(spark: SparkSession, table: str, batch: DataFrame, on_schema_change: str) -> DataFrame:
     """Bring batch and table to the same columns."""
     have = {f.name: f.dataType for f in spark.table(table).schema}

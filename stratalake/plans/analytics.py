@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import date_key, surrogate_key
 from stratalake.operators.lookback import within_lookback
 from stratalake.operators.skew import fan_out
+from stratalake.sources.months import by_month, semi_join_events
 
 Tables = Mapping[str, DataFrame]
 Now = dt.datetime | str | Column | None
@@ -31,23 +32,57 @@ MANAGERIAL_KEYS = ("tenant_id", "empresa_id", "centro_custo_id", "ds_categoria",
 GROUP = ["tenant_id", "cd_tipo_conta", "dt_competencia"]
 
 
-def ledger_totals(entries: DataFrame) -> DataFrame:
-    """Signed totals per (tenant, account type, accounting date), before any fan-out."""
-    return entries.groupBy(*GROUP).agg(F.sum("vlr_final").alias("vlr_total"))
+def ledger_totals(entries: DataFrame, sign: str = "1") -> DataFrame:
+    """Per (tenant, account type, accounting date): the sum, of how many values, and how many entries.
+
+    ``sign`` is 1 or -1 of each row: with the rows that a merge removes and adds, the result is what it changes.
+    """
+    some = f"case when vlr_final is null then 0 else {sign} end"
+    return entries.groupBy(*GROUP).agg(
+        F.expr(f"coalesce(sum(vlr_final * {sign}), 0)").cast("decimal(28,2)").alias("vlr_total"),
+        F.expr(f"sum({some})").cast("bigint").alias("qtd_valores"),
+        F.expr(f"sum({sign})").cast("bigint").alias("qtd_lancamentos"),
+    )
+
+
+def corrected_totals(totals: DataFrame, changes: DataFrame) -> DataFrame:
+    """Totals of the groups of ``changes`` after them; groups without an entry left are not there."""
+    groups = changes.select(*GROUP)
+    same = reduce(and_, [totals[c].eqNullSafe(groups[c]) for c in GROUP])
+    both = totals.join(groups, same, "left_semi").unionByName(changes)
+    return (
+        both.groupBy(*GROUP)
+        .agg(
+            F.sum("vlr_total").cast("decimal(28,2)").alias("vlr_total"),
+            F.sum("qtd_valores").alias("qtd_valores"),
+            F.sum("qtd_lancamentos").alias("qtd_lancamentos"),
+        )
+        .filter("qtd_lancamentos > 0")
+    )
+
+
+def _totals(t: Tables) -> DataFrame:
+    """The stored totals where they are up to date, else those of the entries."""
+    kept = getattr(t, "ledger_totals", None)
+    return ledger_totals(t["fct_lancamentos"]) if kept is None else kept
+
+
+# the sum of a group without any value is NULL
+SHOWN = "case when qtd_valores > 0 then vlr_total end"
 
 
 def accounting_statement(
     t: Tables,
     incremental: str | None = None,
     now: Now = None,
-    buckets: int | None = None,
+    buckets: int = 64,
     groups: DataFrame | None = None,
 ) -> DataFrame:
     """Totals repeated for every (company, cost centre) of the tenant.
 
     The values are therefore not additive over companies or centres. The ledger
     is reduced to one row per group before the fan-out; the fan-out itself is
-    spread over buckets, because the tenant alone is a key with few values.
+    spread over all tasks, because the tenant alone is a key with few values.
 
     incremental   None: all entries. "affected": recompute in full the groups
                   of ``affected_groups``. "recent_only": sum the recent
@@ -55,15 +90,21 @@ def accounting_statement(
                   kept for comparison with the original merge).
     groups        with "affected": the groups, if they have been computed already.
     """
-    entries = t["fct_lancamentos"].select(*GROUP, "vlr_final", "created_at")
-    if incremental == "recent_only":
-        entries = entries.filter(within_lookback("created_at", now))
+    if incremental is None:
+        totals = _totals(t)
+    elif incremental == "recent_only":
+        totals = ledger_totals(t["fct_lancamentos"].filter(within_lookback("created_at", now)))
     elif incremental == "affected":
         groups = affected_groups(t, now) if groups is None else groups
-        entries = entries.join(groups, _same_group(entries, groups), "left_semi")
-    elif incremental is not None:
+        kept = getattr(t, "ledger_totals", None)
+        if kept is None:
+            totals = ledger_totals(semi_join_events(by_month(t, "fct_lancamentos"), groups, "dt_competencia"))
+        else:
+            totals = kept.join(groups, reduce(and_, [kept[c].eqNullSafe(groups[c]) for c in GROUP]), "left_semi")
+    else:
         raise ValueError(f"unknown incremental mode {incremental}")
-    rows = _for_every_unit(t, ledger_totals(entries), ["cd_tipo_conta", "dt_competencia"], buckets)
+    totals = totals.withColumn("vlr_total", F.expr(SHOWN))
+    rows = _for_every_unit(t, totals, ["cd_tipo_conta", "dt_competencia"], buckets)
     return rows.select(
         surrogate_key(*STATEMENT_KEYS).alias("dre_contabil_sk"),
         "tenant_id",
@@ -77,41 +118,26 @@ def accounting_statement(
     )
 
 
-def _for_every_unit(
-    t: Tables, totals: DataFrame, spread_by: list[str], buckets: int | None = None
-) -> DataFrame:
-    """``totals`` repeated for every (company, cost centre) of their tenant."""
+def statement_units(t: Tables) -> DataFrame:
+    """Every (company, cost centre) of a tenant: a row of the statement for each."""
     companies = t["dim_empresas"].select("tenant_id", "empresa_id")
-    centres = t["dim_centros_custos"].select("tenant_id", "centro_custo_id", "centro_custo_sk")
-    per_company = fan_out(totals, companies, ["tenant_id"], spread_by, buckets)
-    return fan_out(per_company, centres, ["tenant_id"], [*spread_by, "empresa_id"], buckets)
+    return companies.join(t["dim_centros_custos"].select("tenant_id", "centro_custo_id", "centro_custo_sk"), "tenant_id")
 
 
-def _same_group(left: DataFrame, right: DataFrame) -> Column:
-    return reduce(and_, [left[c].eqNullSafe(right[c]) for c in GROUP])
+def _for_every_unit(t: Tables, totals: DataFrame, spread_by: list[str], buckets: int = 64) -> DataFrame:
+    """``totals`` repeated for every (company, cost centre) of their tenant."""
+    return fan_out(totals, statement_units(t), ["tenant_id"], spread_by, buckets)
 
 
-def affected_groups(
-    t: Tables, now: Now = None, stored: DataFrame | None = None, moved: DataFrame | None = None
-) -> DataFrame:
-    """Groups of the statement that an incremental run computes anew.
+def affected_groups(t: Tables, now: Now = None) -> DataFrame:
+    """Groups of the statement with a recent entry."""
+    return t["fct_lancamentos"].filter(within_lookback("created_at", now)).select(*GROUP).distinct()
 
-    Those with a recent entry; ``moved``, the groups that re-delivered entries had
-    before; and, given the ``stored`` statement, all groups of tenants whose companies
-    or cost centres are not the stored ones any more.
-    """
-    entries = t["fct_lancamentos"]
-    groups = entries.filter(within_lookback("created_at", now)).select(*GROUP)
-    if moved is not None:
-        groups = groups.union(moved.select(*GROUP))
-    if stored is not None:
-        have = stored.select("tenant_id", "empresa_id", "centro_custo_id").distinct()
-        companies = t["dim_empresas"].select("tenant_id", "empresa_id")
-        want = companies.join(t["dim_centros_custos"].select("tenant_id", "centro_custo_id"), "tenant_id")
-        tenants = have.subtract(want).union(want.subtract(have)).select("tenant_id").distinct()
-        for rows in (entries, stored):
-            groups = groups.union(rows.join(tenants, "tenant_id", "left_semi").select(*GROUP))
-    return groups.distinct()
+
+def changed_units(have: DataFrame, want: DataFrame) -> DataFrame:
+    """Tenants whose list of (company, cost centre) is not what it was."""
+    have = have.select(*want.columns)
+    return have.exceptAll(want).union(want.exceptAll(have)).select("tenant_id").distinct()
 
 
 def category(account_type: Column | str) -> Column:
@@ -128,7 +154,7 @@ def managerial_statement(t: Tables) -> DataFrame:
     The value depends on neither company nor cost centre, so the totals are summed
     by category first, a few rows for each tenant and day, and repeated afterwards.
     """
-    by_category = ledger_totals(t["fct_lancamentos"]).withColumn("ds_categoria", category("cd_tipo_conta"))
+    by_category = _totals(t).withColumn("vlr_total", F.expr(SHOWN)).withColumn("ds_categoria", category("cd_tipo_conta"))
     totals = by_category.groupBy("tenant_id", "ds_categoria", "dt_competencia").agg(
         # each part as the accounting statement shows it
         F.sum(F.col("vlr_total").cast("decimal(18,2)")).alias("vlr_categoria")

@@ -52,14 +52,22 @@ class Models(Mapping[str, DataFrame]):
         self.spark, self.feeds, self.as_of, self.calendar = spark, feeds, as_of, calendar
         self.stored = stored if stored is not None else {}
         self.delivered_from = delivered_from
-        # set by an incremental build: groups that re-delivered ledger entries had before
-        self.moved_groups: DataFrame | None = None
+        # set by a build: stored sums of the ledger, what this run has changed in them, and the ledger's state before
+        self.ledger_totals: DataFrame | None = None
+        self.ledger_changes: DataFrame | None = None
+        self.ledger_before: str | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.stored:
             return self.stored[name]
         return self.build(name)
 
+    def by_month(self, name: str) -> DataFrame:
+        """Like an item, with the month column where the table is stored by month."""
+        if name in self.stored and hasattr(self.stored, "by_month"):
+            return self.stored.by_month(name)
+        return self[name]
+
     def build(
         self,
         name: str,

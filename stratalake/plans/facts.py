@@ -16,7 +16,8 @@ from pyspark.sql import functions as F
 
 from stratalake.functions import calendar_days, date_key, full_days, surrogate_key
 from stratalake.functions.temporal import as_of_date
-from stratalake.operators.lookback import lookback, lookback_days, within_lookback
+from stratalake.operators.lookback import lookback, lookback_start, within_lookback
+from stratalake.sources.months import by_month, event_range
 
 Tables = Mapping[str, DataFrame]
 Now = dt.datetime | str | Column | None
@@ -27,11 +28,10 @@ AUDIT = "_dbt_loaded_at"
 
 def sales(t: Tables, incremental: bool = False, now: Now = None) -> DataFrame:
     """Order lines with their sale header. Foreign keys are hashed, the dimensions are not joined."""
-    header = t["silver_dw_vendas"].select(
-        "tenant_id", "venda_id", "cliente_id", "vendedor_id", "ds_status", "dt_venda"
-    )
+    header = by_month(t, "silver_dw_vendas")
     if incremental:
-        header = lookback(header, "dt_venda", now)
+        header = event_range(header, "dt_venda", lookback_start(now))
+    header = header.select("tenant_id", "venda_id", "cliente_id", "vendedor_id", "ds_status", "dt_venda")
     lines = t["silver_dw_itens_pedido"]
     return lines.join(header, ["tenant_id", "venda_id"]).select(
         surrogate_key("tenant_id", "item_id").alias("venda_item_sk"),
@@ -57,9 +57,9 @@ def sales(t: Tables, incremental: bool = False, now: Now = None) -> DataFrame:
 
 def purchase_orders(t: Tables, incremental: bool = False, now: Now = None) -> DataFrame:
     """Orders of known suppliers. The supplier key is unique, so a semi join suffices."""
-    orders = t["silver_dw_ordens_compra"]
+    orders = by_month(t, "silver_dw_ordens_compra")
     if incremental:
-        orders = lookback_days(orders, "dt_emissao", now)
+        orders = event_range(orders, "dt_emissao", lookback_start(now).cast("date"))
     suppliers = t["silver_dw_fornecedores"].select("tenant_id", "fornecedor_id")
     return orders.join(suppliers, ["tenant_id", "fornecedor_id"], "left_semi").select(
         surrogate_key("tenant_id", "ordem_compra_id").alias("ordem_compra_sk"),
@@ -77,12 +77,21 @@ def purchase_orders(t: Tables, incremental: bool = False, now: Now = None) -> Da
 
 
 def production_orders(
-    t: Tables, incremental: bool = False, now: Now = None, as_of: AsOf = None
+    t: Tables, incremental: bool = False, now: Now = None, as_of: AsOf = None, pending: DataFrame | None = None
 ) -> DataFrame:
-    """Days in production up to the end date, or up to ``as_of`` while running."""
-    orders = t["silver_dw_ordens_producao"]
+    """Days in production up to the end date, or up to ``as_of`` while running.
+
+    The days of a running order move with the calendar, and the order may end long after its start. Given the
+    ``pending`` keys (stored without an end), an incremental run evaluates those again as well.
+    """
+    orders = by_month(t, "silver_dw_ordens_producao")
     if incremental:
-        orders = lookback_days(orders, "dt_inicio", now)
+        low = lookback_start(now).cast("date")
+        recent = event_range(orders, "dt_inicio", low)
+        if pending is not None:
+            older = orders.filter(~F.coalesce(F.col("dt_inicio") >= low, F.lit(False)))
+            recent = recent.unionByName(older.join(pending, list(KEYS["fct_ordens_producao"]), "left_semi"))
+        orders = recent
     products = t["dim_produtos"].select("tenant_id", "produto_id", "produto_sk")
     return orders.join(products, ["tenant_id", "produto_id"]).select(
         surrogate_key("tenant_id", "ordem_producao_id").alias("ordem_producao_sk"),
@@ -197,6 +206,11 @@ def titles(
     )
 
 
+def running_orders(stored: DataFrame) -> DataFrame:
+    """Keys of stored orders without an end, whether or not they have ended since."""
+    return stored.filter(F.col("dt_fim").isNull()).select(*KEYS["fct_ordens_producao"])
+
+
 def open_titles(stored: DataFrame) -> DataFrame:
     """Keys of stored titles whose state can still change."""
     return stored.filter(F.col("ds_situacao_titulo").isin("EM_ABERTO", "VENCIDO")).select(
@@ -262,13 +276,15 @@ def build(
     stored: DataFrame | None = None,
     settled: DataFrame | None = None,
 ) -> DataFrame:
-    """``stored``: the current content of the fact; ``settled``: keys with new settlements. For the titles."""
+    """``stored``: the current content of the fact; ``settled``: keys of titles with new settlements."""
     extra = {}
     if name in ("fct_ordens_producao", "fct_titulo_financeiro"):
         extra["as_of"] = as_of
     if name == "fct_titulo_financeiro" and incremental and stored is not None:
         pending = open_titles(stored)
         extra["pending"] = pending if settled is None else pending.union(settled.select(*pending.columns)).distinct()
+    if name == "fct_ordens_producao" and incremental and stored is not None:
+        extra["pending"] = running_orders(stored)
     return BUILDERS[name](t, incremental=incremental, now=now, **extra)
 
 

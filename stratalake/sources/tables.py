@@ -4,6 +4,8 @@ from __future__ import annotations
 
 import uuid
 from collections.abc import Sequence
+from functools import reduce
+from operator import and_
 
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
@@ -100,8 +102,9 @@ def write_table(
     if partition_by:
         spark.sql(f"MSCK REPAIR TABLE {name}")
     if before.startswith(base.rstrip("/")) and before != path:
-        old = spark._jvm.org.apache.hadoop.fs.Path(before)
-        old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
+        for folder in (before, keys_path(before)):
+            old = spark._jvm.org.apache.hadoop.fs.Path(folder)
+            old.getFileSystem(spark._jsc.hadoopConfiguration()).delete(old, True)
     return spark.table(name)
 
 
@@ -134,6 +137,29 @@ def partition_columns(spark: SparkSession, table: str) -> list[str]:
     return [c.name for c in spark.catalog.listColumns(table) if c.isPartition]
 
 
+def restrict_to(target: DataFrame, touched: DataFrame, by: Sequence[str]) -> DataFrame:
+    """Rows of ``target`` in the listed partitions, pruned at directory level.
+
+    The values of each partition column (tenants, months: metadata) prune the
+    directories, however many there are; the semi join then keeps the listed
+    combinations.
+    """
+    values = touched.agg(
+        *[F.collect_set(c).alias(f"v{i}") for i, c in enumerate(by)],
+        *[F.max(F.col(c).isNull()).alias(f"n{i}") for i, c in enumerate(by)],
+    ).first()
+    for i, c in enumerate(by):
+        listed = target[c].isin(sorted(values[f"v{i}"])) if values[f"v{i}"] else F.lit(False)
+        target = target.filter(listed | target[c].isNull() if values[f"n{i}"] else listed)
+    same = reduce(and_, [target[c].eqNullSafe(touched[c]) for c in by])
+    return target.join(touched, same, "left_semi")
+
+
+def keys_path(location: str) -> str:
+    """Folder of the key index of a table at ``location``; it goes with the table."""
+    return f"{location.rstrip('/')}-keys"
+
+
 def compact(spark: SparkSession, table: str, where: str, target_files: int) -> None:
     """Rewrite the partitions selected by ``where`` (partition columns only), each into at most ``target_files``.
 
