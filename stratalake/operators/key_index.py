@@ -41,6 +41,8 @@ def partition_files(spark: SparkSession, table: str) -> DataFrame:
         return F.when(text != "__HIVE_DEFAULT_PARTITION__", plain).cast(types[c]).alias(c)
 
     by = partition_columns(spark, table)
+    # without content a file costs nothing, but Spark plans a task for each small one
+    files = files.select("path", "length").coalesce(spark.sparkContext.defaultParallelism)
     named = files.select(*[value(c) for c in by], F.xxhash64(F.substring_index("path", "/", -1), "length").alias("file"))
     # a sum of hashes without overflow: the order of files does not count
     return named.groupBy(*by).agg(F.sum(F.pmod("file", F.lit(1 << 40))).alias("state"), F.count("*").alias("files"))
@@ -69,15 +71,14 @@ def _range_column(keys: Sequence[str], by: Sequence[str]) -> str:
     return next((k for k in reversed(keys) if k not in by), keys[-1])
 
 
-def valid(spark: SparkSession, table: str) -> DataFrame | None:
-    """Index entries (partition columns, lo, hi, keys, n_words) that still describe their partition."""
+def valid(spark: SparkSession, table: str, files: DataFrame) -> DataFrame | None:
+    """Index entries (partition columns, lo, hi, keys, n_words) that still describe their partition; None without an index."""
     path = _path(spark, table, "ranges")
     if not path_exists(spark, path):
         return None
     by = partition_columns(spark, table)
     # appended with each merge; of a partition the entry of its present files counts
     entries = spark.read.parquet(path)
-    files = partition_files(spark, table)
     same = _same(entries, files, by) & (entries["state"] == files["state"]) & (entries["files"] == files["files"])
     return entries.join(files, same, "left_semi").dropDuplicates([*by])
 
@@ -85,12 +86,11 @@ def valid(spark: SparkSession, table: str) -> DataFrame | None:
 def candidates(batch: DataFrame, table: str, keys: Sequence[str]) -> DataFrame | None:
     """Partitions (distinct values of the partition columns) that may hold a key of ``batch``; None without an index."""
     spark = batch.sparkSession
-    entries = valid(spark, table)
-    if entries is None:
+    if not path_exists(spark, _path(spark, table, "ranges")):
         return None
     by = partition_columns(spark, table)
-    entries = materialise(entries, "key-entries")
-    files = partition_files(spark, table)
+    files = materialise(partition_files(spark, table), "key-files")
+    entries = materialise(valid(spark, table, files), "key-entries")
     unknown = files.join(entries, _same(files, entries, by), "left_anti").select(*by)
     known = [c for c in by if c in keys]
     ranged = _range_column(keys, by)
@@ -119,7 +119,7 @@ def refresh(spark: SparkSession, table: str, keys: Sequence[str]) -> None:
     """Index the partitions that have no valid entry; reads their key columns only."""
     by = partition_columns(spark, table)
     files = materialise(partition_files(spark, table), "key-files")
-    entries = valid(spark, table)
+    entries = valid(spark, table, files)
     missing = files
     if entries is not None:
         missing = files.join(entries, _same(files, entries, by), "left_anti")

@@ -8,13 +8,12 @@ partial row per task. ``n_records`` is the number of failing source rows.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Iterable, Mapping, Sequence
-from concurrent.futures import ThreadPoolExecutor
+import json
+from collections.abc import Iterable, Iterator, Mapping, Sequence
 from functools import reduce
 from operator import and_
 
-from py4j.protocol import Py4JJavaError
-from pyspark.errors import PySparkException
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
@@ -23,6 +22,7 @@ from stratalake.functions.temporal import now_ts
 from stratalake.sources.bronze import path_exists, prune, read_bronze, table_path
 from stratalake.sources.conform import schema_differences
 from stratalake.sources.contract import PARTITION_COLUMNS, REGISTRY, data_schema
+from stratalake.sources.footers import footers
 
 
 def not_null(df: DataFrame, column: str) -> DataFrame:
@@ -227,6 +227,27 @@ def delivery_report(df: DataFrame) -> DataFrame:
     )
 
 
+def delivered_footers(
+    spark: SparkSession,
+    root: str,
+    datamart: str,
+    table: str,
+    tenants: Sequence[str] | None = None,
+    start: dt.date | None = None,
+    end: dt.date | None = None,
+) -> DataFrame:
+    """(tenant_id, year, month, day, path, n_records, data_schema, error) of every delivered file, from its footer."""
+    types = {"tenant_id": "string", "year": "int", "month": "int", "day": "int"}
+    return footers(spark, table_path(root, datamart, table), types, lambda files: prune(files, tenants, start, end))
+
+
+def footer_report(files: DataFrame) -> DataFrame:
+    """Files and rows per (tenant, day), without reading a row; a file without a footer has none."""
+    return files.groupBy("tenant_id", "year", "month", "day").agg(
+        F.count("*").alias("files"), F.coalesce(F.sum("n_records"), F.lit(0)).alias("n_records")
+    )
+
+
 def contract_differences(
     spark: SparkSession,
     root: str,
@@ -235,31 +256,31 @@ def contract_differences(
     tenants: Sequence[str] | None = None,
     start: dt.date | None = None,
     end: dt.date | None = None,
-    at_once: int = 16,
 ) -> DataFrame:
     """(tenant_id, year, month, day, path, difference) of every delivered file that differs from the contract.
 
-    Every file of the asked partitions is opened, also one without rows: a Spark task for each reads its footer.
-    A file that cannot be read is a difference. The list of files and their differences reach the driver.
+    The footers are read in tasks, those of files without rows as well; a file without one is a difference.
+    Few schemas are distinct, and each is compared with the contract once per task.
     """
-    # a listing: no content is read
-    listed = spark.read.format("binaryFile").option("pathGlobFilter", "*.parquet").load(table_path(root, datamart, table))
-    listed = listed.select("path", F.col("tenant_id").cast("string").alias("tenant_id"), "year", "month", "day")
-    files = prune(listed, tenants, start, end).collect()
     want = data_schema(datamart, table)
-
-    def differences(path: str) -> list[str]:
-        try:
-            return schema_differences(spark.read.parquet(path).drop(*PARTITION_COLUMNS).schema, want)
-        except (PySparkException, Py4JJavaError) as e:
-            return [f"unreadable: {type(e).__name__}"]
-
-    with ThreadPoolExecutor(at_once) as pool:
-        found = list(pool.map(differences, [f["path"] for f in files]))
-    rows = [
-        (f["tenant_id"], f["year"], f["month"], f["day"], f["path"], d) for f, some in zip(files, found, strict=True) for d in some
-    ]
-    return spark.createDataFrame(rows, "tenant_id string, year int, month int, day int, path string, difference string")
+    ddl = "tenant_id string, year int, month int, day int, path string, difference string"
+
+    def compare(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        known: dict[str, list[str]] = {}
+        for batch in batches:
+            at, found = [], []
+            for r, (schema, error) in enumerate(zip(batch.column(5).to_pylist(), batch.column(6).to_pylist(), strict=True)):
+                if error is None and schema not in known:
+                    have = T.StructType.fromJson(json.loads(schema))
+                    known[schema] = schema_differences(T.StructType([f for f in have if f.name not in PARTITION_COLUMNS]), want)
+                for d in [f"unreadable: {error}"] if error else known[schema]:
+                    at.append(r)
+                    found.append(d)
+            kept = batch.take(pa.array(at, pa.int64()))
+            yield pa.RecordBatch.from_arrays([*(kept.column(c) for c in range(5)), pa.array(found, pa.string())], [*batch.schema.names[:5], "difference"])
+
+    files = delivered_footers(spark, root, datamart, table, tenants, start, end)
+    return files.select("tenant_id", "year", "month", "day", "path", "data_schema", "error").mapInArrow(compare, ddl)
 
 
 def audit_deliveries(
@@ -279,8 +300,9 @@ def audit_deliveries(
         if path_exists(spark, path):
             feed = prune(read_bronze(spark, root, datamart, table), tenants, start, end)
             missing = missing_partitions(feed, expected)
-            found = contract_differences(spark, root, datamart, table, tenants, start, end).collect()
-            differences[f"{datamart}.{table}"] = list(dict.fromkeys(r["difference"] for r in found))
+            found = contract_differences(spark, root, datamart, table, tenants, start, end)
+            # distinct differences, not files
+            differences[f"{datamart}.{table}"] = [r[0] for r in found.select("difference").distinct().orderBy("difference").collect()]
         gaps.append(missing.select(F.lit(datamart).alias("datamart"), F.lit(table).alias("table"), "*"))
     return reduce(DataFrame.unionByName, gaps), {k: v for k, v in differences.items() if v}
 

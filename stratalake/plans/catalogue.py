@@ -52,10 +52,10 @@ class Models(Mapping[str, DataFrame]):
         self.spark, self.feeds, self.as_of, self.calendar = spark, feeds, as_of, calendar
         self.stored = stored if stored is not None else {}
         self.delivered_from = delivered_from
-        # set by a build: stored sums of the ledger, what this run has changed in them, and the ledger's state before
+        # set by a build: failing rows of the tests that the write of a table has counted
+        self.observed: dict[str, dict[str, int]] = {}
+        # set by a build: the stored sums of the ledger, if they are up to date
         self.ledger_totals: DataFrame | None = None
-        self.ledger_changes: DataFrame | None = None
-        self.ledger_before: str | None = None
 
     def __getitem__(self, name: str) -> DataFrame:
         if name in self.stored:

@@ -6,11 +6,12 @@ surrogate key is not NULL and unique. Only what goes beyond that is listed.
 
 from __future__ import annotations
 
+import datetime as dt
 from collections.abc import Iterable, Iterator, Mapping
 from dataclasses import dataclass, field
 from functools import reduce
 
-from pyspark.sql import DataFrame
+from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
 from stratalake.operators import quality
@@ -249,7 +250,10 @@ def failing_rows(
     """(check name, failing rows) for one model; the not-null checks share one scan."""
     declared = declared or DECLARED.get(model) or SOURCES[model]
     df = tables[model]
-    if declared.not_null:
+    clean = declared is DECLARED.get(model) and clean_rows(tables, model)
+    if declared.not_null and clean:
+        yield f"{model}.not_null", df.sparkSession.createDataFrame([], "column_name string, n_records bigint")
+    elif declared.not_null:
         yield f"{model}.not_null", quality.null_counts(df, declared.not_null)
     if declared.sk:
         yield f"{model}.unique({declared.sk})", quality.unique(df, declared.sk)
@@ -257,7 +261,8 @@ def failing_rows(
         name = f"{model}.unique_combination({','.join(declared.key)})"
         yield name, quality.unique_combination(df, declared.key)
     for column, values in declared.accepted.items():
-        yield f"{model}.accepted_values({column})", quality.accepted_values(df, column, values)
+        failing = quality.accepted_values(df, column, values)
+        yield f"{model}.accepted_values({column})", failing.sparkSession.createDataFrame([], failing.schema) if clean else failing
     for column, (parent, parent_column) in declared.refs.items():
         yield (
             f"{model}.relationships({column})",
@@ -283,27 +288,69 @@ def singular(tables: Mapping[str, DataFrame], models: Iterable[str]) -> dict[str
     return found
 
 
+def row_conditions(name: str, declared: Declared) -> list[tuple[str, Column]]:
+    """(test, condition of a failing row) of the not-null and accepted-values tests."""
+    tests = [(f"{name}.not_null({c})", F.col(c).isNull()) for c in declared.not_null]
+    return tests + [(f"{name}.accepted_values({c})", ~F.col(c).isin(*v)) for c, v in declared.accepted.items()]
+
+
 def row_tests(df: DataFrame, name: str, declared: Declared) -> DataFrame:
     """(test, failures) of all not-null and accepted-values tests of a table, in one scan."""
-    tests = [(f"{name}.not_null({c})", F.col(c).isNull()) for c in declared.not_null]
-    tests += [(f"{name}.accepted_values({c})", ~F.col(c).isin(*v)) for c, v in declared.accepted.items()]
+    tests = row_conditions(name, declared)
     counts = df.agg(*[F.count_if(bad).alias(f"t{i}") for i, (_, bad) in enumerate(tests)])
     rows = [F.struct(F.lit(n).alias("test"), F.col(f"t{i}").alias("failures")) for i, (n, _) in enumerate(tests)]
     return counts.select(F.explode(F.array(*rows)).alias("r")).select("r.test", "r.failures")
 
 
+def observed(df: DataFrame, name: str) -> tuple[DataFrame, Observation | None]:
+    """``df`` with the tests of single rows counted by whatever job reads it next: the write of the table."""
+    tests = row_conditions(name, DECLARED[name]) if name in DECLARED else []
+    if not tests:
+        return df, None
+    seen = Observation(name)
+    return df.observe(seen, *[F.count_if(bad).alias(f"t{i}") for i, (_, bad) in enumerate(tests)]), seen
+
+
+def clean_rows(tables: Mapping[str, DataFrame], name: str) -> bool:
+    """Whether the write of the table has seen all its rows and none that fails.
+
+    Tasks that ran twice may count a row twice, so other counts than zero are taken from a scan.
+    """
+    seen = getattr(tables, "observed", {}).get(name)
+    return seen is not None and not any(seen.values())
+
+
 def results(
-    tables: Mapping[str, DataFrame], feeds: Mapping[str, DataFrame], models: Iterable[str] | None = None
+    tables: Mapping[str, DataFrame],
+    feeds: Mapping[str, DataFrame],
+    models: Iterable[str] | None = None,
+    now: dt.datetime | str | None = None,
 ) -> DataFrame:
-    """(test, failures): a row for each declared test of the models and of the source feeds.
+    """(test, failures): a row for each declared and hand-written test of the models and of the source feeds.
 
-    Failures are rows for the tests of a row, keys or values for the others.
+    Failures are rows for the tests of a row, keys or values for the others. Row tests that the write of a
+    table has counted are not counted again. Feeds with delivery days have a freshness test: 1 if it is an error.
     """
-    parts = []
-    for name in DECLARED if models is None else models:
-        parts.append(row_tests(tables[name], name, DECLARED[name]))
+    spark, parts, passed = None, [], []
+    names = list(DECLARED if models is None else models)
+    for name in names:
+        spark = tables[name].sparkSession
+        if clean_rows(tables, name):
+            passed += [test for test, _ in row_conditions(name, DECLARED[name])]
+        else:
+            parts.append(row_tests(tables[name], name, DECLARED[name]))
         others = {n: df for n, df in failing_rows(name, tables) if ".not_null" not in n and ".accepted_values" not in n}
         if others:
             parts.append(quality.summarise(others).select(F.col("check_name").alias("test"), "failures"))
+    hand_written = singular(tables, set(names) | (set(tables) if models is None else set()))
+    if hand_written:
+        parts.append(quality.summarise(hand_written).select(F.col("check_name").alias("test"), "failures"))
     parts += [row_tests(feeds[name], f"source.{name}", d) for name, d in SOURCES.items()]
+    for name in SOURCES:
+        if {"year", "month", "day"} <= set(feeds[name].columns):
+            late = (F.col("status") == "error").cast("bigint").alias("failures")
+            parts.append(quality.freshness(feeds[name], now).select(F.lit(f"source.{name}.freshness").alias("test"), late))
+    if passed:
+        zero = F.explode(F.array(*[F.lit(test) for test in passed])).alias("test")
+        parts.append(spark.range(1).select(zero, F.lit(0).cast("bigint").alias("failures")))
     return reduce(DataFrame.unionByName, parts)
