@@ -727,10 +727,10 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     second = Revised(feeds, ordens_producao=lambda df: df.withColumn("created_at", F.when(late, again).otherwise(F.col("created_at"))))
     names = ["silver_dw_produtos", "silver_dw_ordens_producao", "dim_produtos", "fct_ordens_producao"]
     lake = new_lake(spark)
-    build_layers(spark, first, lake, names, now=DAY_ONE, as_of="1999-01-01", calendar=CALENDAR)
-    built = build_layers(
-        spark, second, lake, names, full_refresh=False, now=DAY_TWO, as_of=AS_OF, calendar=CALENDAR
-    )
+    # small tables: by tenant alone
+    run = {"calendar": CALENDAR, "month_partitions": False}
+    build_layers(spark, first, lake, names, now=DAY_ONE, as_of="1999-01-01", **run)
+    built = build_layers(spark, second, lake, names, full_refresh=False, now=DAY_TWO, as_of=AS_OF, **run)
     return built["fct_ordens_producao"]
 
 
@@ -768,7 +768,7 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     The layers are written first; the tests of single rows are counted by these writes.
     """
     feeds = Feeds(spark, sf_dir)
-    built = build_layers(spark, feeds, new_lake(spark), as_of=AS_OF, calendar=CALENDAR)
+    built = build_layers(spark, feeds, new_lake(spark), as_of=AS_OF, calendar=CALENDAR, month_partitions=False)
     return checks.results(built, feeds)
 
 
