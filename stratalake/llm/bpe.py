@@ -23,7 +23,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import raw, schema_of, slices
+from stratalake.llm.common import BYTE_LEVEL, plain_words, raw, schema_of, slices, unsure
 
 NEVER = 1 << 40
 
@@ -105,7 +105,7 @@ class Transducer:
     """Bytes to tokens. The last emitted token is kept in a register, so that states are few; they are
     made when first met and forgotten together beyond ``max_states``."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
         self.merges = Merges(ranks)
         self.max_states = max_states
         self.child: dict[int, int] = {}  # node << 8 | byte -> node; few bytes a node
@@ -186,9 +186,10 @@ class Encoder(dict):
     Results of short matches are remembered as packed numbers, up to ``max_words``.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 100_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 300_000):
         super().__init__()
-        self.cut = regex.compile(pattern).findall
+        cut = regex.compile(pattern).findall
+        self.cut = (lambda text: cut(text) if unsure(text) else plain_words(text)) if pattern == BYTE_LEVEL else cut
         self.machine = Transducer(ranks)
         self.max_words = max_words
 
@@ -253,7 +254,7 @@ def decode_stream(ids: Iterable[int], piece: Callable[[int], bytes], chunk: int
 
 @functools.lru_cache(1)
 def _encoder(ranks_path: str, pattern: str) -> Encoder:
-    """One per Python worker, for all its tasks: about 35 MB, and 200 MB of states and words at most."""
+    """One per Python worker, for all its tasks: about 35 MB, and 350 MB of states and words at most."""
     return Encoder(read_ranks(ranks_path), pattern)
 
 

@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+import re
 from collections.abc import Iterable, Iterator
 
 import pyarrow as pa
@@ -11,6 +12,18 @@ from pyspark.sql import functions as F
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
+# Fixed value: the pattern that byte-level vocabularies cut texts with.
+BYTE_LEVEL = r"""'s|'t|'re|'ve|'m|'ll|'d| ?\p{L}+| ?\p{N}+| ?[^\s\p{L}\p{N}]+|\s+(?!\S)|\s+"""
+
+# Characters whose class every version of Unicode agrees on. ``unsure`` finds another one; in texts without any,
+# ``plain_words`` cuts as BYTE_LEVEL does.
+_LETTERS, _BLANKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", " \\t\\n\\r"
+_SIGNS = "!-/:-@\\[-`{-~\u00a1\u00a7\u00ab\u00bb\u00bf\u00d7\u00f7\u2013\u2014\u2018-\u201f\u2026\u20ac"
+unsure = re.compile(f"[^{_LETTERS}{_BLANKS}0-9{_SIGNS}]").search
+plain_words = re.compile(
+    f" ?[{_LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_SIGNS}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
+).findall
+
 
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")

@@ -20,19 +20,10 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import raw, schema_of, slices
+from stratalake.llm.common import plain_words, raw, schema_of, slices, unsure
 from stratalake.session import materialise
 
 
-# characters whose class every version of Unicode agrees on; words of such texts are found without the library
-_LETTERS, _BLANKS = "A-Za-z\u00c0-\u00d6\u00d8-\u00f6\u00f8-\u024f", " \\t\\n\\r"
-_SIGNS = "!-/:-@\\[-`{-~\u00a1\u00a7\u00ab\u00bb\u00bf\u00d7\u00f7\u2013\u2014\u2018-\u201f\u2026\u20ac"
-_UNSURE = re.compile(f"[^{_LETTERS}{_BLANKS}0-9{_SIGNS}]").search
-_WORDS = re.compile(
-    f" ?[{_LETTERS}]+| ?[0-9]+|'s|'t|'re|'ve|'m|'ll|'d| ?[{_SIGNS}]+|[{_BLANKS}]+(?![^{_BLANKS}])|[{_BLANKS}]+"
-).findall
-
-
 class Counter(dict):
     """The library's tokenizer without truncation, padding and begin or end tokens.
 
@@ -61,9 +52,9 @@ class Counter(dict):
         return n
 
     def count(self, text: str) -> int:
-        if self.special(text) or _UNSURE(text):
+        if self.special(text) or unsure(text):
             return len(self.tokenizer.encode(text, add_special_tokens=False).ids)
-        return sum(map(self.__getitem__, _WORDS(text)))
+        return sum(map(self.__getitem__, plain_words(text)))
 
     def words(self, text: str) -> tuple[int, np.ndarray, np.ndarray]:
         """Number of tokens; the places where words begin and the tokens before each."""
