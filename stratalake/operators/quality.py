@@ -301,8 +301,10 @@ def audit_deliveries(
             feed = prune(read_bronze(spark, root, datamart, table), tenants, start, end)
             missing = missing_partitions(feed, expected)
             found = contract_differences(spark, root, datamart, table, tenants, start, end)
-            # distinct differences, not files
-            differences[f"{datamart}.{table}"] = [r[0] for r in found.select("difference").distinct().orderBy("difference").collect()]
+            # distinct differences, not files: missing columns, unexpected ones, other types
+            some = [r[0] for r in found.select("difference").distinct().collect()]
+            kind = {"missing": 0, "unexpected": 1}
+            differences[f"{datamart}.{table}"] = sorted(some, key=lambda d: (kind.get(d.split(" ")[0], 2), d))
         gaps.append(missing.select(F.lit(datamart).alias("datamart"), F.lit(table).alias("table"), "*"))
     return reduce(DataFrame.unionByName, gaps), {k: v for k, v in differences.items() if v}
 
