@@ -23,6 +23,7 @@ _FOLD = bytes(
     b + 32 if 0x41 <= b <= 0x5A else b if b >= 0x80 or 0x30 <= b <= 0x39 or 0x61 <= b <= 0x7A else 0x20
     for b in range(256)
 )
+BLOCK_BYTES = 4 << 20  # of benchmark text; its patterns take some sixty times as much in the driver, twenty in a broadcast
 _MIX = (np.uint64(0x9E3779B97F4A7C15), np.uint64(0xC2B2AE3D27D4EB4F))
 
 
@@ -101,14 +102,16 @@ class WuManber:
 class Patterns:
     """The windows of some benchmark items, by length, with the items that have each."""
 
-    def __init__(self, items: list[tuple[str, bytes]], window: int):
+    def __init__(self, items: list[tuple[str | None, bytes]], window: int):
         self.number: dict[bytes, int] = {}
         owners: dict[tuple[int, ...], set[str]] = {}
         for item, text in items:
             ids = [self.number.setdefault(w, len(self.number) + 1) for w in words_of(text)]
             m = min(window, len(ids))
             for i in range(len(ids) - m + 1 if m else 0):
-                owners.setdefault(tuple(ids[i : i + m]), set()).add(item)
+                named = owners.setdefault(tuple(ids[i : i + m]), set())
+                if item is not None:
+                    named.add(item)
         by_length: dict[int, list[tuple[int, ...]]] = {}
         for w in owners:
             by_length.setdefault(len(w), []).append(w)
@@ -163,6 +166,14 @@ _REST = "n_words long, n_hit long, n_items long, items array<string>, hit_from a
 _NAMES = ["n_words", "n_hit", "n_items", "items", "hit_from", "hit_to"]
 
 
+def _blocks(benchmark: DataFrame, item_col: str, text_col: str, block_bytes: int) -> tuple[DataFrame, int]:
+    """(item, text, block) of the benchmark and the number of blocks, of ``block_bytes`` of text each."""
+    items = benchmark.select(F.col(item_col).cast("string").alias("item"), raw(text_col).alias("text"))
+    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
+    n_blocks = -(-total // block_bytes) or 1
+    return items.withColumn("block", F.pmod(F.xxhash64("item", "text"), F.lit(n_blocks))), n_blocks
+
+
 def overlaps(
     docs: DataFrame,
     benchmark: DataFrame,
@@ -171,28 +182,24 @@ def overlaps(
     item_col: str = "item_id",
     item_text_col: str = "text",
     window: int = 10,
-    block_bytes: int = 32 << 20,
+    block_bytes: int = BLOCK_BYTES,
 ) -> DataFrame:
     """One row per row of ``docs``: id, n_words, n_hit, n_items, items, hit_from, hit_to.
 
     ``hit_from`` and ``hit_to`` are the spans of hit words. Null and empty texts have no words and no
-    hits; items without words, or without an id, match nothing; repeated rows are judged alike. An item
-    shorter than ``window`` words is one window. Benchmarks beyond ``block_bytes`` are searched block by
+    hits; items without words match nothing; the words of items without an id are hit, but such items are neither
+    listed nor counted; repeated rows are judged alike. An item shorter than ``window`` words is one window. Benchmarks beyond ``block_bytes`` are searched block by
     block, so what is broadcast stays below that bound, and the findings of a text are joined.
     """
     spark = docs.sparkSession
-    items = benchmark.select(F.col(item_col).cast("string").alias("item"), raw(item_text_col).alias("text")).filter(
-        "item is not null"
-    )
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = -(-total // block_bytes) or 1
+    items, n_blocks = _blocks(benchmark, item_col, item_text_col, block_bytes)
     rows = docs.select(F.col(id_col), raw(text_col).alias("__text"))
     if n_blocks > 1:
         rows = materialise(rows.withColumn("__row", F.monotonically_increasing_id()), "numbered")
     kept = rows.columns
     parts = []
     for k in range(n_blocks):
-        mine = items.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == k).collect()
+        mine = items.filter(F.col("block") == k).collect()
         shared = spark.sparkContext.broadcast(Patterns([(r[0], bytes(r[1])) for r in mine], window))
 
         def run(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
@@ -252,21 +259,19 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
     The search runs beside the columns of the row, so nothing is joined or shuffled.
     """
     spark = docs.sparkSession
-    window, block_bytes = options.get("window", 10), options.get("block_bytes", 32 << 20)
-    items = benchmark.select(F.col("item_id").cast("string").alias("item"), raw("text").alias("text")).filter("item is not null")
-    total = items.agg(F.sum(F.octet_length("text"))).first()[0] or 0
-    n_blocks = -(-total // block_bytes) or 1
+    window = options.get("window", 10)
+    items, n_blocks = _blocks(benchmark, "item_id", "text", options.get("block_bytes", BLOCK_BYTES))
     names, at = docs.columns, docs.columns.index(text_col)
     left = docs
     for k in range(n_blocks):
-        mine = items.filter(F.pmod(F.xxhash64("item"), F.lit(n_blocks)) == k).collect()
+        mine = items.filter(F.col("block") == k).collect()
         shared = spark.sparkContext.broadcast(Patterns([(r[0], bytes(r[1])) for r in mine], window))
 
         def keep(batches: Iterator[pa.RecordBatch], shared=shared) -> Iterator[pa.RecordBatch]:
             for batch in slices(batches, at):
                 texts = [words_of(t or b"") for t in batch.column(at).cast(pa.binary()).to_pylist()]
-                found = shared.value.find(texts)[1]
-                yield batch.filter(pa.array([not f for f in found], pa.bool_()))
+                spans = shared.value.find(texts)[0]
+                yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
 
         left = left.mapInArrow(keep, docs.schema)
     return left.select(names)

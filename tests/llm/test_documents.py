@@ -215,11 +215,12 @@ def brute_overlap(text, items, window=10):
     for item, t in items:
         v = cut(t)
         m = min(window, len(v))
-        wins = {tuple(v[k : k + m]) for k in range(len(v) - m + 1)} if m and item is not None else set()
+        wins = {tuple(v[k : k + m]) for k in range(len(v) - m + 1)} if m else set()
         for k in range(len(w) - m + 1):
             if tuple(w[k : k + m]) in wins:
                 hit.update(range(k, k + m))
-                names.add(str(item))
+                if item is not None:
+                    names.add(str(item))
     return len(w), len(hit), sorted(names)
 
 
@@ -233,6 +234,7 @@ def test_overlaps(spark, rows_of, block_bytes):
         w = items[k][1].split(" ")
         pairs.append((1000 + k, "Start " + "; ".join(w[1:12]) + " mid " + ", ".join(w[:9]) + " end"))
     pairs += [(2000, "a tiny, item LONE tiny"), (2001, "é " * 30), (2002, items[3][1] + " " + items[3][1]), (2002, "lone")]
+    pairs += [(2003, "x NÉ an y"), (2004, "x né An y")]  # the words of an item without an id
     got = decontaminate.overlaps(frame(spark, pairs), spark.createDataFrame(items, "item_id long, text string"), block_bytes=block_bytes)
     seen = Counter((r["doc_id"], r["n_words"], r["n_hit"], tuple(r["items"]), sum(b - a for a, b in zip(r["hit_from"], r["hit_to"], strict=True))) for r in got.collect())
     want = Counter()
