@@ -10,7 +10,6 @@ not yet emitted, trie node) that the bytes so far allow, and what all of them be
 from __future__ import annotations
 
 import base64
-import functools
 import itertools
 import struct
 from array import array
@@ -23,9 +22,10 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import BYTE_LEVEL, plain_words, raw, schema_of, slices, unsure
+from stratalake.llm.common import BYTE_LEVEL, kept, plain_words, raw, schema_of, slices, unsure
 
 NEVER = 1 << 40
+MAX_WORDS, MAX_STATES = 300_000, 200_000  # remembered by a worker
 
 
 def read_ranks(path: str) -> dict[bytes, int]:
@@ -105,7 +105,7 @@ class Transducer:
     """Bytes to tokens. The last emitted token is kept in a register, so that states are few; they are
     made when first met and forgotten together beyond ``max_states``."""
 
-    def __init__(self, ranks: dict[bytes, int], max_states: int = 200_000):
+    def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.merges = Merges(ranks)
         self.max_states = max_states
         self.child: dict[int, int] = {}  # node << 8 | byte -> node; few bytes a node
@@ -186,11 +186,11 @@ class Encoder(dict):
     Results of short matches are remembered as packed numbers, up to ``max_words``.
     """
 
-    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = 300_000):
+    def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = MAX_WORDS, max_states: int = MAX_STATES):
         super().__init__()
         cut = regex.compile(pattern).findall
         self.cut = (lambda text: cut(text) if unsure(text) else plain_words(text)) if pattern == BYTE_LEVEL else cut
-        self.machine = Transducer(ranks)
+        self.machine = Transducer(ranks, max_states)
         self.max_words = max_words
 
     def __missing__(self, word: str) -> bytes:
@@ -252,10 +252,12 @@ def decode_stream(ids: Iterable[int], piece: Callable[[int], bytes], chunk: int
         yield rest
 
 
-@functools.lru_cache(1)
-def _encoder(ranks_path: str, pattern: str) -> Encoder:
-    """One per Python worker, for all its tasks: about 35 MB, and 350 MB of states and words at most."""
-    return Encoder(read_ranks(ranks_path), pattern)
+def _encoder(ranks_path: str, pattern: str, max_words: int, max_states: int) -> Encoder:
+    """One per Python worker, for all tasks of the operator: about 35 MB, and a kilobyte a state and word at most."""
+    return kept(
+        ("bpe", ranks_path, pattern, max_words, max_states),
+        lambda: Encoder(read_ranks(ranks_path), pattern, max_words, max_states),
+    )
 
 
 def _lists(ids: list[np.ndarray]) -> pa.ListArray:
@@ -272,8 +274,8 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks_path, pattern)
-        for batch in slices(batches, 1):
+        encoder = _encoder(ranks_path, pattern, MAX_WORDS, MAX_STATES)
+        for batch in slices(batches, 1, keep=True):
             ids = [encoder.encode(t.decode("utf-8", "replace")) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids)], [id_col, "ids"])
 
@@ -300,16 +302,24 @@ def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col:
     )
 
 
-def round_trip(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def round_trip(
+    docs: DataFrame,
+    ranks_path: str,
+    pattern: str,
+    id_col: str = "doc_id",
+    text_col: str = "text",
+    max_words: int = MAX_WORDS,
+    max_states: int = MAX_STATES,
+) -> DataFrame:
     """``encode`` and ``decode`` one after the other in one pass: id, ids, text (decoded from the ids).
 
     One Python worker a core instead of two, and rows as in both: null counts as empty, bytes that are not
-    UTF-8 come back as U+FFFD.
+    UTF-8 come back as U+FFFD. ``max_words`` and ``max_states`` bound what a worker remembers, not what it encodes.
     """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        encoder = _encoder(ranks_path, pattern)
-        for batch in slices(batches, 1, 2 << 20):
+        encoder = _encoder(ranks_path, pattern, max_words, max_states)
+        for batch in slices(batches, 1, 2 << 20, keep=True):
             ids = [encoder.encode(t.decode("utf-8", "replace")) for t in batch.column(1).to_pylist()]
             texts = pa.array(map(encoder.decode, ids), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids), texts], [id_col, "ids", "text"])

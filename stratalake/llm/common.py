@@ -2,8 +2,10 @@
 
 from __future__ import annotations
 
+import ctypes
+import gc
 import re
-from collections.abc import Iterable, Iterator
+from collections.abc import Callable, Hashable, Iterable, Iterator
 
 import pyarrow as pa
 import pyarrow.compute as pc
@@ -53,8 +55,39 @@ def only(rows: DataFrame, ids: DataFrame, key: str, small: int = 1_000_000) -> D
     return rows.join(F.broadcast(ids) if ids.count() <= small else ids, key, "left_semi")
 
 
-def slices(batches: Iterable[pa.RecordBatch], text_at: int, max_bytes: int = 8 << 20) -> Iterator[pa.RecordBatch]:
-    """The batches cut so that each holds about ``max_bytes`` of text (a longer text stands alone)."""
+_kept: dict[Hashable, object] = {}  # at most one object, for later tasks of the same kind in this worker
+
+
+def kept[T](key: Hashable, make: Callable[[], T]) -> T:
+    """An object that is costly to make; it stays until ``release``, or until another one takes its place."""
+    if key not in _kept:
+        release()
+        _kept[key] = make()
+    return _kept[key]
+
+
+def release() -> None:
+    """Drop what earlier tasks of this worker kept and give the free memory back to the system.
+
+    Workers are reused by all stages, so what one stage leaves in them would add to the needs of the next.
+    """
+    _kept.clear()
+    gc.collect()  # states that point at each other
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)  # of the GNU library
+    if trim:
+        trim(0)
+
+
+def slices(
+    batches: Iterable[pa.RecordBatch], text_at: int, max_bytes: int = 8 << 20, keep: bool = False
+) -> Iterator[pa.RecordBatch]:
+    """The batches cut so that each holds about ``max_bytes`` of text (a longer text stands alone).
+
+    Before the first one memory is released, but for what is ``kept`` if ``keep``.
+    """
+    if not keep:
+        release()
     for batch in batches:
         start, held = 0, 0
         sizes = pc.binary_length(batch.column(text_at)).to_pylist() if batch.num_rows else []
