@@ -39,7 +39,9 @@ def to_tokens(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """(doc_id, n_tokens, ids, ids_sha256, decoded_sha256) of the public byte-level vocabulary."""
     import public_tokenizers as public
 
-    return bpe.round_trip(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN).select(
+    # smaller memories than alone: the executors also hold what the earlier stages needed
+    tokens = bpe.round_trip(docs, public.path("byte_bpe_50k.tiktoken"), public.PATTERN, max_words=100_000, max_states=60_000)
+    return tokens.select(
         "doc_id",
         F.size("ids").cast("long").alias("n_tokens"),
         "ids",
