@@ -22,7 +22,7 @@ import regex
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import BYTE_LEVEL, kept, plain_words, raw, schema_of, slices, unsure
+from stratalake.llm.common import BYTE_LEVEL, in_batches, kept, plain_words, raw, schema_of, slices, unsure
 
 NEVER = 1 << 40
 MAX_WORDS, MAX_STATES = 300_000, 200_000  # remembered by a worker
@@ -279,7 +279,7 @@ def encode(docs: DataFrame, ranks_path: str, pattern: str, id_col: str = "doc_id
             ids = [encoder.encode(t.decode("utf-8", "replace")) for t in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids)], [id_col, "ids"])
 
-    return docs.select(id_col, raw(text_col).alias("__text")).mapInArrow(run, schema_of(docs, id_col, "ids array<int>"))
+    return in_batches(docs.select(id_col, raw(text_col).alias("__text")), run, schema_of(docs, id_col, "ids array<int>"))
 
 
 def decode(tokens: DataFrame, ranks_path: str, id_col: str = "doc_id", ids_col: str = "ids") -> DataFrame:
@@ -324,4 +324,4 @@ def round_trip(
             texts = pa.array(map(encoder.decode, ids), pa.string())
             yield pa.RecordBatch.from_arrays([batch.column(0), _lists(ids), texts], [id_col, "ids", "text"])
 
-    return docs.select(id_col, raw(text_col).alias("__text")).mapInArrow(run, schema_of(docs, id_col, "ids array<int>, text string"))
+    return in_batches(docs.select(id_col, raw(text_col).alias("__text")), run, schema_of(docs, id_col, "ids array<int>, text string"))

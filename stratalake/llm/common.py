@@ -11,6 +11,7 @@ import pyarrow as pa
 import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
+from pyspark.sql.types import StructType
 
 UPPER, LOWER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz"
 
@@ -79,6 +80,19 @@ def release() -> None:
         trim(0)
 
 
+BATCH_BYTES = 4 << 20
+
+
+def in_batches(rows: DataFrame, run: Callable[[Iterator[pa.RecordBatch]], Iterator[pa.RecordBatch]], schema: str | StructType) -> DataFrame:
+    """``mapInArrow`` over batches of at most ``BATCH_BYTES``, or one row beyond that.
+
+    Spark bounds a batch by 10,000 rows and 64 MB, which texts fill; both the executor and its Python worker hold
+    it whole. The limit is a setting of the session and stays; it never changes a result.
+    """
+    rows.sparkSession.conf.set("spark.sql.execution.arrow.maxBytesPerBatch", str(BATCH_BYTES))
+    return rows.mapInArrow(run, schema)
+
+
 def slices(
     batches: Iterable[pa.RecordBatch], text_at: int, max_bytes: int = 8 << 20, keep: bool = False
 ) -> Iterator[pa.RecordBatch]:

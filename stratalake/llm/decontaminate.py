@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import raw, schema_of, slices
+from stratalake.llm.common import in_batches, raw, schema_of, slices
 from stratalake.session import materialise
 
 # bytes to words: A-Z lower-cased, ASCII other than letters and digits to a blank, the rest as it is
@@ -213,7 +213,7 @@ def overlaps(
                 )
 
         extra = "__row long, " if n_blocks > 1 else ""
-        parts.append(rows.mapInArrow(run, schema_of(docs, id_col, extra + _REST)))
+        parts.append(in_batches(rows, run, schema_of(docs, id_col, extra + _REST)))
     if n_blocks == 1:
         return parts[0]
     every = parts[0]
@@ -273,7 +273,7 @@ def clean_documents(docs: DataFrame, benchmark: DataFrame, id_col: str = "doc_id
                 spans = shared.value.find(texts)[0]
                 yield batch.filter(pa.array([not s for s in spans], pa.bool_()))
 
-        left = left.mapInArrow(keep, docs.schema)
+        left = in_batches(left, keep, docs.schema)
     return left.select(names)
 
 

@@ -24,7 +24,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import Window as W
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import only, raw, schema_of, slices
+from stratalake.llm.common import in_batches, only, raw, schema_of, slices
 from stratalake.llm.components import components
 from stratalake.session import materialise
 
@@ -193,7 +193,7 @@ def _sets_and_sketch(docs: DataFrame, id_col: str, text_col: str) -> DataFrame:
 
     schema = schema_of(docs, id_col, "n long, set long, print long, point binary, slice int, totals binary")
     text = raw(text_col)
-    return docs.select(id_col, text.alias("__text"), F.xxhash64(text).alias("__print")).mapInArrow(run, schema)
+    return in_batches(docs.select(id_col, text.alias("__text"), F.xxhash64(text).alias("__print")), run, schema)
 
 
 def _totals(mixed: DataFrame) -> np.ndarray:
@@ -301,7 +301,7 @@ def _buckets(docs: DataFrame, text_col: str, totals: np.ndarray, n_shingles: int
         columns = {"bucket": bucket, "sets": size, "by_size": by_size, "by_hash": by_hash, "set": member}
         return pa.table({c: pa.array(join(x), pa.int64()) for c, x in columns.items()})
 
-    packed = docs.select(raw(text_col).alias("__text")).mapInArrow(pack, "block long, m int, entries binary")
+    packed = in_batches(docs.select(raw(text_col).alias("__text")), pack, "block long, m int, entries binary")
     return packed.groupBy("block").applyInArrow(meet, "bucket long, sets long, by_size long, by_hash long, set long").distinct()
 
 
@@ -325,7 +325,7 @@ def _whole_sets(docs: DataFrame, text_col: str, members: DataFrame, wanted: Data
     texts = docs.select(F.xxhash64(text).alias("__print"), text.alias("__text"))
     texts = only(texts, materialise(one, "texts"), "__print").select("__text")
     # a text that several tasks have brings its set several times, two texts of one print may bring a set that nobody wants
-    return texts.mapInArrow(run, "set long, shingles binary").dropDuplicates(["set"])
+    return in_batches(texts, run, "set long, shingles binary").dropDuplicates(["set"])
 
 
 def _search(rows: DataFrame, percent: int, per_task: int = 40_000) -> DataFrame:

@@ -19,7 +19,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from stratalake.llm.common import held_out, raw, schema_of, slices
+from stratalake.llm.common import held_out, in_batches, raw, schema_of, slices
 from stratalake.llm.decontaminate import words_of
 from stratalake.session import materialise
 
@@ -42,11 +42,11 @@ class BlockMaxIndex:
         weight = np.concatenate([w for _, w in vectors]) if vectors else np.zeros(0)
         row = np.repeat(np.arange(self.size), [len(t) for t, _ in vectors])
         order = np.lexsort((row, term))
-        self.row, self.weight = row[order], weight[order]
+        self.row, self.weight = row[order].astype(np.int32), weight[order]  # short numbers: every worker holds them
         # a cell holds the postings of a term in a block: from cell start[i] to start[i + 1]; cells of a term lie together
         cell = term[order] * (self.blocks + 1) + self.row // BLOCK
         first = np.flatnonzero(np.r_[True, cell[1:] != cell[:-1]]) if len(cell) else np.zeros(0, np.int64)
-        self.start = np.r_[first, len(cell)]
+        self.start = np.r_[first, len(cell)].astype(np.int32 if len(cell) < 1 << 31 else np.int64)
         self.block = self.row[first] // BLOCK
         self.most = np.maximum.reduceat(self.weight, first) if len(first) else np.zeros(0)
         self.cells = np.searchsorted(term[order][first], np.arange(n_terms + 1))
@@ -209,7 +209,7 @@ def fit(
             )
 
     schema = schema_of(chosen, "id", "label int, terms array<long>, weights array<double>")
-    rows = chosen.select("id", "text", "label").mapInArrow(vectors, schema).collect()
+    rows = in_batches(chosen.select("id", "text", "label"), vectors, schema).collect()
     examples = [(r["id"], r["label"], np.array(r["terms"], np.int64), np.array(r["weights"], float)) for r in rows]
     share = {v: totals[v] / sizes[v] for v in sizes}
     least = min(share.values(), default=1.0)
@@ -238,8 +238,7 @@ def _words(chosen: DataFrame, sizes: dict[int, int]) -> tuple[list[bytes], np.nd
     top = (a * (n0 - b) - b * (n1 - a)) ** 2 * n
     chi2 = top / ((a + b) * (n - a - b) * n1 * n0 + 1e-9)
     rows = (
-        chosen.select("text", "label")
-        .mapInArrow(count, "term binary, n0 long, n1 long")
+        in_batches(chosen.select("text", "label"), count, "term binary, n0 long, n1 long")
         .groupBy("term")
         .agg(F.sum("n0").alias("n0"), F.sum("n1").alias("n1"))
         .select("term", F.when(a + b >= 3, chi2).otherwise(0.0).alias("chi2"))
@@ -264,7 +263,8 @@ def _idf(texts: DataFrame, terms: list[bytes]) -> np.ndarray:
             [pa.array([-1, *(number[w] for w in seen)], pa.int64()), pa.array([n, *seen.values()], pa.int64())], ["term", "n"]
         )
 
-    found = {r["term"]: r["n"] for r in texts.mapInArrow(count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n")).collect()}
+    counted = in_batches(texts, count, "term long, n long").groupBy("term").agg(F.sum("n").alias("n"))
+    found = {r["term"]: r["n"] for r in counted.collect()}
     df = np.array([found.get(i, 0) for i in range(len(terms))], float)
     return np.log((1 + found.get(-1, 0)) / (1 + df)) + 1
 
@@ -288,7 +288,7 @@ def score(docs: DataFrame, model: Model, id_col: str = "doc_id", text_col: str =
             )
 
     rest = "score double, evidence array<struct<id:string,label:int,cosine:double>>"
-    return docs.select(F.col(id_col), raw(text_col).alias("__text")).mapInArrow(run, schema_of(docs, id_col, rest))
+    return in_batches(docs.select(F.col(id_col), raw(text_col).alias("__text")), run, schema_of(docs, id_col, rest))
 
 
 def reject(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str = "text") -> DataFrame:
@@ -301,4 +301,4 @@ def reject(docs: DataFrame, model: Model, threshold: float = 0.3, text_col: str
             texts = batch.column(at).cast(pa.binary()).to_pylist()
             yield batch.filter(pa.array([shared.value.score(t or b"")[0] < threshold for t in texts], pa.bool_()))
 
-    return docs.mapInArrow(run, docs.schema)
+    return in_batches(docs, run, docs.schema)

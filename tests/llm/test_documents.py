@@ -10,10 +10,11 @@ import zlib
 from collections import Counter
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from stratalake.llm import bpe, decontaminate, exact_dedup, ngram_join, quality, toxicity
+from stratalake.llm import bpe, common, decontaminate, exact_dedup, ngram_join, quality, toxicity
 from stratalake.llm.components import components
 
 ASCII_LOWER = str.maketrans("ABCDEFGHIJKLMNOPQRSTUVWXYZ", "abcdefghijklmnopqrstuvwxyz")
@@ -425,3 +426,14 @@ def test_pipeline_stages_keep_columns(spark, tmp_path, rows_of):
     assert all(r["decoded_sha256"] == hashlib.sha256((texts[i] or "").encode()).hexdigest() for i, r in kept.items())
     comps = brute_components([(i, texts[i]) for i in kept])
     assert all(c == i for i, (_, c) in comps.items())
+
+
+def test_batches_of_texts_are_bounded_by_bytes(spark):
+    rows = spark.range(0, 400, 1, 1).select(F.col("id"), F.repeat(F.lit("x"), 100_000).alias("text"))
+
+    def run(batches):
+        for batch in batches:
+            yield pa.RecordBatch.from_arrays([pa.array([batch.num_rows], pa.int64())], ["n"])
+
+    sizes = [r["n"] for r in common.in_batches(rows, run, "n long").collect()]
+    assert sum(sizes) == 400 and max(sizes) * 100_000 <= common.BATCH_BYTES + 200_000
