@@ -19,6 +19,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from stratalake.functions.temporal import now_ts
+from stratalake.session import materialise
 from stratalake.sources.bronze import path_exists, prune, read_bronze, table_path
 from stratalake.sources.conform import schema_differences
 from stratalake.sources.contract import PARTITION_COLUMNS, REGISTRY, data_schema
@@ -179,6 +180,45 @@ def reconcile(
     return both.filter(one_sided | (gap > limit))
 
 
+def _checksums(df: DataFrame, side: str, buckets: int) -> DataFrame:
+    """Count and sums of two row hashes by bucket of the first one; the sums do not depend on the order of rows."""
+    # a null leaves a hash as it is, so what is null is hashed too
+    cells = [c for name in df.columns for c in (F.col(name), F.col(name).isNull())]
+    hashed = df.select(F.xxhash64(*cells).alias("h"), F.xxhash64(F.lit(1), *cells).alias("g"))
+    low = F.lit(0xFFFFFFFF)
+    # halves of 32 bits, whose sums fit into 64 bits
+    parts = [part for h in ("h", "g") for part in (F.col(h).bitwiseAND(low), F.shiftright(h, 32))]
+    halves = [F.sum(part).alias(f"{side}{n}") for n, part in enumerate(parts)]
+    return hashed.groupBy(F.pmod("h", F.lit(buckets)).alias("bucket")).agg(F.count("*").alias(f"{side}_n"), *halves)
+
+
+def differing_rows(left: DataFrame, right: DataFrame, buckets: int = 65_536) -> DataFrame:
+    """Rows that two builds of a table do not hold equally often, with ``n_left`` and ``n_right``.
+
+    Both sides are first reduced to checksums of hash buckets, which hardly shuffles anything. Only rows of buckets
+    whose checksums differ (at most ``buckets`` numbers, broadcast) are grouped by their whole content. NULLs compare
+    equal, repeated rows count as often as they occur, an empty side makes every row of the other one a difference.
+    Names and types of the columns must be the same on both sides; their order is the left one's.
+    """
+    types = lambda df: {f.name: f.dataType for f in df.schema}
+    if types(left) != types(right):
+        raise ValueError(f"columns differ: {left.schema.simpleString()}, {right.schema.simpleString()}")
+    columns = left.columns
+    right = right.select(*columns)
+    a, b = _checksums(left, "a", buckets), _checksums(right, "b", buckets)
+    same = reduce(and_, [F.col(f"a{n}").eqNullSafe(F.col(f"b{n}")) for n in ("_n", 0, 1, 2, 3)])
+    changed = materialise(a.join(b, "bucket", "full").filter(~same).select("bucket"), "checksums")
+    row_bucket = F.pmod(F.xxhash64(*[c for name in columns for c in (F.col(name), F.col(name).isNull())]), F.lit(buckets))
+
+    def suspects(df: DataFrame, on_left: int) -> DataFrame:
+        found = df.join(F.broadcast(changed), row_bucket == changed["bucket"], "left_semi")
+        return found.select("*", F.lit(on_left).alias("__left"))
+
+    both = suspects(left, 1).unionByName(suspects(right, 0))
+    n_left, n_right = F.sum("__left"), F.sum(1 - F.col("__left"))
+    return both.groupBy(*columns).agg(n_left.alias("n_left"), n_right.alias("n_right")).filter("n_left <> n_right")
+
+
 class EmptyPartition(RuntimeError):
     """The ingestion gate found no rows."""
 

@@ -4,6 +4,7 @@ import datetime as dt
 from decimal import Decimal
 
 import pytest
+from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from conftest import as_set
@@ -77,6 +78,30 @@ def test_reconcile(rows):
     assert as_set(q.reconcile(a, b, ["k"], "v").select("k")) == {("far",), ("left",), ("right",)}
 
 
+def test_differing_rows(spark, rows):
+    kind = "k long, s string, v decimal(18,2)"
+    base = [(i, f"s{i}", D(i)) for i in range(300)] + [(7, "s7", D(7)), (None, None, None), (None, "x", None)]
+    a = rows(kind, *base, (1000, None, D(1)), (2000, "left", D(2)))
+    b = rows(kind, *reversed(base), (7, "s7", D(7)), (1000, "", D(1)))
+    for buckets in (1, 16, 65_536):
+        got = as_set(q.differing_rows(a, b.select("v", "k", "s"), buckets))
+        assert got == {(7, "s7", D(7), 2, 3), (1000, None, D(1), 1, 0), (1000, "", D(1), 0, 1), (2000, "left", D(2), 1, 0)}
+    assert q.differing_rows(a, a).count() == 0
+    assert q.differing_rows(a.limit(0), a.limit(0)).count() == 0
+    assert q.differing_rows(a, a.limit(0)).count() == a.distinct().count()
+    with pytest.raises(ValueError, match="columns differ"):
+        q.differing_rows(a, a.drop("v"))
+
+
+def test_only_rows_of_differing_buckets_are_grouped(spark):
+    a = spark.range(20_000).select("id", F.concat(F.lit("v"), "id").alias("v"))
+    b = a.withColumn("v", F.when(F.col("id") == 77, "other").otherwise(F.col("v")))
+    got = q.differing_rows(a, b)
+    assert as_set(got) == {(77, "v77", 1, 0), (77, "other", 0, 1)}
+    plan = got._jdf.queryExecution().executedPlan().toString()
+    assert "LeftSemi" in plan and plan.index("BroadcastHashJoin") > plan.index("HashAggregate")  # filtered before the grouping
+
+
 FEED = "tenant_id string, year int, month int, day int"
 
 

@@ -1035,3 +1035,21 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     shipped = built["silver_dw_itens_pedido"].withColumn("nm_ano_mes", fn.month_label("created_at"))
     sold = built["fct_vendas"].withColumn("nm_ano_mes", fn.month_label("dt_venda"))
     return quality.reconcile(shipped, sold, ["tenant_id", "nm_ano_mes"], "vlr_total")
+
+
+@register(
+    "dq15_differing_rows",
+    """select tenant_id, dia, vlr_total, cast(sum(l) as bigint) n_left, cast(sum(1 - l) as bigint) n_right
+    from (select tenant_id, cast(created_at as date) dia, cast(vlr_total as decimal(18,2)) vlr_total, 1 l
+          from silver_dw_itens_pedido
+          union all
+          select tenant_id, cast(dt_venda as date), cast(vlr_total as decimal(18,2)), 0 from fct_vendas)
+    group by all having sum(l) <> sum(1 - l)""",
+)
+def _(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Amounts by shipping day that do not occur equally often by sale day."""
+    built = models(spark, sf_dir)
+    of = lambda name, day: built[name].select(
+        "tenant_id", F.col(day).cast("date").alias("dia"), F.col("vlr_total").cast("decimal(18,2)").alias("vlr_total")
+    )
+    return quality.differing_rows(of("silver_dw_itens_pedido", "created_at"), of("fct_vendas", "dt_venda"))
