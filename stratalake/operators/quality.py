@@ -189,7 +189,7 @@ def _checksums(df: DataFrame, side: str, buckets: int) -> DataFrame:
     # halves of 32 bits, whose sums fit into 64 bits
     parts = [part for h in ("h", "g") for part in (F.col(h).bitwiseAND(low), F.shiftright(h, 32))]
     halves = [F.sum(part).alias(f"{side}{n}") for n, part in enumerate(parts)]
-    return hashed.groupBy(F.pmod("h", F.lit(buckets)).alias("bucket")).agg(F.count("*").alias(f"{side}_n"), *halves)
+    return hashed.groupBy(F.pmod("h", F.lit(buckets)).alias("__bucket")).agg(F.count("*").alias(f"{side}_n"), *halves)
 
 
 def differing_rows(left: DataFrame, right: DataFrame, buckets: int = 65_536) -> DataFrame:
@@ -207,11 +207,11 @@ def differing_rows(left: DataFrame, right: DataFrame, buckets: int = 65_536) ->
     right = right.select(*columns)
     a, b = _checksums(left, "a", buckets), _checksums(right, "b", buckets)
     same = reduce(and_, [F.col(f"a{n}").eqNullSafe(F.col(f"b{n}")) for n in ("_n", 0, 1, 2, 3)])
-    changed = materialise(a.join(b, "bucket", "full").filter(~same).select("bucket"), "checksums")
+    changed = materialise(a.join(b, "__bucket", "full").filter(~same).select("__bucket"), "checksums")
     row_bucket = F.pmod(F.xxhash64(*[c for name in columns for c in (F.col(name), F.col(name).isNull())]), F.lit(buckets))
 
     def suspects(df: DataFrame, on_left: int) -> DataFrame:
-        found = df.join(F.broadcast(changed), row_bucket == changed["bucket"], "left_semi")
+        found = df.join(F.broadcast(changed), row_bucket == changed["__bucket"], "left_semi")
         return found.select("*", F.lit(on_left).alias("__left"))
 
     both = suspects(left, 1).unionByName(suspects(right, 0))

@@ -79,12 +79,12 @@ def test_reconcile(rows):
 
 
 def test_differing_rows(spark, rows):
-    kind = "k long, s string, v decimal(18,2)"
+    kind = "bucket long, h string, v decimal(18,2)"  # names used inside as well
     base = [(i, f"s{i}", D(i)) for i in range(300)] + [(7, "s7", D(7)), (None, None, None), (None, "x", None)]
     a = rows(kind, *base, (1000, None, D(1)), (2000, "left", D(2)))
     b = rows(kind, *reversed(base), (7, "s7", D(7)), (1000, "", D(1)))
     for buckets in (1, 16, 65_536):
-        got = as_set(q.differing_rows(a, b.select("v", "k", "s"), buckets))
+        got = as_set(q.differing_rows(a, b.select("v", "bucket", "h"), buckets))
         assert got == {(7, "s7", D(7), 2, 3), (1000, None, D(1), 1, 0), (1000, "", D(1), 0, 1), (2000, "left", D(2), 1, 0)}
     assert q.differing_rows(a, a).count() == 0
     assert q.differing_rows(a.limit(0), a.limit(0)).count() == 0
