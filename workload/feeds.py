@@ -32,6 +32,25 @@ def every_tenant() -> Column:
     return F.explode(F.array(*[F.lit(t) for t in TENANTS]))
 
 
+# Tasks that repeat the rows of a table; a small file of many rows would else be one task.
+SPREAD = 128
+
+
+def repeated(rows: DataFrame, key: str, versions: int = 1) -> DataFrame:
+    """``rows`` for every tenant, in ``versions``: columns tenant_id and version.
+
+    Joined instead of exploded: Spark takes an explode for as small as its input, and would broadcast
+    whatever is made of it.
+    """
+    names = F.array(*[F.lit(t) for t in TENANTS])
+    n = len(TENANTS)
+    copies = rows.sparkSession.range(0, n * versions, 1, 1).select(
+        F.element_at(names, (F.col("id") % n + 1).cast("int")).alias("tenant_id"),
+        F.floor(F.col("id") / n).cast("int").alias("version"),
+    )
+    return rows.repartition(SPREAD, key).crossJoin(F.broadcast(copies))
+
+
 def text(key: str | Column) -> Column:
     return (F.col(key) if isinstance(key, str) else key).cast("string")
 
@@ -66,8 +85,7 @@ def entry_id() -> Column:
 
 
 def _clientes(t: Tables) -> DataFrame:
-    rows = t["customer"].withColumn("tenant_id", every_tenant())
-    rows = rows.withColumn("version", F.explode(F.array(F.lit(0), F.lit(1))))
+    rows = repeated(t["customer"], "c_custkey", versions=2)
     return rows.select(
         "tenant_id",
         text("c_custkey").alias("cliente_id"),
@@ -93,8 +111,7 @@ def _vendedores(t: Tables) -> DataFrame:
 
 
 def _produtos(t: Tables) -> DataFrame:
-    rows = t["part"].withColumn("tenant_id", every_tenant())
-    rows = rows.withColumn("version", F.explode(F.array(F.lit(0), F.lit(1))))
+    rows = repeated(t["part"], "p_partkey", versions=2)
     return rows.select(
         "tenant_id",
         text("p_partkey").alias("produto_id"),
@@ -272,7 +289,7 @@ def _filiais(t: Tables) -> DataFrame:
 
 
 def _transportadoras(t: Tables) -> DataFrame:
-    return t["supplier"].withColumn("tenant_id", every_tenant()).select(
+    return repeated(t["supplier"], "s_suppkey").select(
         "tenant_id",
         text("s_suppkey").alias("transportadora_id"),
         F.concat(F.lit("transportes "), F.col("s_name")).alias("nome"),
