@@ -39,3 +39,12 @@ def test_dimensions_are_broadcast_by_measured_size_only(spark, query):
         spark.conf.set(key, before)
     joins = [line for line in plan.splitlines() if "Join" in line and "produto_id" in line]
     assert joins and all("SortMergeJoin" in line for line in joins), joins
+
+
+def test_enriched_sales_shuffle_no_hashes(spark):
+    """Hashed keys are made after the last join."""
+    plan = QUERIES["pl09_enriched_sales"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString().splitlines()
+    last_join = max(i for i, line in enumerate(plan) if "Join" in line)
+    first_join = min(i for i, line in enumerate(plan) if "Join" in line)
+    hashes = [i for i, line in enumerate(plan) if " md5(" in line and any(k in line for k in ("cliente_sk", "produto_sk", "vendedor_sk"))]
+    assert hashes and max(hashes) < first_join < last_join
