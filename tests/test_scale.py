@@ -48,3 +48,9 @@ def test_enriched_sales_shuffle_no_hashes(spark):
     first_join = min(i for i, line in enumerate(plan) if "Join" in line)
     hashes = [i for i, line in enumerate(plan) if " md5(" in line and any(k in line for k in ("cliente_sk", "produto_sk", "vendedor_sk"))]
     assert hashes and max(hashes) < first_join < last_join
+
+
+def test_differing_rows_reads_written_sides(spark):
+    """The cleaned lines and the fact are computed once; the two passes read what was written."""
+    plan = QUERIES["dq15_differing_rows"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
+    assert "l_orderkey" not in plan and "Window" not in plan

@@ -20,7 +20,7 @@ from stratalake.operators.upsert import upsert
 from stratalake.plans import analytics, checks, dims, silver
 from stratalake.plans.build import build_layers, check_results
 from stratalake.plans.catalogue import LAYER_OF, Models
-from stratalake.session import scratch_path
+from stratalake.session import materialise, scratch_path
 from stratalake.sources import bronze, conform
 from stratalake.sources.contract import TENANTS, data_schema
 from stratalake.sources.tables import Lake, compact
@@ -1047,9 +1047,15 @@ def _(spark: SparkSession, sf_dir: str) -> DataFrame:
     group by all having sum(l) <> sum(1 - l)""",
 )
 def _(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Amounts by shipping day that do not occur equally often by sale day."""
+    """Amounts by shipping day that do not occur equally often by sale day.
+
+    Both sides are read twice, so their three columns are written first instead of cleaning and joining twice.
+    """
     built = models(spark, sf_dir)
-    of = lambda name, day: built[name].select(
-        "tenant_id", F.col(day).cast("date").alias("dia"), F.col("vlr_total").cast("decimal(18,2)").alias("vlr_total")
+    of = lambda name, day: materialise(
+        built[name].select(
+            "tenant_id", F.col(day).cast("date").alias("dia"), F.col("vlr_total").cast("decimal(18,2)").alias("vlr_total")
+        ),
+        name,
     )
     return quality.differing_rows(of("silver_dw_itens_pedido", "created_at"), of("fct_vendas", "dt_venda"))
