@@ -3,9 +3,13 @@
 from __future__ import annotations
 
 import pytest
+from pyspark.sql import functions as F
 
+from stratalake.operators import upsert as merge
+from stratalake.plans.build import build_layers
+from stratalake.sources import tables
 from workload.feeds import SPREAD, Feeds
-from workload.registry import QUERIES
+from workload.registry import AS_OF, CALENDAR, LEDGER, QUERIES
 
 SMALL = "/root/testdata/sf0.001"
 
@@ -54,3 +58,94 @@ def test_differing_rows_reads_written_sides(spark):
     """The cleaned lines and the fact are computed once; the two passes read what was written."""
     plan = QUERIES["dq15_differing_rows"](spark, SMALL)._jdf.queryExecution().optimizedPlan().toString()
     assert "l_orderkey" not in plan and "Window" not in plan
+
+
+def files_of(spark, table):
+    return {tuple(r) for r in spark.table(table).select("_metadata.file_name", "_metadata.file_size").distinct().collect()}
+
+
+MONTHLY = "tenant_id string, k string, mes int, v string"
+
+
+def test_merged_partitions_are_moved_not_written_again(spark, lake, rows, monkeypatch):
+    """The files of the staging copy become those of the table, also in a partition that is new or NULL."""
+    t, keys, by = lake.name("silver", "t"), ("tenant_id", "k"), ("tenant_id", "mes")
+    merge.upsert(rows(MONTHLY, ("a", "1", 1, "x"), ("b/ c", "1", 1, "y"), (None, "1", 1, "z")), t, keys, by)
+    staged = []
+    finish = merge.finish_interrupted
+
+    def watch(session, table):
+        path = merge._staging(session, table)
+        if merge.path_exists(session, f"{path}/_SUCCESS"):
+            copy = session.read.parquet(path)
+            staged.extend(tuple(r) for r in copy.select("_metadata.file_name", "_metadata.file_size").distinct().collect())
+        finish(session, table)
+
+    monkeypatch.setattr(merge, "finish_interrupted", watch)
+    merge.upsert(rows(MONTHLY, ("a", "1", 2, "new"), ("b/ c", "1", 1, "w"), (None, "1", 1, "n")), t, keys, by)
+    found = {tuple(r) for r in spark.table(t).select("tenant_id", "k", "mes", "v").collect()}
+    assert found == {("a", "1", 2, "new"), ("b/ c", "1", 1, "w"), (None, "1", 1, "n")}
+    assert staged and files_of(spark, t) == set(staged)
+
+
+def test_a_move_that_was_broken_off_is_finished(spark, lake, rows, monkeypatch):
+    t, keys, by = lake.name("silver", "t"), ("tenant_id", "k"), ("tenant_id", "mes")
+    merge.upsert(rows(MONTHLY, ("a", "1", 1, "x"), ("a", "2", 2, "y")), t, keys, by)
+
+    def die(session, folder, table):
+        """One folder is moved, then the driver is lost."""
+        one = spark._jvm.org.apache.hadoop.fs.Path(f"{folder}/tenant_id=a/mes=1")
+        place = spark._jvm.org.apache.hadoop.fs.Path(f"{tables.describe(spark, table, 'Location')}/tenant_id=a/mes=1")
+        fs = one.getFileSystem(spark._jsc.hadoopConfiguration())
+        fs.delete(place, True)
+        assert fs.rename(one, place)
+        raise RuntimeError("driver lost")
+
+    with monkeypatch.context() as m:
+        m.setattr(tables, "move_partitions", die)
+        with pytest.raises(RuntimeError):
+            merge.upsert(rows(MONTHLY, ("a", "1", 1, "p"), ("a", "2", 2, "q"), ("a", "3", 3, "r")), t, keys, by)
+    merge.finish_interrupted(spark, t)
+    assert {tuple(r) for r in spark.table(t).select("k", "mes", "v").collect()} == {("1", 1, "p"), ("2", 2, "q"), ("3", 3, "r")}
+
+
+def test_unique_batches_are_neither_sorted_nor_copied_twice(spark, lake, rows, monkeypatch):
+    t, copies = lake.name("silver", "t"), []
+    real = merge.materialise
+    monkeypatch.setattr(merge, "materialise", lambda df, label="stage": copies.append(label) or real(df, label))
+    monkeypatch.setattr(merge, "dedup_latest", None)
+    batch = real(rows(MONTHLY, ("a", "1", 1, "x")), "mine")
+    merge.upsert(batch, t, ("tenant_id", "k"), order_by="v", unique=True, materialised=True)
+    assert "batch" not in copies and spark.table(t).count() == 1
+
+
+def test_merges_sort_by_a_hash_of_the_keys(spark, rows):
+    a, b = rows(MONTHLY, ("a", "1", 1, "x")), rows(MONTHLY, ("a", "1", 2, "y"))
+    plan = a.hint("merge").join(b, merge._same_keys(a, b, ["tenant_id", "k"]), "left_semi")._jdf.queryExecution().executedPlan().toString()
+    sort = next(line for line in plan.splitlines() if " Sort [" in line)
+    assert sort.split("Sort [", 1)[1].startswith("xxhash64(")
+
+
+def test_months_of_the_feed_are_kept_without_a_shuffle(spark, lake, monkeypatch):
+    """Entries and titles stay in their month folders; with a chart of accounts that is not small they are dealt anew."""
+    names = [n for n in LEDGER if not n.startswith("dre")] + ["silver_dw_titulos_financeiros", "fct_titulo_financeiro"]
+    arranged = {}
+    real = tables.write_table
+
+    def watch(df, name, partition_by=("tenant_id",), kept=False):
+        arranged[name.split(".")[-1]] = kept
+        return real(df, name, partition_by, kept)
+
+    monkeypatch.setattr(tables, "write_table", watch)
+    run = {"as_of": AS_OF, "calendar": CALENDAR}
+    build_layers(spark, Feeds(spark, SMALL), lake, names, **run)
+    assert {n for n, kept in arranged.items() if kept} == {"fct_lancamentos", "fct_titulo_financeiro"}
+    for fact, source in (("fct_lancamentos", "silver_dw_lancamentos"), ("fct_titulo_financeiro", "silver_dw_titulos_financeiros")):
+        made, fed = (len(spark.table(lake.name(layer, n)).inputFiles()) for layer, n in (("gold", fact), ("silver", source)))
+        assert made <= fed
+    before = {n: spark.table(lake.name("gold", n)).select(F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0] for n in arranged if n.startswith("fct_")}
+    monkeypatch.setattr("stratalake.plans.facts.SMALL_CHART", 0)
+    build_layers(spark, Feeds(spark, SMALL), lake, ["fct_lancamentos"], **run)
+    assert not arranged["fct_lancamentos"]
+    after = spark.table(lake.name("gold", "fct_lancamentos")).select(F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0]
+    assert after == before["fct_lancamentos"]
