@@ -179,3 +179,10 @@ def test_language_evidence_is_fused(spark, model):
         assert abs(sum(r["posterior"]) - 1) < 1e-9 and np.isclose(max(r["posterior"]), r["p"])
     assert langid.identify(frame(spark, rows[:0]), langs, logs).count() == 0
     assert {r["lang"] for r in langid.identify(frame(spark, rows), [], logs[:0]).collect()} == {None}
+
+
+def test_tags_are_removed_once_a_page(spark):
+    """Decoding refers to the bare text several times; the patterns before it must not be run as often."""
+    pages = frame(spark, [(1, "http://a.example/", HTML)])
+    plan = warc.derivatives(warc.responses(pages))._jdf.queryExecution().optimizedPlan().toString()
+    assert plan.count("<noscript(") == 1 and plan.count("<title(") == 1
