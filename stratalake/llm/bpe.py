@@ -69,14 +69,15 @@ class Merges:
         if key in self._good:
             return self._good[key]
         until_left = until_right = NEVER
-        good = True
+        good, rank, piece, known = True, self.rank, self.piece, self._halves
         while True:
-            merged = self.rank.get(self.piece[left] + self.piece[right])
+            merged = rank.get(piece[left] + piece[right])
             # at equal rank the leftmost merge comes first
             if merged is not None and merged < until_left and merged <= until_right:
                 good = False
                 break
-            a, b = self.halves(left), self.halves(right)
+            a = known[left] if left in known else self.halves(left)
+            b = known[right] if right in known else self.halves(right)
             if a is None and b is None:
                 break
             if b is None or (a is not None and left > right):
@@ -90,20 +91,24 @@ class Merges:
 
 
 class _State:
-    """The ways open after some bytes: pairs of (tokens not yet emitted, trie node)."""
+    """The ways open after some bytes: pairs of (tokens not yet emitted, trie node).
+
+    No two of them have begun their node at the same byte; they come in the order of these bytes. So only the
+    first one may have no tokens, and only the last one may stand at the root: there the bytes so far end.
+    """
 
     __slots__ = ("end", "next", "open")
 
-    def __init__(self, open_: frozenset):
+    def __init__(self, open_: tuple):
         self.open = open_
         # byte -> (state, out), or [tokens whose border with the last emitted one decides, {answers: (state, out)}]
         self.next: dict[int, tuple | list] = {}
-        self.end = next((pending for pending, node in open_ if node == 0), ())
+        self.end = open_[-1][0] if open_[-1][1] == 0 else ()
 
 
 class Transducer:
     """Bytes to tokens. The last emitted token is kept in a register, so that states are few; they are
-    made when first met and forgotten together beyond ``max_states``."""
+    made when first met. Beyond ``max_states`` the younger half is forgotten: frequent words meet theirs first."""
 
     def __init__(self, ranks: dict[bytes, int], max_states: int = MAX_STATES):
         self.merges = Merges(ranks)
@@ -122,40 +127,56 @@ class Transducer:
                     self.inner.append(0)
                 node = to
             self.token[node] = token if self.merges.made(token) else -1
-        self._forget()
+        self.states: dict[tuple, _State] = {}
+        self.start = self._state((((), 0),))
 
     def _forget(self) -> None:
-        self.states: dict[frozenset, _State] = {}
-        self.start = self._state(frozenset([((), 0)]))
-
-    def _state(self, open_: frozenset) -> _State:
+        self.states = dict(itertools.islice(self.states.items(), max(1, self.max_states // 2)))
+        stay = set(map(id, self.states.values()))
+        for state in self.states.values():
+            ways = {}
+            for byte, to in state.next.items():
+                if type(to) is list:
+                    to[1] = {answers: way for answers, way in to[1].items() if id(way[0]) in stay}
+                if to[1] if type(to) is list else id(to[0]) in stay:
+                    ways[byte] = to
+            state.next = ways
+
+    def _state(self, open_: tuple) -> _State:
         if open_ not in self.states:
             self.states[open_] = _State(open_)
         return self.states[open_]
 
     def _step(self, state: _State, byte: int, asked: tuple[int, ...], answers: int) -> tuple[_State, tuple[int, ...]]:
-        """The state after ``byte`` and what is emitted: what all ways now begin with."""
-        ways = []
-        for pending, node in state.open:
-            to = self.child.get(node << 8 | byte)
+        """The state after ``byte`` and what is emitted: what all ways now begin with.
+
+        Bytes have one sequence of tokens only, so after a way that ends here no other border is tried.
+        """
+        ways, ended = [], None
+        child, inner, ends = self.child, self.inner, self.token
+        for way in state.open:
+            to = child.get(way[1] << 8 | byte)
             if to is None:
                 continue
-            if self.inner[to]:
+            pending = way[0]
+            if inner[to]:
                 ways.append((pending, to))
-            token = self.token[to]
-            if token >= 0 and (
+            token = ends[to]
+            if token >= 0 and ended is None and (
                 self.merges.neighbours(pending[-1], token) if pending else answers >> asked.index(token) & 1
             ):
-                ways.append((pending + (token,), 0))
-        first, n = min((p for p, _ in ways), key=len), 0
-        while n < len(first) and all(p[n] == first[n] for p, _ in ways):
+                ended = (*pending, token)
+        if ended is not None:
+            ways.append((ended, 0))
+        first, n = ways[0][0], 0
+        while n < len(first) and all(len(p) > n and p[n] == first[n] for p, _ in ways):
             n += 1
-        return self._state(frozenset((p[n:], node) for p, node in ways)), first[:n]
+        return self._state(tuple([(p[n:], node) for p, node in ways] if n else ways)), first[:n]
 
     def _first(self, state: _State, byte: int) -> tuple | list:
-        ends = {self.token[self.child.get(node << 8 | byte, 0)] for pending, node in state.open if not pending}
-        asked = tuple(sorted(ends - {-1}))
-        state.next[byte] = made = [asked, {}] if asked else self._step(state, byte, (), 0)
+        pending, node = state.open[0]
+        token = -1 if pending else self.token[self.child.get(node << 8 | byte, 0)]
+        state.next[byte] = made = [(token,), {}] if token >= 0 else self._step(state, byte, (), 0)
         return made
 
     def encode(self, piece: bytes) -> list[int]:
@@ -183,7 +204,8 @@ class Transducer:
 class Encoder(dict):
     """Texts to tokens: the pattern cuts a text, the transducer encodes each match.
 
-    Results of short matches are remembered as packed numbers, up to ``max_words``.
+    Results of short matches are remembered as packed numbers, up to ``max_words``: in two halves, of which the
+    older one goes, but for the words met again, when the younger one is full.
     """
 
     def __init__(self, ranks: dict[bytes, int], pattern: str, max_words: int = MAX_WORDS, max_states: int = MAX_STATES):
@@ -192,11 +214,15 @@ class Encoder(dict):
         self.cut = (lambda text: cut(text) if unsure(text) else plain_words(text)) if pattern == BYTE_LEVEL else cut
         self.machine = Transducer(ranks, max_states)
         self.max_words = max_words
+        self.older: dict[str, bytes] = {}
 
     def __missing__(self, word: str) -> bytes:
-        ids = struct.pack(f"<{len(ids)}i", *ids) if (ids := self.machine.encode(word.encode())) else b""
+        ids = self.older.get(word)
+        if ids is None:
+            ids = struct.pack(f"<{len(ids)}i", *ids) if (ids := self.machine.encode(word.encode())) else b""
         if len(word) <= 64:
-            if len(self) >= self.max_words:
+            if 2 * len(self) >= self.max_words:
+                self.older = dict(self)
                 self.clear()
             self[word] = ids
         return ids

@@ -315,6 +315,28 @@ def test_transducer_forgets_and_goes_on():
         assert small.encode(piece) == large.encode(piece)
 
 
+def test_transducer_keeps_the_states_it_made_first(monkeypatch):
+    machine, rng = bpe.Transducer(bpe.read_ranks(public.path("byte_bpe_50k.tiktoken")), max_states=60), random.Random(6)
+    want = machine.encode(b" common")
+    for _ in range(200):
+        machine.encode("".join(rng.choice(SYLLABLES) for _ in range(5)).encode())
+        assert len(machine.states) <= 60 + 40
+    monkeypatch.setattr(machine, "_step", None)
+    assert machine.encode(b" common") == want
+
+
+def test_encoder_keeps_words_that_come_again(monkeypatch):
+    encoder, calls = bpe.Encoder(bpe.read_ranks(public.path("byte_bpe_50k.tiktoken")), public.PATTERN, max_words=40), []
+    real = encoder.machine.encode
+    monkeypatch.setattr(encoder.machine, "encode", lambda piece: calls.append(piece) or real(piece))
+    for a in SYLLABLES[:10]:
+        for b in SYLLABLES[:10]:
+            ids = encoder.encode(f" often {a}xq{b}{b}")
+            assert encoder.decode(ids) == f" often {a}xq{b}{b}"
+            assert len(encoder) + len(encoder.older) <= 40
+    assert calls.count(b" often") == 1 and len(calls) > 100
+
+
 def test_streaming_decode_of_any_bytes():
     rng = random.Random(4)
     for _ in range(400):
