@@ -6,6 +6,7 @@ from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import Window as W
+from pyspark.sql import WindowSpec
 from pyspark.sql import functions as F
 
 
@@ -27,12 +28,31 @@ def dedup_latest(
     of the shuffle: every map task sends at most one row per key, so a key with
     a third of all versions costs the reducer one row per map task.
     """
-    order = [order_by] if isinstance(order_by, str) else list(order_by)
-    if tie_break is None:
-        tie_break = [c for c in df.columns if c not in keys and c not in order]
-    window = W.partitionBy(F.xxhash64(*keys), *keys).orderBy(*latest_first(order, tie_break))
+    window = _versions(df, keys, order_by, tie_break)
     return (
         df.withColumn("_row_num", F.row_number().over(window))
         .filter(F.col("_row_num") == 1)
         .drop("_row_num")
     )
+
+
+def latest_of_few(df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str]) -> DataFrame:
+    """:func:`dedup_latest` for rows that hardly repeat a key, like those of two sides that repeat none.
+
+    A group limit ahead of the shuffle would sort all rows there and drop next to none.
+    """
+    window = _versions(df, keys, order_by)
+    return (
+        df.withColumn("_newer", F.lag(F.lit(True)).over(window))
+        .filter(F.col("_newer").isNull())
+        .drop("_newer")
+    )
+
+
+def _versions(
+    df: DataFrame, keys: Sequence[str], order_by: str | Sequence[str], tie_break: Sequence[str] | None = None
+) -> WindowSpec:
+    order = [order_by] if isinstance(order_by, str) else list(order_by)
+    if tie_break is None:
+        tie_break = [c for c in df.columns if c not in keys and c not in order]
+    return W.partitionBy(F.xxhash64(*keys), *keys).orderBy(*latest_first(order, tie_break))

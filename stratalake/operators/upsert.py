@@ -23,7 +23,7 @@ from pyspark.sql import Column, DataFrame, Row, SparkSession
 from pyspark.sql import functions as F
 
 from stratalake.operators import key_index
-from stratalake.operators.dedup import dedup_latest
+from stratalake.operators.dedup import dedup_latest, latest_of_few
 from stratalake.session import CODEC, materialise, shared_dir
 from stratalake.sources.bronze import path_exists
 from stratalake.sources.tables import (
@@ -116,7 +116,8 @@ def upsert(
         both = current.withColumn("_incoming", F.lit(0)).unionByName(
             batch.withColumn("_incoming", F.lit(1))
         )
-        merged = dedup_latest(both, keys, [*order, "_incoming"]).drop("_incoming")
+        # either side has a key once
+        merged = latest_of_few(both, keys, [*order, "_incoming"]).drop("_incoming")
 
     path = _staging(spark, table)
     for_partitions(merged, by).write.mode("overwrite").option("compression", CODEC).partitionBy(*by).parquet(path)

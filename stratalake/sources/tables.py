@@ -11,7 +11,7 @@ from operator import and_
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from stratalake.session import CODEC, scratch_path, shared_dir
+from stratalake.session import CODEC, for_large_tables, scratch_path, shared_dir
 
 # Database names are taken literally, never prefixed with a target.
 LAYERS = {
@@ -36,6 +36,7 @@ class Lake:
         self.root = (root or f"{shared_dir(spark)}/stratalake/lake").rstrip("/")
         self.prefix = prefix
         self._ready: set[str] = set()
+        for_large_tables(spark)
 
     def database(self, layer: str) -> str:
         name = self.prefix + LAYERS[layer]

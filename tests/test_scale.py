@@ -149,3 +149,63 @@ def test_months_of_the_feed_are_kept_without_a_shuffle(spark, lake, monkeypatch)
     assert not arranged["fct_lancamentos"]
     after = spark.table(lake.name("gold", "fct_lancamentos")).select(F.sum(F.xxhash64("*").cast("decimal(38,0)"))).first()[0]
     assert after == before["fct_lancamentos"]
+
+
+def test_tenants_are_written_side_by_side_without_a_sort(spark, lake, rows):
+    lake.write(rows("tenant_id string, k string", ("a", "1"), ("b", "2"), ("a", "3")), "silver", "t")
+    t = lake.name("silver", "t")
+    plan = spark.sql(f"EXPLAIN INSERT INTO {t} SELECT concat(k, 'x'), tenant_id FROM {t}").first()[0]
+    assert "Insert" in plan and "Sort" not in plan, plan
+
+
+def test_small_partitions_are_joined_by_hashes(spark, lake):
+    """Both sides too large to broadcast, each partition measured to be small: no side is sorted."""
+    before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        left = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"))
+        kept = left.join(spark.range(900).select(F.col("id").cast("string").alias("b")), F.col("k") == F.col("b"), "left_anti")
+        assert kept.count() == 100
+        kept.collect()
+        plan = kept._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
+    final = plan[: plan.index("== Initial Plan ==")] if "== Initial Plan ==" in plan else plan
+    assert "ShuffledHashJoin" in final and "Sort [" not in final, plan
+
+
+@pytest.mark.parametrize("size", ["spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"])
+def test_settings_of_the_session_are_kept(spark, size):
+    before = spark.conf.get(size)
+    spark.conf.set(size, "3")
+    try:
+        tables.Lake(spark)
+        assert spark.conf.get(size) == "3"
+    finally:
+        spark.conf.set(size, before)
+
+
+def test_more_partitions_than_writers_are_complete(spark, lake):
+    """Beyond the writers of a task its rows are sorted: nothing is lost and nothing is doubled."""
+    data = spark.range(0, 4000, 1, 2).select(F.concat(F.lit("t"), F.pmod(F.xxhash64("id"), F.lit(30))).alias("tenant_id"), F.col("id").cast("string").alias("k"))
+    lake.write(data, "silver", "t")
+    stored = lake.table("silver", "t").select("tenant_id", "k")
+    assert stored.count() == 4000 and stored.exceptAll(data).isEmpty()
+
+
+def test_merge_sorts_nothing_ahead_of_the_shuffle(spark, lake, rows, monkeypatch):
+    """Either side has a key once, so a limit ahead of the shuffle would drop next to nothing."""
+    ddl, keys, plans = "tenant_id string, k string, at int, v string", ("tenant_id", "k"), []
+    t, arrange = lake.name("silver", "t"), merge.for_partitions
+
+    def watch(df, *args):
+        plans.append(df._jdf.queryExecution().executedPlan().toString())
+        return arrange(df, *args)
+
+    merge.upsert(rows(ddl, ("a", "1", 1, "x"), ("a", "2", 5, "y"), ("a", "3", None, "n"), ("b", "1", 2, "z")), t, keys, order_by="at")
+    monkeypatch.setattr(merge, "for_partitions", watch)
+    merge.upsert(rows(ddl, ("a", "1", 1, "same"), ("a", "2", 4, "old"), ("a", "3", 0, "new"), ("a", "4", None, "first")), t, keys, order_by="at")
+    assert len(plans) == 1 and "Window" in plans[0] and "WindowGroupLimit" not in plans[0], plans
+    assert {tuple(r) for r in spark.table(t).select("tenant_id", "k", "at", "v").collect()} == {
+        ("a", "1", 1, "same"), ("a", "2", 5, "y"), ("a", "3", 0, "new"), ("a", "4", None, "first"), ("b", "1", 2, "z"),
+    }
