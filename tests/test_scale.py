@@ -7,6 +7,7 @@ from pyspark.sql import functions as F
 
 from stratalake.operators import upsert as merge
 from stratalake.plans.build import build_layers
+from stratalake.session import HASH_JOINS, joined_by_hashes
 from stratalake.sources import tables
 from workload.feeds import SPREAD, Feeds
 from workload.registry import AS_OF, CALENDAR, LEDGER, QUERIES
@@ -158,15 +159,15 @@ def test_tenants_are_written_side_by_side_without_a_sort(spark, lake, rows):
     assert "Insert" in plan and "Sort" not in plan, plan
 
 
-def test_small_partitions_are_joined_by_hashes(spark, lake):
+def test_small_partitions_are_joined_by_hashes(spark):
     """Both sides too large to broadcast, each partition measured to be small: no side is sorted."""
     before = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
     spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
     try:
         left = spark.range(1000).select(F.col("id").cast("string").alias("k"), F.lit("v").alias("v"))
         kept = left.join(spark.range(900).select(F.col("id").cast("string").alias("b")), F.col("k") == F.col("b"), "left_anti")
-        assert kept.count() == 100
-        kept.collect()
+        with joined_by_hashes(spark):
+            assert len(kept.collect()) == 100
         plan = kept._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", before)
@@ -174,15 +175,22 @@ def test_small_partitions_are_joined_by_hashes(spark, lake):
     assert "ShuffledHashJoin" in final and "Sort [" not in final, plan
 
 
-@pytest.mark.parametrize("size", ["spark.sql.maxConcurrentOutputFileWriters", "spark.sql.adaptive.maxShuffledHashJoinLocalMapThreshold"])
-def test_settings_of_the_session_are_kept(spark, size):
-    before = spark.conf.get(size)
-    spark.conf.set(size, "3")
+def test_settings_of_the_session_are_kept(spark):
+    writers, threshold = "spark.sql.maxConcurrentOutputFileWriters", HASH_JOINS[0]
+    before = spark.conf.get(writers)
+    spark.conf.set(writers, "3")
+    spark.conf.set(threshold, "1m")
     try:
         tables.Lake(spark)
-        assert spark.conf.get(size) == "3"
+        with joined_by_hashes(spark):
+            assert spark.conf.get(threshold) == "1m"
+        assert spark.conf.get(writers) == "3" and spark.conf.get(threshold) == "1m"
     finally:
-        spark.conf.set(size, before)
+        spark.conf.set(writers, before)
+        spark.conf.unset(threshold)
+    with joined_by_hashes(spark):
+        assert spark.conf.get(threshold, None) == HASH_JOINS[1]
+    assert spark.conf.get(threshold, None) is None
 
 
 def test_more_partitions_than_writers_are_complete(spark, lake):
