@@ -13,6 +13,7 @@ from pyspark.sql import functions as F
 from stratalake.functions import date_key, surrogate_key
 from stratalake.operators.lookback import within_lookback
 from stratalake.operators.skew import fan_out
+from stratalake.plans.facts import sales
 from stratalake.sources.months import by_month, semi_join_events
 
 Tables = Mapping[str, DataFrame]
@@ -247,6 +248,8 @@ def enriched_sales(t: Tables) -> DataFrame:
     Left joins: a line whose dimension row is missing stays, with NULL attributes. The
     natural keys are joined, which are shorter than their hashes; these are made of the
     natural keys after the joins, as the fact does, because hashes do not compress in a shuffle.
+    Where the fact is not stored, customers are joined with its sales, which are fewer than
+    its lines, and products with its lines before these carry anything of their sale.
     """
     calendar = t["dim_calendrio"].select("data_id", "nm_ano_mes", "nr_trimestre", "fl_fim_de_semana")
     sellers = t["dim_vendedores"].select("tenant_id", "vendedor_id", "nm_vendedor", "filial_id")
@@ -255,15 +258,20 @@ def enriched_sales(t: Tables) -> DataFrame:
     companies = t["dim_empresas"].select(
         "tenant_id", F.col("empresa_id").alias("filial_id"), "empresa_sk", "nm_empresa"
     )
-    lines = t["fct_vendas"].select(
-        "tenant_id", "item_id", "venda_id", "data_id",
-        "ds_status", "qtd_vendida", "vlr_total", "cliente_id", "produto_id", "vendedor_id",
-    )
+
+    def with_customer(rows: DataFrame) -> DataFrame:
+        return rows.join(customers, ["tenant_id", "cliente_id"], "left")
+
+    def with_product(rows: DataFrame) -> DataFrame:
+        return rows.join(products, ["tenant_id", "produto_id"], "left")
+
+    if "fct_vendas" in getattr(t, "stored", t):
+        lines = with_product(with_customer(t["fct_vendas"]))
+    else:
+        lines = sales(t, of_sale=with_customer, of_line=with_product)
     joined = (
         lines.join(calendar, "data_id", "left")
         .join(sellers, ["tenant_id", "vendedor_id"], "left")
-        .join(products, ["tenant_id", "produto_id"], "left")
-        .join(customers, ["tenant_id", "cliente_id"], "left")
         .join(companies, ["tenant_id", "filial_id"], "left")
     )
     return joined.select(

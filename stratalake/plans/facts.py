@@ -9,7 +9,7 @@ proves existence its own columns are not read beyond the key.
 from __future__ import annotations
 
 import datetime as dt
-from collections.abc import Mapping
+from collections.abc import Callable, Mapping
 
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
@@ -22,17 +22,31 @@ from stratalake.sources.months import MONTH, by_month, event_range
 Tables = Mapping[str, DataFrame]
 Now = dt.datetime | str | Column | None
 AsOf = dt.date | str | Column | None
+Attributes = Callable[[DataFrame], DataFrame] | None
 
 AUDIT = "_dbt_loaded_at"
 
 
-def sales(t: Tables, incremental: bool = False, now: Now = None) -> DataFrame:
-    """Order lines with their sale header. Foreign keys are hashed, the dimensions are not joined."""
+def sales(
+    t: Tables, incremental: bool = False, now: Now = None, of_sale: Attributes = None, of_line: Attributes = None
+) -> DataFrame:
+    """Order lines with their sale header. Foreign keys are hashed, the dimensions are not joined.
+
+    ``of_sale`` and ``of_line`` add attributes to the headers and to the lines ahead of their join, where there are
+    fewer rows or narrower ones; they follow the columns of the fact.
+    """
     header = by_month(t, "silver_dw_vendas")
     if incremental:
         header = event_range(header, "dt_venda", lookback_start(now))
     header = header.select("tenant_id", "venda_id", "cliente_id", "vendedor_id", "ds_status", "dt_venda")
     lines = t["silver_dw_itens_pedido"]
+    added = []
+    if of_sale is not None:
+        before, header = header.columns, of_sale(header)
+        added += [c for c in header.columns if c not in before]
+    if of_line is not None:
+        before, lines = lines.columns, of_line(lines)
+        added += [c for c in lines.columns if c not in before]
     return lines.join(header, ["tenant_id", "venda_id"]).select(
         surrogate_key("tenant_id", "item_id").alias("venda_item_sk"),
         "tenant_id",
@@ -52,6 +66,7 @@ def sales(t: Tables, incremental: bool = False, now: Now = None) -> DataFrame:
         "dt_venda",
         "created_at",
         F.current_timestamp().alias(AUDIT),
+        *added,
     )
 
 
